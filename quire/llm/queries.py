@@ -6,17 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import exact, mixing, packing, quality, simhash, tokens
+from quire.llm import exact, licenses, mixing, ngram_lm, packing, pii, quality, simhash, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.query,
     "op2_exact_dedup": exact.query,
+    "op3_url_filters": urls.query,
+    "op4_license_scans": licenses.query,
     "op5_source_mixing": mixing.query,
     "op6_token_counts": tokens.query,
     "op7_simhash_near_dedup": simhash.query,
+    "op8_lm_scoring": ngram_lm.query,
     "op9_quality_rules": quality.query,
+    "op10_pii": pii.query,
 }
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": exact.ORACLE,
+    "op3_url_filters": urls.ORACLE,
 }
