@@ -1,10 +1,5 @@
 """Named queries over the driver's tables, and the SQL that gives the same rows."""
 
-from __future__ import annotations
+from quire.plans.corpus import ORACLE, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
