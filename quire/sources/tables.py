@@ -60,7 +60,8 @@ def load_chunks(spark: SparkSession, path: str) -> DataFrame:
     """Chunks of JSON lines, blank lines skipped, with their order, and the raw metadata as a map
     (raw) that tells a missing key from a null. A line that is no JSON object fails the job."""
     lines = spark.read.text(path).where(F.trim("value") != "")
-    lines = lines.withColumn("chunk_ord", F.monotonically_increasing_id())
+    # Spark reads files in any order: chunks are ordered by file, place in it, and row
+    lines = lines.withColumn("chunk_ord", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")))
     parsed = F.from_json("value", CHUNK, {"mode": "FAILFAST"})
     raw = F.from_json(F.get_json_object("value", "$.metadata"), "map<string, string>")
     return lines.select(parsed.alias("c"), raw.alias("raw"), "chunk_ord").select("c.*", "raw", "chunk_ord")

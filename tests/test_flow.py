@@ -6,13 +6,13 @@ from quire.operators import checks, chunks
 from quire.plans.samples import MANUAL
 from quire.sources import tables
 
-PAGES = [("m", 0, "lost\nGROUP 8 IGNITION\nWARNING: HOT\n\n(1) Remove FIG. B-1\n(2) Refer to 9"), ("m", 1, ""), ("m", 2, "GROUP 9 FUEL\nCJ-5 text\nGROUP 8W WIRES\nskipped")]
+PAGES = [("m", 0, "lost\nGROUP 8 IGNITION\n8 COILS\nWARNING: HOT\n\n(1) Remove FIG. B-1\n(2) Refer to 9"), ("m", 1, ""), ("m", 2, "GROUP 9 FUEL\n9 PUMPS\nCJ-5 text\nGROUP 8W WIRES\nskipped")]
 
 
 def test_chunks_and_files(spark, tmp_path):
     made = chunks.assembled(spark.createDataFrame(PAGES, "manual_id string, page_number int, text string"), MANUAL).orderBy("chunk_ord")
     rows = made.collect()
-    assert [r["chunk_id"] for r in rows] == ["m::8", "m::9"]
+    assert [r["chunk_id"] for r in rows] == ["m::8::8", "m::9::9"]
     assert rows[0]["metadata"]["figure_references"] == ["B-1"] and rows[0]["metadata"]["has_safety_callouts"] == ["warning"]
     assert rows[1]["metadata"]["vehicle_models"] == ["CJ-5"] and rows[1]["text"].startswith("GROUP 9 FUEL")
     path = str(tmp_path / "c.jsonl")
