@@ -114,10 +114,9 @@ def _own(key, table):  # without types: Spark reads them
     lists = [ungolomb(a, b, c) for a, b, c in zip(n, k, codes, strict=True)]
     values, where, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     again = counts > 1
-    for number, bits in enumerate(twice):  # repeated within its sender
-        start = sum(n[:number])
-        again[where[start : start + n[number]][np.unpackbits(np.frombuffer(bits, np.uint8), count=n[number]).astype(bool)]] = True
     cut = np.cumsum(n)[:-1]
+    for own, bits in zip(np.split(where, cut), twice, strict=True):  # repeated within its sender
+        again[own[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(own)).astype(bool)]] = True
     maps = [np.packbits(x).tobytes() for x in np.split(again[where], cut)]
     return pa.table({"owner": table["owner"], "sender": table["sender"], "list": table["list"], "n": table["n"], "k": table["k"], "code": table["code"], "bitmap": pa.array(maps, pa.binary())})
 
