@@ -3,7 +3,8 @@
 A notice of n characters may differ from its standard wording by ``errors`` edits, about a tenth of n. Cut into errors + 1
 pieces, at least one piece of any such match is unchanged (pigeonhole); pieces are cut so that they are as even as
 possible. One Aho-Corasick automaton finds all pieces of all notices in one pass over the words of the text, and
-each hit names a place where its notice would begin. There the regex library's bounded-error matching, with
+each hit names a place where its notice would begin. Where bit vectors of edit distance show that something
+there fits, which loses no match, the regex library's bounded-error matching, with
 its best-match flag, verifies the edits and reports the span. A text is read whole, whatever its length; the
 base labels look for exact phrases of words.
 
@@ -60,11 +61,31 @@ def pieces(notice: str, errors: int) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def nearest(notice: str, text: str, masks: dict[str, int]) -> int:
+    """The fewest edits between notice and any stretch of text, by Myers's bit vectors: one step a character.
+    masks: the places of each character in notice, as bits."""
+    full = (1 << len(notice)) - 1
+    top = full ^ full >> 1
+    plus, minus, edits = full, 0, len(notice)
+    best = edits
+    for c in text:
+        same = masks.get(c, 0)
+        vertical = same | minus
+        across = (same & plus) + plus ^ plus | same
+        up, down = (minus | ~(across | plus)) & full, plus & across
+        edits += (up & top > 0) - (down & top > 0)
+        best = min(best, edits)
+        up, down = up << 1 & full, down << 1 & full
+        plus, minus = (down | ~(vertical | up)) & full, up & vertical
+    return best
+
+
 class Scanner:
     def __init__(self, phrases=PHRASES, notices=NOTICES, rate: float = RATE) -> None:
         self.phrases = [(re.compile(f"(?<= ){p}(?= )"), label, p.rpartition(" ")[2]) for p, label in phrases]
         self.notices = [(label, n, int(rate * len(n))) for label, n in notices]
         self.patterns = [regex.compile(f"(?b)(?:{regex.escape(n)}){{e<={e}}}") for _, n, e in self.notices]
+        self.masks = [{c: sum(1 << i for i, x in enumerate(n) if x == c) for c in n} for _, n, _ in self.notices]
         seeds: dict[str, list[tuple[int, int]]] = {}
         for number, (_, notice, errors) in enumerate(self.notices):
             for at, piece in pieces(notice, errors):
@@ -97,12 +118,15 @@ class Scanner:
                     held.append(window)
         out = []
         for number, held in windows.items():
-            label, _, _ = self.notices[number]
+            label, notice, errors = self.notices[number]
             for a, b in held:
-                m = self.patterns[number].search(line, a, b)
-                while m:
+                # the regex search is slow where nothing fits, so it runs where something does
+                while nearest(notice, line[a:b], self.masks[number]) <= errors:
+                    m = self.patterns[number].search(line, a, b)
+                    if not m:
+                        break
                     out.append((label, m.start(), m.end(), sum(m.fuzzy_counts)))
-                    m = self.patterns[number].search(line, max(m.end(), m.start() + 1), b)
+                    a = max(m.end(), m.start() + 1)
         # of overlapping notices the one with the fewest edits stays, then the longest
         kept: list[tuple[str, int, int, int]] = []
         for span in sorted(out, key=lambda s: (s[3], s[1] - s[2], s[1], s[0])):

@@ -136,6 +136,21 @@ def test_licenses():
     assert s.scan("") == (0, 0, None, None, "", "", 0.0, "")
 
 
+def test_nearest_is_the_least_edit_distance():
+    rng = random.Random(4)
+    for _ in range(200):
+        notice, text = ("".join(rng.choices("abc ", k=rng.randrange(1, n))) for n in (9, 25))
+        row = list(range(len(notice) + 1))
+        best = row[-1]
+        for c in text:
+            last, row = row, [0]
+            for i, x in enumerate(notice):
+                row.append(min(last[i] + (x != c), last[i + 1] + 1, row[i] + 1))
+            best = min(best, row[-1])
+        masks = {c: sum(1 << i for i, x in enumerate(notice) if x == c) for c in notice}
+        assert licenses.nearest(notice, text, masks) == best
+
+
 def test_language_model(docs, none):
     rows = ngram_lm.scored(docs).collect()
     token = lambda t: [*ngram_lm.tokens(t or ""), ngram_lm.END]
