@@ -135,7 +135,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def linked(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, fp (its fingerprint as a signed long), component_id and the row's key."""
+    """One row per document: doc_id, fp (its fingerprint as a signed long), component_id, root (the least
+    fingerprint of its component, which no other component has, as ids may be null or repeated) and the row's key."""
     rows = keyed(docs).select("doc_id", *DOCUMENT_KEY, text_of(docs).alias("t"))
     schema = rows.select("doc_id", *DOCUMENT_KEY).schema.add("fp", "long")
     rows = written(rows.mapInArrow(_fingerprints, schema), "simhash-rows")
@@ -145,16 +146,16 @@ def linked(docs: DataFrame) -> DataFrame:
     roots = written(components(balls.mapInArrow(_verified, "a long, b long")), "simhash-roots")
     classes = distinct.join(roots, distinct.fp == roots.vertex, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     of_root = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = classes.join(of_root, "root").select("fp", "component_id")
+    classes = classes.join(of_root, "root").select("fp", "root", "component_id")
     return rows.join(classes, "fp")
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """docs with one row of each component, that of the least doc_id; all their columns."""
-    rows = linked(docs).select("component_id", *DOCUMENT_KEY).where(F.col("component_id").eqNullSafe(F.col(DOCUMENT_KEY[0])))
+    rows = linked(docs).select("root", "component_id", *DOCUMENT_KEY).where(F.col("component_id").eqNullSafe(F.col(DOCUMENT_KEY[0])))
     # with the least id repeated in one component, the least key stays
     key = F.struct(*DOCUMENT_KEY)
-    keys = rows.groupBy("component_id").agg(F.min(key).alias("k"), F.count(F.lit(1)).alias("n")).select("k.*", "n")
+    keys = rows.groupBy("root").agg(F.min(key).alias("k"), F.count(F.lit(1)).alias("n")).select("k.*", "n")
     return only(docs, written(keys, "simhash-kept"), once=True)
 
 

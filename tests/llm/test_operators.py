@@ -70,6 +70,16 @@ def test_simhash(docs, none):
     assert simhash.linked(none).count() == 0
 
 
+def test_simhash_keeps_a_row_of_each_component_whatever_its_ids(spark):
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
+    alone, one, other = [text() for _ in range(5)], text(), text()
+    rows = [*[(None, t) for t in alone], (7, one), (7, other), (9, other.upper()), (None, other + " "), (None, alone[0])]
+    docs = spark.createDataFrame([(i, t, "en", "s", "x", 1) for i, t in rows], SCHEMA)
+    kept = [(r["doc_id"], r["text"]) for r in simhash.kept_documents(docs).collect()]
+    assert sorted(kept, key=str) == sorted([*[(None, t) for t in alone], (7, one), (7, other)], key=str)
+
+
 def test_tree_links_all_within_the_radius():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 62, 1).astype(np.uint64)[0]
