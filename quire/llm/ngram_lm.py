@@ -2,7 +2,7 @@
 
 Levels. The first holds all training words, sorted by 64-bit hash (a word's number is its rank), with exact
 counts as a monotone running sum, backoff weights, and pointers, again monotone, to each word's
-successors. The second holds the pairs of words found MIN_COUNT times or more. Successors of one
+successors. The second holds the pairs of words found ``min_count`` times or more: the query keeps every pair. Successors of one
 word are a stretch of that level; to be monotone across stretches, each stretch is raised above the one before it,
 so that a pair is found by a successor search for its number relative to the stretch's start. All sequences are Elias-Fano
 coded; log probabilities and backoff weights are quantised to a byte. Levels come in blocks of BLOCK
@@ -16,7 +16,8 @@ Counting: a task sorts the numbers of its pairs in runs of RUN tokens and sends
 the pair) an Elias-Fano coded list; a shard holds its share of all pairs, whatever the commonest word is.
 The file of each level is put together in the shared folder block by block, sent to executors by Spark's
 file distribution, and memory-mapped there; only bytes that queries touch are read. Everything grows
-with the corpus; no word or pair is capped or sampled.
+with the corpus; no word or pair is capped or sampled. Only where ``scored`` is called with min_count over 1, its
+default, are rarer pairs left to the backoff.
 
 Defined results. Null text counts as empty: one token, the end. A null doc_id counts as empty text for its
 remainder, so the document trains. With no training documents all counts are 0, N = V = 0. Repeated rows count each. An
@@ -45,6 +46,7 @@ from quire.llm.eliasfano import EliasFano, packed, unpacked
 END = b""
 BLOCK = 1 << 18
 RUN = 1_000_000
+#: The default of ``scored``, not what the query takes.
 MIN_COUNT = 2
 DISCOUNT = 0.75
 #: A byte stands for a log10 between -RANGE and 0.
@@ -347,7 +349,7 @@ def _pair_blocks(words_file: str):
     return make
 
 
-def trained(docs: DataFrame) -> tuple[str, str]:
+def trained(docs: DataFrame, min_count: int) -> tuple[str, str]:
     """The files of the model's two levels. docs: column t."""
     spark = docs.sparkSession
     words = docs.mapInArrow(_count_words, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
@@ -373,7 +375,7 @@ def trained(docs: DataFrame) -> tuple[str, str]:
 
     shards = max(16, int(total // 2_000_000) + 1)
     lists = docs.mapInArrow(_count_pairs(numbers, shards), "shard int, list binary")
-    pairs = written(lists.groupBy("shard").applyInArrow(_sum_pairs(MIN_COUNT), "c long, w long, n long"), "lm-pairs")
+    pairs = written(lists.groupBy("shard").applyInArrow(_sum_pairs(min_count), "c long, w long, n long"), "lm-pairs")
     by = pairs.groupBy(F.col("c").alias("id")).agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("kept"))
     full = words.join(by, "id", "left").fillna(0, ["kids", "kept"]).withColumn("k", block)
     full = written(full, "lm-full")
@@ -394,8 +396,8 @@ def trained(docs: DataFrame) -> tuple[str, str]:
 class Known:
     """Words with what the first level says of them, each looked up once while it is held: arrays by slot."""
 
-    def __init__(self, words: Words, size: int = 400_000) -> None:
-        self.words, self.slots = words, {}
+    def __init__(self, words: Words, min_count: int, size: int = 400_000) -> None:
+        self.words, self.min_count, self.slots = words, min_count, {}
         self._room(size)
 
     def _room(self, size: int) -> None:
@@ -408,7 +410,7 @@ class Known:
         number = self.words.numbers(hashes)
         count = self.words.counts(number)
         start, stop = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
-        several = np.flatnonzero(count >= MIN_COUNT)  # others are in no kept pair
+        several = np.flatnonzero(count >= self.min_count)  # others are in no kept pair
         start[several], stop[several] = self.words.children(number[several])
         weight = np.zeros(len(new))
         weight[several] = self.words.weights(number[several])
@@ -430,17 +432,17 @@ class Known:
         return np.array(slots, np.int64)
 
 
-def _scores(words_file: str, pairs_file: str):
+def _scores(words_file: str, pairs_file: str, min_count: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs = Words(_file(words_file)), Pairs(_file(pairs_file))
-        known = Known(words)
+        known = Known(words, min_count)
         for rows, found, sizes in _runs(batches, ("row",)):
             slots = known(found)
             before = np.concatenate([slots[-1:], slots[:-1]])  # a run begins after an end, and ends with one
             key, where = np.unique(before << 32 | slots, return_inverse=True)  # the pairs of this run, each once
             c, w = key >> 32, key & 0xFFFFFFFF
             log = known.weight[c] + known.base[w]
-            both = np.flatnonzero((known.start[c] < known.stop[c]) & (known.count[w] >= MIN_COUNT))
+            both = np.flatnonzero((known.start[c] < known.stop[c]) & (known.count[w] >= min_count))
             hit = pairs.find(known.start[c[both]], known.stop[c[both]], known.number[w[both]])
             log[both] = np.where(hit <= 0, hit, log[both])
             cut = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -451,18 +453,19 @@ def _scores(words_file: str, pairs_file: str):
     return score
 
 
-def scored(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def scored(docs: DataFrame, modulus: int = 7, held: int = 2, min_count: int = MIN_COUNT) -> DataFrame:
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    min_count: a pair found less often is left out of the model; 1 keeps all."""
     out = (F.crc32(F.coalesce(docs["doc_id"].cast("string"), F.lit("")).cast("binary")) % modulus) == held
     rows = docs.select(docs["doc_id"].alias("doc_id"), out.alias("held_out"), text_of(docs).alias("t"))
-    files = trained(rows.where(~F.col("held_out")).select("t"))
+    files = trained(rows.where(~F.col("held_out")).select("t"), min_count)
     packed_rows = rows.select(F.struct("doc_id", "held_out").alias("row"), "t")
     schema = packed_rows.select("row").schema
     for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")):
         schema = schema.add(name, kind)
-    out = packed_rows.mapInArrow(_scores(*files), schema)
+    out = packed_rows.mapInArrow(_scores(*files, min_count), schema)
     return out.select("row.*", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored(documents(spark, sf_dir))
+    return scored(documents(spark, sf_dir), min_count=1)

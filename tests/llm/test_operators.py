@@ -184,3 +184,22 @@ def test_language_model(docs, none):
         assert r["base_score"] == pytest.approx(sum(math.log10(base(w)) for w in t))
         assert r["score"] == pytest.approx(sum(math.log10(p(a, w)) for a, w in zip([ngram_lm.END, *t], t, strict=False)), abs=0.03 * len(t))
     assert ngram_lm.scored(none).count() == 0
+
+
+def test_language_model_query_keeps_every_pair(spark, docs, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = ngram_lm.query(spark, str(tmp_path)).collect()
+    token = lambda t: [*ngram_lm.tokens(t or ""), ngram_lm.END]
+    texts = docs.collect()
+    train = [token(r["text"]) for r in texts if zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 7 != 2]
+    count = Counter(w for t in train for w in t)
+    pairs = Counter(p for t in train for p in zip([ngram_lm.END, *t], t, strict=False))
+    kids = Counter(a for a, _ in pairs)
+    n, v = sum(count.values()), len(count)
+    base = lambda w: (count[w] + 1) / (n + v + 1)
+    p = lambda c, w: max(pairs[c, w] - 0.75, 0) / count[c] + 0.75 * kids[c] / count[c] * base(w) if count[c] else base(w)
+    text = {r["doc_id"]: r["text"] for r in texts}
+    assert 1 in pairs.values() and len(rows) == len(texts)
+    for r in rows:
+        t = token(text[r["doc_id"]])
+        assert r["score"] == pytest.approx(sum(math.log10(p(a, w)) for a, w in zip([ngram_lm.END, *t], t, strict=False)), abs=0.03 * len(t))
