@@ -8,8 +8,9 @@ the number of rows, give the moments of the nearest rows. So no group is gathere
 one source with a third of all rows is pre-aggregated on the map side like any other.
 
 Defined results. Null text: no words, base_failed, not kept. A null lang or source is a group of
-its own. Groups with under ``min_rows`` usable rows are judged with their language's pooled rows; if
-those are too few as well, the base rules alone decide. A group without spread is no special case:
+its own. The estimate of a group with n < ``min_rows`` usable rows is mixed with that of its language's
+pooled rows, at n / min_rows to the rest; a language's with under ``min_rows`` is mixed likewise with that
+of all rows. So every usable row gets a distance, whatever the sizes, and no size switches it. A group without spread is no special case:
 ``FLOOR`` is added to each variance. Repeated rows are rows like any other. An empty table gives no
 rows. Extra columns are ignored, whatever their names.
 """
@@ -162,27 +163,49 @@ def _concentrated(df: DataFrame, params: DataFrame, support: float) -> DataFrame
     return kept.select("g", *[mean[i].alias(f"m_{i}") for i in range(n)], *[v.alias(f"c_{i}_{j}") for (i, j), v in cov.items()])
 
 
+def _mixed(groups: DataFrame, params: DataFrame, min_rows: int) -> DataFrame:
+    """The estimate of each group, drawn towards those of its pools. What lies between their
+    means adds nothing: a pool's covariance has its groups' spread, and an outlier's own group must not hide it."""
+    n = len(FEATURES)
+    names = [*[f"m_{i}" for i in range(n)], *[f"c_{i}_{j}" for i in range(n) for j in range(i + 1)]]
+    named = lambda key: checked_broadcast(params).select(F.col("g").alias(key), *[F.col(c).alias(f"{key}_{c}") for c in names])
+    df = groups
+    for key in ("g", "g_lang", "g_all"):
+        df = df.join(named(key), key, "left")
+    for key, pool, size in (("g_lang", "g_all", "n_lang"), ("g", "g_lang", "n")):
+        # no pool: the size is min_rows or more, the share 1
+        w = F.least(F.lit(1.0), F.col(size) / F.lit(float(min_rows)))
+        a = {c: F.col(f"{key}_{c}") for c in names}
+        b = {c: F.coalesce(f"{pool}_{c}", f"{key}_{c}") for c in names}
+        df = df.withColumns({f"{key}_{c}": w * a[c] + (1 - w) * b[c] for c in names})
+    return df.select("g", *[F.col(f"g_{c}").alias(c) for c in names])
+
+
 def judged(docs: DataFrame, support: float = 0.75, steps: int = 4, min_rows: int = 50, cutoff: float = CUTOFF) -> DataFrame:
-    """One row per document: doc_id, STATISTICS, base_failed, distance (null without an estimate),
-    kept, and the row's key."""
+    """One row per document: doc_id, STATISTICS, base_failed, distance (null only for base_failed
+    rows of a group without a usable one), kept, and the row's key."""
     stats = written(statistics(docs).withColumns(features()), "quality")
     usable = stats.where(~F.col("base_failed"))
     sizes = usable.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.withColumn("n_lang", F.sum("n").over(Window.partitionBy("lang")))
     groups = written(sizes.select(
-        "lang", "source",
-        F.when(F.col("n") >= min_rows, F.to_json(F.struct("lang", "source"))).when(F.col("n_lang") >= min_rows, F.to_json(F.struct("lang"))).alias("g"),
+        "lang", "source", "n", "n_lang", F.to_json(F.struct("lang", "source")).alias("g"),
+        F.when(F.col("n") < min_rows, F.to_json(F.struct("lang"))).alias("g_lang"),
+        F.when(F.col("n_lang") < min_rows, F.lit("{}")).alias("g_all"),
     ), "quality-groups")
-    df = stats.join(checked_broadcast(groups), ["lang", "source"], "left")
-    # a pooled estimate uses every row of its language
-    pooled = groups.where("g is not null").select("lang", "g", F.get_json_object("g", "$.source").isNull().alias("pool")).distinct()
-    one = usable.join(checked_broadcast(groups.where("g is not null")), ["lang", "source"]).where(F.get_json_object("g", "$.source").isNotNull()).select("g", *FEATURES)
-    all_of = usable.join(checked_broadcast(pooled.where("pool").select("lang", "g")), "lang").select("g", *FEATURES)
-    fit = written(one.unionByName(all_of), "quality-fit")
+    own = checked_broadcast(groups.select("lang", "source", "g"))
+    df = stats.join(own, ["lang", "source"], "left")
+    # a pooled estimate, made only where a group needs it, uses every row of its language, or every row
+    one = usable.join(own, ["lang", "source"]).select("g", *FEATURES)
+    pooled = groups.where("g_lang is not null").select("lang", F.col("g_lang").alias("g")).distinct()
+    of_lang = usable.join(checked_broadcast(pooled), "lang").select("g", *FEATURES)
+    last = groups.where("g_all is not null").select(F.col("g_all").alias("g")).distinct()  # one row or none
+    of_all = usable.crossJoin(F.broadcast(last)).select("g", *FEATURES)
+    fit = written(one.unionByName(of_lang).unionByName(of_all), "quality-fit")
     params = written(_quartiles(fit), "quality-start")
     for k in range(steps):
         params = written(_concentrated(fit, params, support), f"quality-step{k}")
-    out = _with_distance(df, params)
+    out = _with_distance(df, written(_mixed(groups, params, min_rows), "quality-mixed"))
     return out.select(
         "doc_id", *STATISTICS, "base_failed",
         (~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff)).alias("kept"),

@@ -123,6 +123,19 @@ def test_quality(docs, none):
     assert quality.kept_documents(docs).columns == docs.columns and quality.judged(none).count() == 0
 
 
+def test_quality_finds_outliers_in_groups_of_any_size(spark):
+    rng = random.Random(6)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(2, 8))) for _ in range(150))
+    odd = " ".join("#$%*" * 3 + "x" * 20 + str(i) for i in range(150))
+    sources = [("en", "big")] * 200 + [("en", "small")] * 5 + [("de", "a")] * 20 + [("fr", "b")]
+    rows = [(i, text(), lang, source, "x", 1) for i, (lang, source) in enumerate(sources)]
+    rows += [(1000 + i, odd, lang, source, "x", 1) for i, (lang, source) in enumerate([("en", "big"), ("en", "small"), ("de", "a"), ("fr", "b"), ("es", "c")])]
+    out = {r["doc_id"]: r for r in quality.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(r["base_failed"] for r in out.values()) and all(r["distance"] is not None for r in out.values())
+    assert [i for i, r in out.items() if i >= 1000 and r["kept"]] == []
+    assert sum(r["kept"] for i, r in out.items() if i < 1000) >= 220
+
+
 def test_pii(spark, none):
     texts = ["x a@b.co, 1.2.3.4.5 +1 (555) 123-4567 or 4111 1111 1111 1111", None, "", "1.2.3.999 é a@b.c", *[f"my phone: +1 555 123 4{i:03d} now" for i in range(8)], "my phone: 555-01234 now"]
     rows = {r["doc_id"]: r for r in pii.found(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
