@@ -1,11 +1,12 @@
 """Personal data by bootstrapped contextual extraction, all in SQL functions.
 
 Seeds are the base kinds' spans. The word before and the word after a span, alone and together, are its lexical
-patterns. Other tokens that look like identifiers (with digits or "@") are candidates with patterns of their
-own. Both give a graph of patterns and instances (values), which is scored in rounds: a pattern's
+patterns. Other tokens with digits or "@", and runs of numbers with single spaces between, are candidates with
+patterns of their own. A candidate with "@", or of six characters with three digits, is one instance wherever it stands;
+a shorter one only with the words around it, so that a found "12" says nothing of others. Both give a graph of patterns and instances (values), which is scored in rounds: a pattern's
 confidence for a kind is the score of its instances of that kind over all its instances; a candidate's score
-for a kind is the best confidence of a pattern of that kind. Patterns count with at
-least SUPPORT different seeds. What scores ACCEPT or more at the end is found in its kind.
+for a kind is the best confidence of a pattern of that kind. Patterns count in a round with at
+least SUPPORT different seeds and values that scored ACCEPT in the round before; so found values bring new patterns. What scores ACCEPT or more at the end is found in its kind.
 
 Spans are code points. All searches are linear in the text: runs of characters are taken possessively and begin
 only where a run begins (or the last match ended), which finds the same leftmost matches.
@@ -32,8 +33,9 @@ KINDS = {
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 IP_VALID = rf"\A{_PART}(?:\.{_PART}){{3}}\z"
 _WS = r"\x20\x09-\x0D"
-#: White-space tokens with a digit or "@".
-TOKEN = rf"(?<![^{_WS}])[^0-9@{_WS}]*+[0-9@][^{_WS}]*+"
+_NUMBER = rf"[+(]*+[0-9][0-9().-]*+(?![^{_WS},;:!?\"'\]}}])"
+#: Numbers with single spaces between, else white-space tokens with a digit or "@".
+TOKEN = rf"(?<![^{_WS}]){_NUMBER}(?:\x20{_NUMBER})++|(?<![^{_WS}])[^0-9@{_WS}]*+[0-9@][^{_WS}]*+"
 EDGES = r".,;:!?()\[\]{}\"'<>"
 #: Characters of the neighbouring text in which context words are looked for.
 CONTEXT = 64
@@ -97,13 +99,14 @@ def extracted(docs: DataFrame) -> DataFrame:
     df = _found(df, "token", TOKEN, F.col("digits") | (F.instr("t", "@") > 0))
     df = df.withColumns({f"b_{i}": F.expr(_spans(k, i, f"m_{k}", f"p_{k}", f"s_{k}", _valid(k))) for i, k in enumerate(KINDS)})
     df = df.withColumn("base", F.concat(*[f"b_{i}" for i in range(len(KINDS))]))
-    identifier = "length(regexp_replace(x.v, '[^0-9]', '')) >= 4 and length(x.v) >= 6"
-    df = df.withColumn("others", F.expr(_spans("token", -1, "m_token", "p_token", "s_token", identifier)))
+    df = df.withColumn("others", F.expr(_spans("token", -1, "m_token", "p_token", "s_token", "true")))
     # the token without the punctuation around it, unless it lies across a base span
     inner = r"regexp_extract(x.v, '\\A[\\p{P}&&[^+@]]*', 0)"
     core = rf"regexp_replace(x.v, '\\A[\\p{{P}}&&[^+@]]*|\\p{{P}}+\\z', '')"
     df = df.withColumn("others", F.expr(f"transform(others, x -> named_struct('k', x.k, 's', x.s + length({inner}), 'e', x.s + length({inner}) + length({core}), 'v', {core}, 'l', x.l, 'r', x.r))"))
-    df = df.withColumn("others", F.expr("filter(others, x -> length(x.v) >= 6 and not exists(base, b -> b.s < x.e and x.s < b.e))"))
+    df = df.withColumn("others", F.expr(r"filter(others, x -> x.v rlike '[\\p{L}0-9]' and not exists(base, b -> b.s < x.e and x.s < b.e))"))
+    anywhere = "x.v like '%@%' or length(x.v) >= 6 and length(regexp_replace(x.v, '[^0-9]', '')) >= 3"
+    df = df.withColumn("others", F.expr(f"transform(others, x -> named_struct('k', x.k, 's', x.s, 'e', x.e, 'v', if({anywhere}, x.v, concat_ws(char(0), x.v, x.l, x.r)), 'l', x.l, 'r', x.r))"))
     return df.select("doc_id", F.monotonically_increasing_id().alias("row"), "base", "others")
 
 
@@ -116,22 +119,22 @@ def _edges(spans: DataFrame) -> DataFrame:
 def discovered(rows: DataFrame, support: int = SUPPORT, accept: float = ACCEPT, rounds: int = ROUNDS) -> DataFrame:
     """(v, k): candidate values with the kind that patterns give them."""
     spans = lambda c: rows.select(F.explode(c).alias("x")).select("x.*")
-    seeds, edges = written(_edges(spans("base")), "pii-seeds"), _edges(spans("others"))
+    seeds, edges = written(_edges(spans("base")), "pii-seeds"), written(_edges(spans("others")).select("pattern", "v"), "pii-edges")
     total = seeds.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    strong = seeds.groupBy("pattern", "k").agg(F.count(F.lit(1)).alias("own")).where(F.col("own") >= support)
-    strong = written(strong.join(total, "pattern"), "pii-patterns")
-    # only candidates that a strong pattern reaches matter from here on
-    names = checked_broadcast(written(strong.select("pattern").distinct(), "pii-names"))
-    edges = written(edges.select("pattern", "v").join(names, "pattern").distinct(), "pii-edges")
     others = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("others"))
-    strong = written(strong.join(others, "pattern", "left").fillna(0, ["others"]), "pii-strong")
+    own = written(seeds.groupBy("pattern", "k").agg(F.count(F.lit(1)).alias("own"), F.lit(0).cast("long").alias("taken"), F.lit(0.0).alias("gained")), "pii-own")
     scores = None
     for number in range(rounds):
-        conf = strong.withColumn("gained", F.lit(0.0))
+        strong = own
         if scores is not None:
-            gained = edges.join(checked_broadcast(scores), "v").groupBy("pattern", "k").agg(F.sum("score").alias("g"))
-            conf = strong.join(gained, ["pattern", "k"], "left").withColumn("gained", F.coalesce("g", F.lit(0.0)))
-        conf = conf.select("pattern", "k", ((F.col("own") + F.col("gained")) / (F.col("n") + F.col("others"))).alias("c"))
+            taken = F.count_if(F.col("score") >= accept).alias("taken")
+            gained = edges.join(checked_broadcast(scores), "v").groupBy("pattern", "k").agg(F.lit(0).cast("long").alias("own"), taken, F.sum("score").alias("gained"))
+            strong = own.unionByName(gained).groupBy("pattern", "k").agg(*[F.sum(c).alias(c) for c in ("own", "taken", "gained")])
+        strong = written(strong.where(F.col("own") + F.col("taken") >= support), f"pii-strong{number}")
+        # the counts only of patterns that are strong in this round
+        names = checked_broadcast(strong.select("pattern").distinct())
+        strong = strong.join(total.join(names, "pattern"), "pattern", "left").join(others.join(names, "pattern"), "pattern", "left").fillna(0, ["n", "others"])
+        conf = strong.select("pattern", "k", ((F.col("own") + F.col("gained")) / (F.col("n") + F.col("others"))).alias("c"))
         conf = checked_broadcast(written(conf, f"pii-conf{number}"))
         best = edges.join(conf, "pattern").groupBy("v").agg(F.max(F.struct(F.col("c").alias("score"), (-F.col("k")).alias("k"))).alias("x"))
         scores = written(best.select("v", (-F.col("x.k")).alias("k"), F.col("x.score").alias("score")), f"pii-scores{number}")

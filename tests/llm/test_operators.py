@@ -144,6 +144,18 @@ def test_pii(spark, none):
     assert pii.found(none).count() == 0
 
 
+def test_pii_goes_on_from_found_values_to_any_candidate(spark):
+    kinds = {"phone": lambda i: f"+1 555 123 4{i:03d}", "mail": lambda i: f"u{i}@ex.co"}
+    texts = [f"my {kind}: {value(i)} now" for kind, value in kinds.items() for i in range(200)]
+    first = [f"555-77{i:04d}" for i in range(6)]
+    texts += [f"my phone: {v} now" for v in first] + [f"dial quickly {v} today" for v in first]
+    at = len(texts)
+    more = {"dial quickly 555-880000 today": "phone:13:23", "my mail: jane.doe@localhost now": "email:9:27", "my mail: @handle now": "email:9:16", "my phone: 555 123 4567 now": "phone:10:22", "my phone: AB123C now": "phone:10:16", "my phone: 12 now": "phone:10:12", "in 12 years": ""}
+    texts += list(more)
+    rows = {r["doc_id"]: r["spans"] for r in pii.found(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [rows[at + i] for i in range(len(more))] == list(more.values())
+
+
 def test_urls(spark):
     pages = [(1, "http://a.example.org/es/x?y"), (2, "https://EXAMPLE.org/en/1#z"), (3, "x://b.com/de/"), (4, "nothing"), (5, None), (6, "http://notorg/"), (7, "http://c.net/org/")]
     rows = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.judged(spark.createDataFrame(pages, "page_id long, url string")).collect()}
