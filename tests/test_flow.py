@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quire.operators import checks, chunks
+from quire.operators import checks, chunks, index
 from quire.plans.samples import MANUAL
 from quire.sources import tables
 
@@ -25,3 +25,10 @@ def test_chunks_and_files(spark, tmp_path):
 
 def test_no_pages(spark):
     assert chunks.assembled(spark.createDataFrame([], "manual_id string, page_number int, text string"), MANUAL).count() == 0
+
+
+def test_nearest_takes_any_number_of_queries(spark):
+    queries = spark.range(10_050).select(F.col("id").alias("query_id"), F.array(F.lit(1.0), F.col("id") % 3).alias("q"))
+    points = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)], "point long, v array<double>")
+    rows = index.nearest(queries, points, 1).collect()
+    assert len(rows) == 10_050 and all(r["point"] == r["query_id"] % 3 and r["rank"] == 1 for r in rows)
