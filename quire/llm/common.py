@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The most rows of keys that a join may broadcast; beyond it both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -46,16 +47,37 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """kind as it is when read from a file, with nulls allowed everywhere."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True, f.metadata) for f in kind])
+    return T.ArrayType(_nullable(kind.elementType), True) if isinstance(kind, T.ArrayType) else kind
+
+
+#: Spark's setting that shuffle files go when the query that made them has ended.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: computed once, its lineage cut, safe when
-    executors are lost. It goes when the driver ends."""
+    executors are lost. Shuffle files that it took go at once, the table when the driver ends."""
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """df as ``written`` makes it, in a folder for each value of by, and its path."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quire-{name}-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
+    schema = _nullable(df.schema)
+    before = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     p, fs = _path(spark, path)
     fs.deleteOnExit(p)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path), path
 
 
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -1,82 +1,91 @@
 """Elias-Fano coded monotone sequences of unsigned integers, with vectorised access and successor search.
 
 A sequence of n numbers below u takes about 2 + log2(u / n) bits each: the low bits as they are, the
-high parts in unary, with the number of zeros before each 64-bit word as a directory. Reading works on memory-mapped bytes.
+high parts in unary. Reading works on the coded bytes, which may be memory-mapped; beside them a reader holds
+the places of the ones and zeros of the unary part.
 """
 
 from __future__ import annotations
 
-import numpy as np
-
-_POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-_SELECT = np.zeros((256, 8), np.uint8)
-for _b in range(256):
-    for _k, _i in enumerate([i for i in range(8) if _b >> i & 1]):
-        _SELECT[_b, _k] = _i
+import tempfile
+from collections.abc import Iterable
 
+import numpy as np
+import zstandard
 
-def _in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the k-th set bit (from 0) of each word."""
-    parts = np.ascontiguousarray(words, "<u8").view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_POP[parts], axis=1, dtype=np.int64)
-    byte = (upto <= k[:, None]).sum(axis=1)
-    rows = np.arange(len(byte))
-    before = np.where(byte > 0, upto[rows, byte - 1], 0)
-    return byte * 8 + _SELECT[parts[rows, byte], k - before]
+_TYPES = ("|u1", "<u2", "<u4", "<u8", "<i8")
+#: Numbers whose low bits are packed at a time; a multiple of 8, so that slices end on whole bytes.
+_SLICE = 1 << 15
 
 
-def packed(arrays: list[np.ndarray]) -> bytes:
+def packed(arrays: Iterable[np.ndarray]) -> bytes:
     """Arrays in one block of bytes, each 8-aligned, with a small table before them."""
+    arrays = list(arrays)
     head = np.zeros(1 + 2 * len(arrays), "<i8")
     head[0] = len(arrays)
     body = []
     for i, a in enumerate(arrays):
         raw = a.tobytes()
-        head[1 + 2 * i : 3 + 2 * i] = _DTYPES.index(a.dtype.str), len(a)
+        head[1 + 2 * i : 3 + 2 * i] = _TYPES.index(a.dtype.str), len(a)
         body.append(raw + b"\0" * (-len(raw) % 8))
     return head.tobytes() + b"".join(body)
 
 
-_DTYPES = ["|u1", "<u4", "<u8", "<i8", "<u2"]
-
-
 def unpacked(raw) -> list[np.ndarray]:
     """Views of the arrays in a block, without copying."""
     n = int(np.frombuffer(raw, "<i8", 1)[0])
     head = np.frombuffer(raw, "<i8", 2 * n, 8)
     at, out = 8 + 16 * n, []
     for i in range(n):
-        dtype, size = np.dtype(_DTYPES[head[2 * i]]), int(head[2 * i + 1])
+        dtype, size = np.dtype(_TYPES[head[2 * i]]), int(head[2 * i + 1])
         out.append(np.frombuffer(raw, dtype, size, at))
         at += -(-size * dtype.itemsize // 8) * 8
     return out
 
 
+def sent(arrays: Iterable[np.ndarray]) -> bytes:
+    """A block for the way between tasks."""
+    return zstandard.ZstdCompressor(level=1).compress(packed(arrays))
+
+
+def received(raw: bytes) -> list[np.ndarray]:
+    return unpacked(zstandard.ZstdDecompressor().decompress(raw))
+
+
+def mapped(arrays: Iterable[np.ndarray]) -> list[np.ndarray]:
+    """The arrays in a memory-mapped file that goes with its last view."""
+    with tempfile.TemporaryFile() as f:
+        f.write(packed(arrays))
+        f.flush()
+        return unpacked(np.memmap(f, np.uint8, "r"))
+
+
 class EliasFano:
-    ARRAYS = 4
+    ARRAYS = 3
 
     def __init__(self, arrays: list[np.ndarray]) -> None:
-        (self.n, self.width), self.low, self.high, self.zeros = (int(x) for x in arrays[0]), *arrays[1:]
-        self.lows = np.ndarray((len(self.low) - 7,), "<u8", self.low, 0, (1,))
+        (self.n, self.width), low, high = (int(x) for x in arrays[0]), *arrays[1:]
+        self.lows = np.ndarray((len(low) - 8,), "<u8", low, 0, (1,))
         self.mask = np.uint64((1 << self.width) - 1)
+        bits = np.unpackbits(high, bitorder="little").view(bool)
+        self.ones = np.flatnonzero(bits).astype(np.uint32 if len(bits) < 1 << 32 else np.int64)
+        self._bits = bits
 
     @staticmethod
     def coded(values: np.ndarray) -> list[np.ndarray]:
+        """Three arrays for ascending numbers, which may repeat."""
         values = np.asarray(values, np.uint64)
         n = len(values)
         top = int(values[-1]) if n else 0
         width = min(max((top // max(n, 1)).bit_length() - 1, 0), 56)
-        low = values & np.uint64((1 << width) - 1)
-        bits = (low[:, None] >> np.arange(width, dtype=np.uint64)[None, :] & np.uint64(1)).astype(np.uint8)
-        lows = np.concatenate([np.packbits(bits.ravel(), bitorder="little"), np.zeros(8, np.uint8)])
-        ones = (values >> np.uint64(width)).astype(np.int64) + np.arange(n)
-        size = (int(ones[-1]) + 2 if n else 1) // 64 + 1
-        high = np.zeros(size * 64, np.uint8)
-        high[ones] = 1
-        per = 64 - high.reshape(-1, 64).sum(axis=1)
-        words = np.packbits(high, bitorder="little").view("<u8")
-        zeros = np.concatenate([[0], np.cumsum(per)[:-1]]).astype("<u4")
-        return [np.array([n, width], "<i8"), lows, words, zeros]
+        parts = []
+        for k in range(0, n if width else 0, _SLICE):
+            bits = np.unpackbits(values[k : k + _SLICE].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, count=width, bitorder="little")
+            parts.append(np.packbits(bits.ravel(), bitorder="little"))
+        high = (values >> np.uint64(width)).astype(np.int64) + np.arange(n)
+        unary = np.zeros((int(high[-1]) if n else 0) + 2, np.uint8)
+        unary[high] = 1
+        return [np.array([n, width], "<i8"), np.concatenate([*parts, np.zeros(16, np.uint8)]), np.packbits(unary, bitorder="little")]
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         at = i * self.width
@@ -85,38 +94,47 @@ class EliasFano:
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
         """The i-th numbers."""
         i = np.asarray(i, np.int64)
-        ones = np.arange(len(self.zeros), dtype=np.int64) * 64 - self.zeros
-        word = np.searchsorted(ones, i, "right") - 1
-        place = word * 64 + _in_word(self.high[word], i - ones[word])
-        return (place - i).astype(np.uint64) << np.uint64(self.width) | self._low(i)
+        return (self.ones[i].astype(np.int64) - i).astype(np.uint64) << np.uint64(self.width) | self._low(i)
+
+    def all(self) -> np.ndarray:
+        return self[np.arange(self.n)]
 
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index of the first number that is at least x, whether it equals x)."""
         x = np.asarray(x, np.uint64)
-        high, low = (x >> np.uint64(self.width)).astype(np.int64), x & self.mask
-        last = len(self.zeros) * 64 - int(self._ones_total())
-        beyond = high >= last
-        high = np.minimum(high, last)
-        place = np.zeros(len(x), np.int64)
-        some = np.flatnonzero(high > 0)
-        k = high[some] - 1
-        word = np.searchsorted(self.zeros, k, "right") - 1
-        place[some] = word * 64 + _in_word(~self.high[word], k - self.zeros[word]) + 1
-        index = place - high
+        if not self.n:
+            return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+        if not hasattr(self, "starts"):  # of the numbers with each high part
+            zeros = np.flatnonzero(~self._bits)
+            self.starts = np.concatenate([[0], zeros - np.arange(len(zeros))]).astype(self.ones.dtype)
+            self._bits = None
+        high, low = x >> np.uint64(self.width), x & self.mask
+        last = np.uint64(len(self.starts) - 2)
+        beyond = high > last
+        high = np.minimum(high, last).astype(np.int64)
+        index, end = self.starts[high].astype(np.int64), self.starts[high + 1].astype(np.int64)
+        index[beyond] = end[beyond] = self.n
         equal = np.zeros(len(x), bool)
-        active = np.flatnonzero(~beyond & (index < self.n))
+        active = np.flatnonzero(index < end)
+        steps = 0
         while len(active):
-            p, i = place[active], index[active]
-            here = (self.high[p >> 6] >> (p & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-            active, i = active[here], i[here]
+            i, want = index[active], low[active]
             value = self._low(i)
-            want = low[active]
             equal[active[value == want]] = True
-            active = active[value < want]
-            place[active] += 1
+            less = value < want
+            active = active[less]
             index[active] += 1
-            active = active[index[active] < self.n]
+            active = active[index[active] < end[active]]
+            steps += 1
+            if steps == 4 and len(active):  # the others have many numbers before them: halve what is left
+                lo, hi, want = index[active], end[active], low[active]
+                while (some := lo < hi).any():
+                    middle = (lo + hi) >> 1
+                    less = some & (self._low(np.minimum(middle, self.n - 1)) < want)
+                    lo = np.where(less, middle + 1, lo)
+                    hi = np.where(some & ~less, middle, hi)
+                index[active] = lo
+                found = lo < end[active]
+                equal[active[found]] = self._low(lo[found]) == want[found]
+                break
         return index, equal
-
-    def _ones_total(self) -> int:
-        return self.n

@@ -186,45 +186,55 @@ def test_nearest_is_the_least_edit_distance():
         assert licenses.nearest(notice, text, masks) == best
 
 
-def test_language_model(docs, none):
-    rows = ngram_lm.scored(docs).collect()
+def _brute_model(texts):
+    """(token counts, N, V, log10 probability of a list of tokens): pairs and triples in plain Python."""
     token = lambda t: [*ngram_lm.tokens(t or ""), ngram_lm.END]
-    train = [token(r["text"]) for r in docs.collect() if zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 7 != 2]
+    train = [token(t) for i, t in texts if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
     count = Counter(w for t in train for w in t)
     pairs = Counter(p for t in train for p in zip([ngram_lm.END, *t], t, strict=False))
+    triples = Counter(p for t in train for p in zip([ngram_lm.END, *t], t, t[1:], strict=False))
     n, v = sum(count.values()), len(count)
-    kept = {p: k for p, k in pairs.items() if k >= 2}
     base = lambda w: (count[w] + 1) / (n + v + 1)
+    two = lambda a, w: (pairs[a, w] + ngram_lm.MU[0] * base(w)) / (count[a] + ngram_lm.MU[0])
+    three = lambda a, b, w: (triples[a, b, w] + ngram_lm.MU[1] * two(b, w)) / (pairs[a, b] + ngram_lm.MU[1])
+    score = lambda t: math.log10(two(ngram_lm.END, t[0])) + sum(math.log10(three(*x)) for x in zip([ngram_lm.END, *t], t, t[1:], strict=False))
+    return token, count, n, v, base, score
 
-    def p(c, w):
-        if not count[c]:
-            return base(w)
-        rest = 1 - sum(k - 0.75 for (a, _), k in kept.items() if a == c) / count[c]
-        return max(kept.get((c, w), 0) - 0.75, 0) / count[c] + rest * base(w)
 
-    text = {r["doc_id"]: r["text"] for r in docs.collect()}
-    for r in rows[:20]:
-        t = token(text[r["doc_id"]])
-        assert r["train_tokens"] == n and r["n_tokens"] == len(t)
+def _same_model(rows, texts):
+    token, count, n, _, base, score = _brute_model(texts)
+    expected = sorted((str(i), str(zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2), len(token(t)), sum(count[w] > 0 for w in token(t)), n) for i, t in texts)
+    assert sorted((str(r["doc_id"]), str(r["held_out"]), r["n_tokens"], r["n_known"], r["train_tokens"]) for r in rows) == expected
+    by = {(i, len(token(t))): token(t) for i, t in texts}
+    for r in rows:
+        t = by[r["doc_id"], r["n_tokens"]]
         assert r["base_score"] == pytest.approx(sum(math.log10(base(w)) for w in t))
-        assert r["score"] == pytest.approx(sum(math.log10(p(a, w)) for a, w in zip([ngram_lm.END, *t], t, strict=False)), abs=0.03 * len(t))
-    assert ngram_lm.scored(none).count() == 0
+        assert r["score"] == pytest.approx(score(t), abs=0.03 * len(t))
 
 
-def test_language_model_query_keeps_every_pair(spark, docs, tmp_path):
+def test_language_model_is_that_of_every_pair_and_triple(spark, docs, none, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     rows = ngram_lm.query(spark, str(tmp_path)).collect()
-    token = lambda t: [*ngram_lm.tokens(t or ""), ngram_lm.END]
-    texts = docs.collect()
-    train = [token(r["text"]) for r in texts if zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 7 != 2]
-    count = Counter(w for t in train for w in t)
-    pairs = Counter(p for t in train for p in zip([ngram_lm.END, *t], t, strict=False))
-    kids = Counter(a for a, _ in pairs)
-    n, v = sum(count.values()), len(count)
-    base = lambda w: (count[w] + 1) / (n + v + 1)
-    p = lambda c, w: max(pairs[c, w] - 0.75, 0) / count[c] + 0.75 * kids[c] / count[c] * base(w) if count[c] else base(w)
-    text = {r["doc_id"]: r["text"] for r in texts}
-    assert 1 in pairs.values() and len(rows) == len(texts)
-    for r in rows:
-        t = token(text[r["doc_id"]])
-        assert r["score"] == pytest.approx(sum(math.log10(p(a, w)) for a, w in zip([ngram_lm.END, *t], t, strict=False)), abs=0.03 * len(t))
+    _same_model(rows, [(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert ngram_lm.scored(none).count() == 0
+
+
+def test_language_model_in_many_runs_shards_parts_and_stretches(spark):
+    rng = random.Random(8)
+    words = ["x", *[f"w{i}" for i in range(60)], "\u00c9", "\u00e9"]
+    text = lambda n: " ".join("x" if rng.random() < 0.4 else rng.choice(words) for _ in range(n))
+    texts = [(i, text(rng.randrange(30))) for i in range(150)] + [(1000, text(900)), (1001, " " * 700), (1002, "y" * 900 + " x w1  " + " " * 450 + "x"), (1003, text(400))]
+    cut = list(ngram_lm._stretches(b"a b " * 200, 200))
+    assert len(cut) > 2 and sum(cut, []) == [*ngram_lm.tokens("a b " * 200), ngram_lm.END]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    _same_model(ngram_lm.scored(docs, run=300, piece=200, shard=500, split=40).collect(), texts)
+
+
+def test_levels_find_what_they_hold_and_nothing_else():
+    rng = np.random.default_rng(4)
+    for contexts, words in ((1, 1), (3, 5), (200, 3000)):
+        keys = np.unique(rng.integers(0, contexts, 2000) << 32 | rng.integers(0, words, 2000)).astype(np.uint64)
+        level = ngram_lm.Level(keys, np.arange(len(keys)).astype("<u4"))
+        asked = np.unique(np.concatenate([keys, (rng.integers(0, contexts + 2, 3000) << 32 | rng.integers(0, words + 2, 3000)).astype(np.uint64)]))
+        place, there = level.find(asked)
+        assert (there == np.isin(asked, keys)).all() and (keys[place[there]] == asked[there]).all()
