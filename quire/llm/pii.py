@@ -1,18 +1,24 @@
 """Personal data by bootstrapped contextual extraction, all in SQL functions.
 
-Seeds are the base kinds' spans. The word before and the word after a span, alone and together, are its lexical
-patterns. Other tokens with digits or "@", and runs of numbers with single spaces between, are candidates with
+Seeds are the base kinds' spans, and for the kind "secret", which comes after them, runs of 32 or more hexadecimal digits, letters
+and numbers among them, as keys and digests are written. What stands around a seed gives its lexical patterns: the last one, two
+and three words or punctuation marks before it, the first one and two after it, and those before with the first after.
+Other tokens with digits or "@", and runs of numbers with single spaces between, are candidates with
 patterns of their own. A candidate with "@", or of six characters with three digits, is one instance wherever it stands;
-a shorter one only with the words around it, so that a found "12" says nothing of others. Both give a graph of patterns and instances (values), which is scored in rounds: a pattern's
-confidence for a kind is the score of its instances of that kind over all its instances; a candidate's score
-for a kind is the best confidence of a pattern of that kind. Patterns count in a round with at
-least SUPPORT different seeds and values that scored ACCEPT in the round before; so found values bring new patterns. What scores ACCEPT or more at the end is found in its kind.
+a shorter one only with the words around it, so that a found "12" says nothing of others.
+
+Both give a graph of patterns and instances (values), which is scored in rounds. A pattern speaks for a kind when it has SUPPORT
+different seeds and found values of that kind; its confidence is their share of its other instances, the judged one left out.
+A candidate that a pattern gives ACCEPT or more is found, in the kind of the best one, and counts from the next round on, so
+that found values bring new patterns. What is found stays found, so rounds end: when one finds nothing more.
 
 Spans are code points. All searches are linear in the text: runs of characters are taken possessively and begin
-only where a run begins (or the last match ended), which finds the same leftmost matches.
+only where a run begins (or the last match ended), which finds the same leftmost matches; contexts are read from the span outwards.
 
-Defined results. Null text counts as empty: no spans. Repeated rows are searched each. Documents that lack
-neighbours have empty context words, which make no pattern. An empty table gives no rows; extra columns are ignored.
+Defined results. Null text counts as empty: no spans. Repeated rows are searched each, but a value counts once for a pattern. Spans at an end of the
+text have no patterns on that side. Between kinds with equal confidence the first listed wins. Spans of different base kinds may
+overlap; those that the method adds overlap no base span. Texts, words and values of any length are read whole; in the graph one
+of over 64 characters is named by its SHA-256. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,18 +43,22 @@ _NUMBER = rf"[+(]*+[0-9][0-9().-]*+(?![^{_WS},;:!?\"'\]}}])"
 #: Numbers with single spaces between, else white-space tokens with a digit or "@".
 TOKEN = rf"(?<![^{_WS}]){_NUMBER}(?:\x20{_NUMBER})++|(?<![^{_WS}])[^0-9@{_WS}]*+[0-9@][^{_WS}]*+"
 EDGES = r".,;:!?()\[\]{}\"'<>"
-#: Characters of the neighbouring text in which context words are looked for.
-CONTEXT = 64
-SUPPORT, ACCEPT, ROUNDS = 5, 0.9, 3
-_BLOCK = 256
+SUPPORT, ACCEPT = 5, 0.9
+#: Kinds of the method beside the base ones: seeds, and what has to be in one.
+SECRET = {"secret": r"(?<![\p{L}\p{N}])[0-9A-Fa-f]{32,}+(?![\p{L}\p{N}])"}
+ALL = (*KINDS, *SECRET)
+_BLOCK, _LEVELS = 32, 4
 
 
-def _starts(m: str, p: str) -> str:
-    """SQL for the 0-based starts of matches m between pieces p: running sums over blocks, then inside one."""
-    lens = f"zip_with(slice({p}, 1, size({m})), {m}, (a, b) -> length(a) + length(b))"
-    return f"""transform(sequence(1, size({m})), i -> length({p}[i - 1])
-      + aggregate(slice(bl_{m}, 1, div(i - 1, {_BLOCK})), 0L, (n, x) -> n + x)
-      + aggregate(slice(le_{m}, div(i - 1, {_BLOCK}) * {_BLOCK} + 1, (i - 1) % {_BLOCK}), 0L, (n, x) -> n + x))""".replace("div(i - 1, 256)", "cast((i - 1) div 256 as int)"), lens
+def _upto(m: str) -> str:
+    """SQL for the sum of the first i - 1 entries of le_m, from sums over blocks of blocks."""
+    parts, done = [], "0"
+    for level in range(_LEVELS - 1, -1, -1):
+        size = _BLOCK**level
+        here = f"cast((i - 1) div {size} as int)"
+        parts.append(f"aggregate(slice(le{level}_{m}, {done} + 1, {here} - {done}), 0L, (n, x) -> n + x)")
+        done = f"({here} * {_BLOCK})"
+    return " + ".join(parts)
 
 
 def _found(df: DataFrame, name: str, pattern: str, guard: Column) -> DataFrame:
@@ -57,17 +67,22 @@ def _found(df: DataFrame, name: str, pattern: str, guard: Column) -> DataFrame:
     none = F.array().cast("array<string>")
     df = df.withColumn(m, F.when(guard, F.regexp_extract_all("t", F.lit(pattern), F.lit(0))).otherwise(none))
     df = df.withColumn(p, F.when(F.size(m) > 0, F.split("t", pattern, -1)).otherwise(none))
-    starts, lens = _starts(m, p)
-    df = df.withColumn(f"le_{m}", F.expr(lens))
-    df = df.withColumn(f"bl_{m}", F.expr(f"transform(sequence(0, cast(size({m}) div {_BLOCK} as int)), j -> aggregate(slice(le_{m}, j * {_BLOCK} + 1, {_BLOCK}), 0L, (n, x) -> n + x))"))
-    df = df.withColumn(s, F.expr(f"if(size({m}) = 0, array(), {starts})"))
-    return df.drop(f"le_{m}", f"bl_{m}")
+    lens = f"zip_with(slice({p}, 1, size({m})), {m}, (a, b) -> cast(length(a) + length(b) as long))"
+    df = df.withColumn(f"le0_{m}", F.expr(f"if(size({m}) = 0, array(), {lens})"))
+    for level in range(1, _LEVELS):
+        below = f"le{level - 1}_{m}"
+        sums = f"transform(sequence(0, cast((size({below}) - 1) div {_BLOCK} as int)), j -> aggregate(slice({below}, j * {_BLOCK} + 1, {_BLOCK}), 0L, (n, x) -> n + x))"
+        df = df.withColumn(f"le{level}_{m}", F.expr(f"if(size({below}) = 0, array(), {sums})"))
+    df = df.withColumn(s, F.expr(f"if(size({m}) = 0, array(), transform(sequence(1, size({m})), i -> length({p}[i - 1]) + {_upto(m)}))"))
+    return df.drop(*[f"le{level}_{m}" for level in range(_LEVELS)])
 
 
 def _valid(kind: str) -> str:
     """SQL on x: whether a match stays."""
     if kind == "email":
         return "true"
+    if kind == "secret":
+        return "x.v rlike '[0-9]' and x.v rlike '[A-Za-z]' and not exists(base, b -> b.s < x.e and x.s < b.e)"
     if kind == "ip":
         return f"x.v rlike '{IP_VALID}'".replace("\\", "\\\\")
     digits = "regexp_replace(x.v, '[^0-9]', '')"
@@ -77,88 +92,120 @@ def _valid(kind: str) -> str:
     return f"if(length({digits}) between 13 and 19, {luhn}, false)"
 
 
-def _word(piece: str, last: bool) -> str:
-    """SQL for the last or first word of a piece, in lower case without punctuation around; digits become 0."""
-    cut = f"right({piece}, {CONTEXT})" if last else f"left({piece}, {CONTEXT})"
-    pattern = r"([^\\x20\\x09-\\x0D]+)[\\x20\\x09-\\x0D]*\\z" if last else r"\\A[\\x20\\x09-\\x0D]*([^\\x20\\x09-\\x0D]+)"
-    return f"regexp_replace(regexp_replace(lower(regexp_extract({cut}, '{pattern}', 1)), '[0-9]+', '0'), '^[^\\\\p{{L}}0]+|[^\\\\p{{L}}0]+$', '')"
+_WORD = r"(?:[\\p{L}\\p{N}_]++|[^\\s\\p{L}\\p{N}_])"
+_short = lambda x: f"if(length({x}) > 64, sha2({x}, 256), {x})"
+
+
+def _context(piece: str, last: bool) -> str:
+    """SQL for the words and marks of a piece next to its end (three) or its start (two), in the order of the text, in
+    lower case; digits become 0. Read from the span outwards, at most three words are looked at."""
+    side = f"reverse({piece})" if last else piece
+    near = rf"regexp_extract({side}, '\\A(?:\\s*+{_WORD}){{1,{3 if last else 2}}}+', 0)"
+    words = rf"regexp_extract_all(regexp_replace(lower({f'reverse({near})' if last else near}), '[0-9]+', '0'), '{_WORD}', 0)"
+    return f"transform({words}, w -> {_short('w')})"
 
 
-def _spans(kind: str, order: int, m: str, p: str, s: str, where: str) -> str:
-    items = f"transform(sequence(1, size({m})), i -> named_struct('k', {order}, 's', cast({s}[i - 1] as long), 'e', cast({s}[i - 1] as long) + length({m}[i - 1]), 'v', {m}[i - 1], 'l', {_word(f'{p}[i - 1]', True)}, 'r', {_word(f'{p}[i]', False)}))"
+def _spans(order: int, m: str, p: str, s: str, where: str) -> str:
+    items = f"transform(sequence(1, size({m})), i -> named_struct('k', {order}, 's', cast({s}[i - 1] as long), 'e', cast({s}[i - 1] as long) + length({m}[i - 1]), 'v', {m}[i - 1], 'l', {p}[i - 1], 'r', {p}[i]))"
     return f"filter(if(size({m}) = 0, array(), {items}), x -> {where})"
 
 
+def _with_contexts(spans: str, anywhere: str = "true") -> str:
+    """SQL for spans with words for the pieces around them. A value that is not an instance anywhere is named with its context."""
+    named = f"if({anywhere}, {_short('x.v')}, concat_ws(char(0), x.v, array_join(x.l, ' '), array_join(x.r, ' ')))"
+    worded = f"transform({spans}, x -> named_struct('k', x.k, 's', x.s, 'e', x.e, 'v', x.v, 'l', {_context('x.l', True)}, 'r', {_context('x.r', False)}))"
+    return f"transform({worded}, x -> named_struct('k', x.k, 's', x.s, 'e', x.e, 'v', {named}, 'l', x.l, 'r', x.r))"
+
+
 def extracted(docs: DataFrame) -> DataFrame:
     """doc_id, row, base and others: arrays of spans (k kind number, s, e, v value, l and r context words)."""
     df = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("t"))
     df = df.withColumn("digits", F.col("t").rlike("[0-9]"))
     guards = {"email": F.instr("t", "@") > 0, "ip": F.col("digits"), "card": F.col("digits"), "phone": F.instr("t", "+") > 0}
-    for kind, pattern in KINDS.items():
+    guards["secret"] = F.col("digits")
+    for kind, pattern in (KINDS | SECRET).items():
         df = _found(df, kind, pattern, guards[kind])
     df = _found(df, "token", TOKEN, F.col("digits") | (F.instr("t", "@") > 0))
-    df = df.withColumns({f"b_{i}": F.expr(_spans(k, i, f"m_{k}", f"p_{k}", f"s_{k}", _valid(k))) for i, k in enumerate(KINDS)})
-    df = df.withColumn("base", F.concat(*[f"b_{i}" for i in range(len(KINDS))]))
-    df = df.withColumn("others", F.expr(_spans("token", -1, "m_token", "p_token", "s_token", "true")))
-    # the token without the punctuation around it, unless it lies across a base span
-    inner = r"regexp_extract(x.v, '\\A[\\p{P}&&[^+@]]*', 0)"
-    core = rf"regexp_replace(x.v, '\\A[\\p{{P}}&&[^+@]]*|\\p{{P}}+\\z', '')"
-    df = df.withColumn("others", F.expr(f"transform(others, x -> named_struct('k', x.k, 's', x.s + length({inner}), 'e', x.s + length({inner}) + length({core}), 'v', {core}, 'l', x.l, 'r', x.r))"))
-    df = df.withColumn("others", F.expr(r"filter(others, x -> x.v rlike '[\\p{L}0-9]' and not exists(base, b -> b.s < x.e and x.s < b.e))"))
+    spans = lambda k, where: F.expr(_spans(ALL.index(k) if k in ALL else -1, f"m_{k}", f"p_{k}", f"s_{k}", where))
+    df = df.withColumns({f"b_{k}": spans(k, _valid(k)) for k in KINDS})
+    df = df.withColumn("base", F.concat(*[f"b_{k}" for k in KINDS]))
+    df = df.withColumn("secret", spans("secret", _valid("secret")))
+    df = df.withColumn("others", spans("token", "true"))
+    # the token without what stands around letters and digits, which belongs to the context, unless it lies across a found span
+    before, after = (rf"regexp_extract(x.v, '{e}', 0)" for e in (r"\\A[^\\p{L}\\p{N}+@]*+", r"[^\\p{L}\\p{N}]*+\\z"))
+    after = rf"reverse(regexp_extract(reverse(x.v), '\\A[^\\p{{L}}\\p{{N}}]*+', 0))"
+    cut = f"transform(others, x -> named_struct('x', x, 'a', {before}, 'b', {after}))"
+    core = "substr(y.x.v, length(y.a) + 1, greatest(0, length(y.x.v) - length(y.a) - length(y.b)))"
+    df = df.withColumn("others", F.expr(f"transform({cut}, y -> named_struct('k', y.x.k, 's', y.x.s + length(y.a), 'e', y.x.e - length(y.b), 'v', {core}, 'l', concat(y.x.l, y.a), 'r', concat(y.b, y.x.r)))"))
+    df = df.withColumn("taken", F.expr("transform(concat(base, secret), b -> named_struct('s', b.s, 'e', b.e))"))
+    df = df.withColumn("others", F.expr("filter(others, x -> x.v rlike '[\\\\p{L}0-9]' and not exists(taken, b -> b.s < x.e and x.s < b.e))"))
     anywhere = "x.v like '%@%' or length(x.v) >= 6 and length(regexp_replace(x.v, '[^0-9]', '')) >= 3"
-    df = df.withColumn("others", F.expr(f"transform(others, x -> named_struct('k', x.k, 's', x.s, 'e', x.e, 'v', if({anywhere}, x.v, concat_ws(char(0), x.v, x.l, x.r)), 'l', x.l, 'r', x.r))"))
-    return df.select("doc_id", F.monotonically_increasing_id().alias("row"), "base", "others")
+    df = df.withColumns({"base": F.expr(_with_contexts("base")), "secret": F.expr(_with_contexts("secret")), "others": F.expr(_with_contexts("others", anywhere))})
+    return df.select("doc_id", F.monotonically_increasing_id().alias("row"), "base", "secret", "others")
 
 
 def _edges(spans: DataFrame) -> DataFrame:
-    """(pattern, k, v), each once: a pattern is side, word or words."""
-    patterns = F.array(F.when(F.col("l") != "", F.concat(F.lit("l "), "l")), F.when(F.col("r") != "", F.concat(F.lit("r "), "r")), F.when((F.col("l") != "") & (F.col("r") != ""), F.concat_ws(" ", F.lit("b"), "l", "r")))
-    return spans.select(F.explode(F.array_compact(patterns)).alias("pattern"), "k", "v").distinct()
+    """(pattern, k, v), each once: a pattern is side and words."""
+    before = [f"if(size(l) >= {n}, array_join(slice(l, -{n}, {n}), ' '), null)" for n in (1, 2, 3)]
+    after = [f"if(size(r) >= {n}, array_join(slice(r, 1, {n}), ' '), null)" for n in (1, 2)]
+    patterns = [*[f"concat('l ', {x})" for x in before], *[f"concat('r ', {x})" for x in after], *[f"concat('b ', {x}, ' _ ', {after[0]})" for x in before]]
+    return spans.select(F.explode(F.expr(f"filter(array({', '.join(patterns)}), x -> x is not null)")).alias("pattern"), "k", "v").distinct()
 
 
-def discovered(rows: DataFrame, support: int = SUPPORT, accept: float = ACCEPT, rounds: int = ROUNDS) -> DataFrame:
-    """(v, k): candidate values with the kind that patterns give them."""
+def patterns(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The graph: (pattern, k, own, all) with the number of seeds of kind k and of all instances; (pattern, v) of candidates."""
     spans = lambda c: rows.select(F.explode(c).alias("x")).select("x.*")
-    seeds, edges = written(_edges(spans("base")), "pii-seeds"), written(_edges(spans("others")).select("pattern", "v"), "pii-edges")
-    total = seeds.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    seeds = written(_edges(spans(F.concat("base", "secret"))), "pii-seeds")
+    edges = written(_edges(spans("others")).select("pattern", "v"), "pii-edges")
+    counts = seeds.groupBy("pattern", "k").agg(F.count(F.lit(1)).alias("own"))
+    kinds = counts.groupBy("pattern").agg(F.collect_list(F.struct("k", "own")).alias("kinds"), F.sum("own").alias("n"))
     others = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("others"))
-    own = written(seeds.groupBy("pattern", "k").agg(F.count(F.lit(1)).alias("own"), F.lit(0).cast("long").alias("taken"), F.lit(0.0).alias("gained")), "pii-own")
-    scores = None
-    for number in range(rounds):
-        strong = own
-        if scores is not None:
-            taken = F.count_if(F.col("score") >= accept).alias("taken")
-            gained = edges.join(checked_broadcast(scores), "v").groupBy("pattern", "k").agg(F.lit(0).cast("long").alias("own"), taken, F.sum("score").alias("gained"))
-            strong = own.unionByName(gained).groupBy("pattern", "k").agg(*[F.sum(c).alias(c) for c in ("own", "taken", "gained")])
-        strong = written(strong.where(F.col("own") + F.col("taken") >= support), f"pii-strong{number}")
-        # the counts only of patterns that are strong in this round
-        names = checked_broadcast(strong.select("pattern").distinct())
-        strong = strong.join(total.join(names, "pattern"), "pattern", "left").join(others.join(names, "pattern"), "pattern", "left").fillna(0, ["n", "others"])
-        conf = strong.select("pattern", "k", ((F.col("own") + F.col("gained")) / (F.col("n") + F.col("others"))).alias("c"))
-        conf = checked_broadcast(written(conf, f"pii-conf{number}"))
-        best = edges.join(conf, "pattern").groupBy("v").agg(F.max(F.struct(F.col("c").alias("score"), (-F.col("k")).alias("k"))).alias("x"))
-        scores = written(best.select("v", (-F.col("x.k")).alias("k"), F.col("x.score").alias("score")), f"pii-scores{number}")
-    return scores.where(F.col("score") >= accept).select("v", "k")
+    every = kinds.join(others, "pattern", "full").select("pattern", "kinds", (F.coalesce("n", F.lit(0)) + F.coalesce("others", F.lit(0))).alias("all"), F.coalesce("others", F.lit(0)).alias("others"))
+    return every.where("others > 0"), edges
+
+
+def discovered(rows: DataFrame, support: int = SUPPORT, accept: float = ACCEPT) -> DataFrame:
+    """(v, k): candidate values with the kind that patterns give them."""
+    every, edges = patterns(rows)
+    every = written(every, "pii-patterns")  # those with a candidate
+    own = every.select("pattern", "all", F.explode("kinds").alias("x")).select("pattern", "all", "x.*")
+    found, number = None, 0
+    while True:
+        counts = own
+        if found is not None:
+            taken = edges.join(checked_broadcast(found), "v").groupBy("pattern", "k").agg(F.count(F.lit(1)).alias("own"))
+            counts = own.drop("all").unionByName(taken).groupBy("pattern", "k").agg(F.sum("own").alias("own")).join(every.select("pattern", "all"), "pattern")
+        # the judged value is one of the instances, and not of those that speak for the kind
+        strong = counts.where(F.col("own") >= support).select("pattern", "k", (F.col("own") / (F.col("all") - 1)).alias("c")).where(F.col("c") >= accept)
+        strong = checked_broadcast(written(strong, f"pii-strong{number}"))
+        best = edges.join(strong, "pattern").groupBy("v").agg(F.max(F.struct("c", (-F.col("k")).alias("k"))).alias("x")).select("v", (-F.col("x.k")).alias("k"))
+        if found is not None:
+            best = best.join(checked_broadcast(found), "v", "left_anti").unionByName(found)
+        before = found.count() if found is not None else 0
+        found, number = written(best, f"pii-found{number}"), number + 1
+        if found.count() == before:
+            return found
 
 
 def _named(spans: str) -> str:
-    kinds = "array({})".format(", ".join(f"'{k}'" for k in KINDS))
+    kinds = "array({})".format(", ".join(f"'{k}'" for k in ALL))
     return f"array_join(transform({spans}, x -> concat_ws(':', {kinds}[x.k], x.s, x.e)), ',')"
 
 
 def found(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans, personal (whether there is a span)."""
     rows = written(extracted(docs), "pii-rows")
     values = checked_broadcast(written(discovered(rows, **options), "pii-values"))
     more = rows.select("row", F.explode("others").alias("x")).select("row", F.col("x.v").alias("v"), F.col("x.s").alias("s"), F.col("x.e").alias("e")).join(values, "v")
     more = written(more.groupBy("row").agg(F.collect_list(F.struct("k", "s", "e")).alias("more")), "pii-more")
     rows = rows.join(checked_broadcast(more, 100_000), "row", "left")
-    rows = rows.withColumn("base", F.expr("transform(base, x -> named_struct('k', x.k, 's', x.s, 'e', x.e))"))
+    rows = rows.withColumns({c: F.expr(f"transform({c}, x -> named_struct('k', x.k, 's', x.s, 'e', x.e))") for c in ("base", "secret")})
+    rows = rows.withColumn("every", F.expr("array_sort(concat(base, secret, coalesce(more, array())))"))
     count = lambda i: F.expr(f"size(filter(base, x -> x.k = {i}))").cast("long")
     return rows.select(
         "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.sha2(F.encode(F.expr(_named("base")), "UTF-8"), 256).alias("base_sha256"),
-        F.expr(_named("array_sort(concat(base, coalesce(more, array())))")).alias("spans"),
+        F.expr(_named("every")).alias("spans"), F.size("every").cast("long").alias("n_spans"), (F.size("every") > 0).alias("personal"),
     )
 
 
