@@ -3,10 +3,10 @@
 A notice of n characters may differ from its standard wording by ``errors`` edits, about a tenth of n. Cut into errors + 1
 pieces, at least one piece of any such match is unchanged (pigeonhole); pieces are cut so that they are as even as
 possible. One Aho-Corasick automaton finds all pieces of all notices in one pass over the words of the text, and
-each hit names a place where its notice would begin. Where bit vectors of edit distance show that something
-there fits, which loses no match, the regex library's bounded-error matching, with
-its best-match flag, verifies the edits and reports the span. A text is read whole, whatever its length; the
-base labels look for exact phrases of words.
+each hit names a place where its notice would begin. Bit vectors of edit distance run once over these places and give
+each end where fewer edits are needed than around it, which loses no match; there the regex library's bounded-error matching, with
+its best-match flag, verifies the edits in a window of the notice's length and reports the span. So time grows with the text and the notices in it.
+A text is read whole, whatever its length; the base labels look for exact phrases of words.
 
 Defined results. Null text counts as empty: no words, no labels, score 0. Words with other letters
 than A-Z are words too. Overlapping places of a phrase all count. A label is named once. score is 1 minus edits / length of the best verified
@@ -16,6 +16,7 @@ notice, 1 if a base phrase stands, else 0. Repeated rows are scanned each; an em
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
@@ -61,30 +62,50 @@ def pieces(notice: str, errors: int) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def nearest(notice: str, text: str, masks: dict[str, int]) -> int:
-    """The fewest edits between notice and any stretch of text, by Myers's bit vectors: one step a character.
+def ends(notice: str, text: str, masks: dict[str, int], errors: int) -> list[tuple[int, int]]:
+    """(end, edits) where a stretch of text that ends there is at most errors edits from notice, and those that end just
+    before and after need more, or as many and begin no earlier run of such ends. By Myers's bit vectors, one step a character.
     masks: the places of each character in notice, as bits."""
     full = (1 << len(notice)) - 1
     top = full ^ full >> 1
     plus, minus, edits = full, 0, len(notice)
-    best = edits
-    for c in text:
+    out: list[tuple[int, int]] = []
+    falling = True  # whether the last change of edits was downwards
+    for at, c in enumerate(text):
         same = masks.get(c, 0)
         vertical = same | minus
         across = (same & plus) + plus ^ plus | same
         up, down = (minus | ~(across | plus)) & full, plus & across
-        edits += (up & top > 0) - (down & top > 0)
-        best = min(best, edits)
+        if up & top:
+            if falling and edits <= errors:
+                out.append((at, edits))
+            edits, falling = edits + 1, False
+        elif down & top:
+            edits, falling = edits - 1, True
         up, down = up << 1 & full, down << 1 & full
         plus, minus = (down | ~(vertical | up)) & full, up & vertical
-    return best
+    if falling and edits <= errors:
+        out.append((len(text), edits))
+    return out
+
+
+def apart(spans: list[tuple[str, int, int, int]]) -> list[tuple[str, int, int, int]]:
+    """Of overlapping spans the one with the fewest edits stays, then the longest; in the order of the text."""
+    starts: list[int] = []
+    kept: list[tuple[str, int, int, int]] = []
+    for span in sorted(set(spans), key=lambda s: (s[3], s[1] - s[2], s[1], s[0])):
+        k = bisect_left(starts, span[2])  # those before k begin before the span ends; the last of them ends last
+        if not k or kept[k - 1][2] <= span[1]:
+            starts.insert(k, span[1])
+            kept.insert(k, span)
+    return kept
 
 
 class Scanner:
     def __init__(self, phrases=PHRASES, notices=NOTICES, rate: float = RATE) -> None:
         self.phrases = [(re.compile(f"(?<= ){p}(?= )"), label, p.rpartition(" ")[2]) for p, label in phrases]
         self.notices = [(label, n, int(rate * len(n))) for label, n in notices]
-        self.patterns = [regex.compile(f"(?b)(?:{regex.escape(n)}){{e<={e}}}") for _, n, e in self.notices]
+        self.patterns: dict[tuple[int, int], regex.Pattern] = {}
         self.masks = [{c: sum(1 << i for i, x in enumerate(n) if x == c) for c in n} for _, n, _ in self.notices]
         seeds: dict[str, list[tuple[int, int]]] = {}
         for number, (_, notice, errors) in enumerate(self.notices):
@@ -100,9 +121,23 @@ class Scanner:
         out = []
         for pattern, label, last in self.phrases:
             if last in line:
-                out += [(line.count(" ", 0, m.start()) - 1, label) for m in pattern.finditer(line)]
+                at, words = 0, -1
+                for m in pattern.finditer(line):
+                    words += line.count(" ", at, m.start())
+                    at = m.start()
+                    out.append((words, label))
         return out
 
+    def verified(self, number: int, line: str, start: int, end: int, edits: int) -> tuple[str, int, int, int] | None:
+        """The best match of a notice that needs edits and ends at end or just before, not before start."""
+        label, notice, _ = self.notices[number]
+        if not edits:
+            return label, end - len(notice), end, 0
+        if (number, edits) not in self.patterns:
+            self.patterns[number, edits] = regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={edits}}}")
+        m = self.patterns[number, edits].search(line, max(start, end - len(notice) - edits), end)
+        return m and (label, m.start(), m.end(), sum(m.fuzzy_counts))
+
     def fuzzy(self, line: str) -> list[tuple[str, int, int, int]]:
         """(label, start, end, edits) of verified notices, characters of line, none overlapping."""
         windows: dict[int, list[tuple[int, int]]] = {}
@@ -118,21 +153,11 @@ class Scanner:
                     held.append(window)
         out = []
         for number, held in windows.items():
-            label, notice, errors = self.notices[number]
+            _, notice, errors = self.notices[number]
             for a, b in held:
-                # the regex search is slow where nothing fits, so it runs where something does
-                while nearest(notice, line[a:b], self.masks[number]) <= errors:
-                    m = self.patterns[number].search(line, a, b)
-                    if not m:
-                        break
-                    out.append((label, m.start(), m.end(), sum(m.fuzzy_counts)))
-                    a = max(m.end(), m.start() + 1)
-        # of overlapping notices the one with the fewest edits stays, then the longest
-        kept: list[tuple[str, int, int, int]] = []
-        for span in sorted(out, key=lambda s: (s[3], s[1] - s[2], s[1], s[0])):
-            if all(span[2] <= k[1] or k[2] <= span[1] for k in kept):
-                kept.append(span)
-        return sorted(kept, key=lambda s: s[1:])
+                found = (self.verified(number, line, a, a + end, edits) for end, edits in ends(notice, line[a:b], self.masks[number], errors))
+                out += [x for x in found if x]
+        return apart(out)
 
     def scan(self, text: str) -> tuple:
         """n_words, n_base, first_word, last_word, base_labels, labels, score, spans (label:first
@@ -141,11 +166,15 @@ class Scanner:
         base, found = self.base(line), self.fuzzy(line)
         places, names = [w for w, _ in base], {label for _, label in base}
         score = 1.0 if base else 0.0
-        spans = []
+        spans, at, words = [], 0, -1
         for label, start, end, edits in found:
             names.add(label)
             score = max(score, 1 - edits / max(end - start, edits, 1))
-            spans.append(f"{label}:{line.count(' ', 0, start + 1) - 1}:{line.count(' ', 0, end) - 1}:{edits}")
+            words += line.count(" ", at, start + 1)
+            first = words
+            words += line.count(" ", start + 1, end)
+            at = max(end, start + 1)
+            spans.append(f"{label}:{first}:{words}:{edits}")
         return n, len(base), min(places, default=None), max(places, default=None), ",".join(sorted({label for _, label in base})), ",".join(sorted(names)), score, ",".join(spans)
 
 
