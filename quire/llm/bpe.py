@@ -67,8 +67,14 @@ class Encoder:
             return self.part(text)
         return np.concatenate([self.part(p) for p in parts(text)])
 
-    def count(self, text: str) -> int:
-        return sum(len(self.part(p)) for p in parts(text))
+    parts = staticmethod(parts)
+
+    def lengths(self, texts: list[str]) -> list[int]:
+        """The number of ids of each text: a batch for each library."""
+        known = [bool(_known(t)) for t in texts]
+        fast = iter(self.fast.encode_batch([t for t, k in zip(texts, known, strict=True) if k], num_threads=1, allowed_special="all"))
+        slow = iter(self.library.encode_batch_fast([t for t, k in zip(texts, known, strict=True) if not k], add_special_tokens=False))
+        return [len(next(fast)) if k else len(next(slow).ids) for k in known]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -1,8 +1,8 @@
 """Token counts: batch encoding in Arrow functions that return lengths only.
 
-Rows are regrouped into runs of about RUN_BYTES, so that a batch of long texts is no larger than one of
-short texts; long texts are split where no token reaches across (see ``bpe.parts``). Kinds of files:
-``.json`` for tokenizers, ``.model`` for sentencepiece.
+Texts are gathered into batches of about RUN_BYTES, whatever rows and Arrow batches they come in, so that a batch of long texts is no larger
+than one of short texts, and each is given to the library as a whole; long texts are split where no token
+reaches across (see ``bpe.parts``, and ``SPACED`` for sentencepiece). Kinds of files: ``.json`` for tokenizers, ``.model`` for sentencepiece.
 
 Defined results. Null text: 0 bytes and 0 tokens. Strings of special tokens in a text count as the
 library counts them by default. Repeated rows and null ids are rows like any other. An empty table
@@ -11,40 +11,67 @@ gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.bpe import default_path, encoder
+from quire.llm.bpe import PART, Encoder, default_path, encoder
 from quire.llm.common import documents, text_of
 
 LIMIT = 1024
 RUN_BYTES = 4_000_000
 
 
-def counter(path: str) -> Callable[[list[str]], list[int]]:
-    if not path.endswith(".model"):
-        one = encoder(path)
-        return lambda texts: [one.count(t) for t in texts]
-    import sentencepiece
+class Pieces:
+    """Lengths by sentencepiece."""
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
+    #: A single space between such characters begins the next word's first piece, as does the start of a text.
+    SPACED = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
+    def __init__(self, path: str) -> None:
+        import sentencepiece
 
-def runs(texts: pa.Array, size: int = RUN_BYTES) -> Iterator[pa.Array]:
-    """Slices of about equally many bytes."""
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(texts):
-        done = ends[start - 1] if start else 0
-        end = max(int(np.searchsorted(ends, done + size, "right")), start + 1)
-        yield texts.slice(start, end - start)
-        start = end
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+
+    def parts(self, text: str, size: int = PART) -> Iterator[str]:
+        start = 0
+        while len(text) - start > size and (m := self.SPACED.search(text, start + size)):
+            yield text[start : m.start()]
+            start = m.end()
+        yield text[start:]
+
+    def lengths(self, texts: list[str]) -> list[int]:
+        return [len(x) for x in self.model.encode(texts, num_threads=1)]
+
+
+def counter(path: str) -> Pieces | Encoder:
+    return Pieces(path) if path.endswith(".model") else encoder(path)
+
+
+def lengths(texts: Iterable[str], of: Pieces | Encoder, size: int = RUN_BYTES) -> np.ndarray:
+    """The number of tokens of each text, encoded in batches of about size bytes."""
+    n: list[int] = []
+    rows, held, held_bytes = [], [], 0
+
+    def encode() -> None:
+        for row, k in zip(rows, of.lengths(held), strict=True):
+            n[row] += k
+
+    for row, text in enumerate(texts):
+        n.append(0)
+        for part in of.parts(text):
+            rows.append(row)
+            held.append(part)
+            held_bytes += len(part) if part.isascii() else len(part.encode())
+            if held_bytes >= size:
+                encode()
+                rows, held, held_bytes = [], [], 0
+    encode()
+    return np.array(n, np.int64)
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
@@ -54,8 +81,8 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = counter(path)
         for batch in batches:
-            n = [k for run in runs(batch.column("t")) for k in of(run.to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+            n = lengths((t.as_py() for t in batch.column("t")), of)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n)], ["doc_id", "n_bytes", "n_tokens"])
 
     text = text_of(docs)
     rows = docs.select(docs["doc_id"].alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("t"))
