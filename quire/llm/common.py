@@ -1,7 +1,7 @@
 """What the operators share: tables in the cluster's shared folder, checked broadcasts, row keys.
 
-A row of ``documents`` is identified by (doc_id, xxhash64 of its text, length of its text), so
-that repeated ids with different texts stay apart when a decision is joined back to whole rows.
+A row of ``documents`` is identified by its doc_id, the xxhash64 and the length of its text, and the xxhash64 of its other
+columns, so that rows with one key are alike in every column, and it is no matter which of them a decision takes.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 1_000_000
 
 #: Columns that every result of a filtering stage carries.
-DOCUMENT_KEY = ("__doc_id", "__text_hash", "__text_len")
+DOCUMENT_KEY = ("__doc_id", "__text_hash", "__text_len", "__row_hash")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,13 +25,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one is set only where none is."""
+    """The folder named by spark.checkpoint.dir. Where none is, as in tests, a temporary one is set if all tasks run on this
+    machine; elsewhere that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     java = spark.sparkContext._jsc.sc().getCheckpointDir()
     if java.isDefined():
         return java.get().rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quire-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -94,10 +97,23 @@ def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """docs with the three columns of DOCUMENT_KEY."""
+def columns(docs: DataFrame) -> list[Column]:
+    """All columns of docs, whatever their names."""
+    return [docs["`" + c.replace("`", "``") + "`"] for c in docs.columns]
+
+
+def key_columns(docs: DataFrame) -> list[Column]:
+    """The columns of DOCUMENT_KEY."""
     text = text_of(docs)
-    return docs.withColumns(dict(zip(DOCUMENT_KEY, (docs["doc_id"], F.xxhash64(text), F.length(text)), strict=True)))
+    others = [(c, f) for c, f in zip(columns(docs), docs.schema, strict=True) if f.name not in ("doc_id", "text")]
+    plain = [F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c for c, f in others]
+    nulls = F.concat(F.lit(""), *[F.when(c.isNull(), "0").otherwise("1") for c, _ in others])
+    return [c.alias(n) for n, c in zip(DOCUMENT_KEY, (docs["doc_id"], F.xxhash64(text), F.length(text), F.xxhash64(nulls, *plain)), strict=True)]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """DOCUMENT_KEY and row, a struct of all columns of docs, so that none of their names matters."""
+    return docs.select(F.struct(*columns(docs)).alias("row"), *key_columns(docs))
 
 
 def same_key(a: DataFrame, b: DataFrame) -> Column:
@@ -113,19 +129,14 @@ def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     below BROADCAST_ROWS."""
     rows = keyed(docs)
     keys = checked_broadcast(keys)
-    return rows.join(keys, same_key(rows, keys), "left_anti").drop(*DOCUMENT_KEY)
+    return rows.join(keys, same_key(rows, keys), "left_anti").select("row.*")
 
 
-def only(docs: DataFrame, keys: DataFrame, once: bool = False) -> DataFrame:
-    """Rows of docs whose key is in keys (a written table with a long column n, the number of rows
-    that have the key). once: of several rows with one key, one stays."""
+def only_one(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Of the rows of docs with a key in keys, one for each key. keys: a written table with a long column n, the
+    number of rows that have the key; where it is over 1 they are alike."""
     rows = keyed(docs)
-    if not once:
-        keys = checked_broadcast(keys.select(*DOCUMENT_KEY))
-        return rows.join(keys, same_key(rows, keys), "left_semi").drop(*DOCUMENT_KEY)
     single, several = (checked_broadcast(keys.where(c).select(*DOCUMENT_KEY)) for c in ("n = 1", "n > 1"))
-    out = rows.join(single, same_key(rows, single), "left_semi")
-    tied = rows.join(several, same_key(rows, several), "left_semi")
-    row = F.struct(*[tied[c] for c in docs.columns])
-    tied = tied.groupBy(*DOCUMENT_KEY).agg(F.first(row).alias("__row")).select("__row.*")
-    return out.drop(*DOCUMENT_KEY).unionByName(tied)
+    out = rows.join(single, same_key(rows, single), "left_semi").select("row")
+    tied = rows.join(several, same_key(rows, several), "left_semi").groupBy(*DOCUMENT_KEY).agg(F.first("row").alias("row"))
+    return out.unionByName(tied.select("row")).select("row.*")

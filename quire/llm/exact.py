@@ -1,18 +1,18 @@
 """Exact deduplication by Golomb-coded fingerprint exchange.
 
 1. Every row's normalised text gets its SHA-256; the first 8 bytes are its fingerprint. This small
-   table is written, with the number of the partition (the sender) that made each row.
-2. A sender's distinct fingerprints are sorted, cut by owner (a range of fingerprints) and sent as
-   Golomb-coded gaps. An owner merges the lists that it receives and answers each with a bitmap:
+   table is written.
+2. It is read again in lists of LIST rows, whatever partitions made them. A list's distinct fingerprints are sorted, cut by owner (a
+   range of fingerprints) and sent as Golomb-coded gaps. An owner merges the lists that it receives and answers each with a bitmap:
    which of the list's fingerprints it also got from elsewhere.
-3. Rows whose fingerprint was marked (or is repeated within its sender) are suspects. Only their
-   texts move: they are grouped by hash and bytes with partial aggregation, so that a text with
+3. Rows whose fingerprint was marked (or is repeated within its list) are suspects. Only their
+   texts are normalised again and move: they are grouped by hash and bytes with partial aggregation, so that a text with
    very many copies leaves each partition once. A group whose hash has two different texts fails
    the job, rather than joining them.
 
 Defined results. Null text counts as empty; empty texts are equal to each other. A null doc_id is
-larger than any other. Of rows with equal text and doc_id, one stays. An empty table gives no rows.
-Texts of any length are hashed whole. Extra columns are ignored by ``groups`` and kept by ``kept_documents``.
+larger than any other. Of rows with equal text and doc_id, the one with the least hash of its other columns stays. An empty table gives no rows.
+Texts of any length are hashed whole. Extra columns are ignored by ``groups`` and kept by ``kept_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from quire.llm.common import DOCUMENT_KEY, checked_broadcast, documents, only, text_of, written
+from quire.llm.common import DOCUMENT_KEY, checked_broadcast, documents, key_columns, only_one, text_of, written
 
 #: Rows for each owner of fingerprints, about.
 OWNER_ROWS = 2_000_000
@@ -64,45 +63,34 @@ def ungolomb(n: int, k: int, code: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.uint64)
 
 
-#: Fingerprints in one coded list, at most: bounds a sender's memory.
-LIST = 200_000
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(sender, list number, fingerprints) for runs of a sender's rows, in their order."""
-    for batch in batches:
-        sender, fp, at = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("sender", "fp", "list"))
-        if len(fp):
-            cut = np.flatnonzero((np.diff(sender) != 0) | (np.diff(at) != 0)) + 1
-            for part in np.split(np.arange(len(fp)), cut):
-                yield int(sender[part[0]]), int(at[part[0]]), fp[part].view(np.uint64)
+#: Fingerprints in the lists that a task codes at a time: bounds a sender's memory.
+LIST = 500_000
 
 
 def _send(owners: int):
-    """Sorted compressed lists, one for each (sender, list, owner)."""
+    """Sorted compressed lists, one for each owner."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        at: tuple[int, int] | None = None
-
-        def out() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
+        def out(held: list[np.ndarray]) -> pa.RecordBatch:
+            values, counts = np.unique(np.concatenate(held).view(np.uint64), return_counts=True)
             owner = (values >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)
             cut = np.flatnonzero(np.diff(owner)) + 1
             made = []
             for vs, cs, os in zip(np.split(values, cut), np.split(counts, cut), np.split(owner, cut), strict=True):
                 k, code = golomb(vs)
-                made.append((int(os[0]), at[0], at[1], len(vs), k, code, np.packbits(cs > 1).tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["owner", "sender", "list", "n", "k", "code", "twice"])
-
-        for sender, number, fp in _rows(batches):
-            if at is not None and at != (sender, number):
-                yield out()
-                held = []
-            at = (sender, number)
-            held.append(fp)
+                made.append((int(os[0]), len(vs), k, code, np.packbits(cs > 1).tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["owner", "n", "k", "code", "twice"])
+
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch.column("fp").to_numpy(zero_copy_only=False))
+                size += batch.num_rows
+            if size >= LIST:
+                yield out(held)
+                held, size = [], 0
         if held:
-            yield out()
+            yield out(held)
 
     return send
 
@@ -118,7 +106,7 @@ def _own(key, table):  # without types: Spark reads them
     for own, bits in zip(np.split(where, cut), twice, strict=True):  # repeated within its sender
         again[own[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(own)).astype(bool)]] = True
     maps = [np.packbits(x).tobytes() for x in np.split(again[where], cut)]
-    return pa.table({"owner": table["owner"], "sender": table["sender"], "list": table["list"], "n": table["n"], "k": table["k"], "code": table["code"], "bitmap": pa.array(maps, pa.binary())})
+    return pa.table({"n": table["n"], "k": table["k"], "code": table["code"], "bitmap": pa.array(maps, pa.binary())})
 
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,25 +120,21 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def groups(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and the row's key."""
-    text = text_of(docs)
     sha = F.sha2(F.encode(normalised(docs), "UTF-8"), 256)
-    rows = docs.select(docs["doc_id"].alias("doc_id"), sha.alias("text_sha256"), F.xxhash64(text).alias(DOCUMENT_KEY[1]), F.length(text).alias(DOCUMENT_KEY[2]))
-    rows = rows.withColumns({
-        "fp": F.conv(F.substring("text_sha256", 1, 1), 16, 10).cast("long") % 8 * F.lit(1 << 60) + F.conv(F.substring("text_sha256", 2, 15), 16, 10).cast("long"),
-        "row": F.monotonically_increasing_id(), DOCUMENT_KEY[0]: F.col("doc_id"),
-    })
-    # the row's number holds its partition in the upper 31 bits and its place there below
-    rows = rows.withColumns({"sender": F.shiftright("row", 33), "list": (F.col("row").bitwiseAND((1 << 33) - 1) / LIST).cast("long")})
-    rows = written(rows, "exact-rows")
+    rows = docs.select(docs["doc_id"].alias("doc_id"), sha.alias("text_sha256"), *key_columns(docs))
+    fp = F.conv(F.substring("text_sha256", 1, 1), 16, 10).cast("long") % 8 * F.lit(1 << 60) + F.conv(F.substring("text_sha256", 2, 15), 16, 10).cast("long")
+    rows = written(rows.withColumns({"fp": fp, "row": F.monotonically_increasing_id()}), "exact-rows")
     owners = max(16, -(-rows.count() // OWNER_ROWS))
-    listed = rows.select("sender", "list", "fp").mapInArrow(_send(owners), "owner long, sender long, list long, n long, k int, code binary, twice binary")
-    answers = listed.groupBy("owner").applyInArrow(_own, "owner long, sender long, list long, n long, k int, code binary, bitmap binary")
+    listed = rows.select("fp").mapInArrow(_send(owners), "owner long, n long, k int, code binary, twice binary")
+    answers = listed.groupBy("owner").applyInArrow(_own, "n long, k int, code binary, bitmap binary")
     marked = written(answers.mapInArrow(_marked, "fp long").distinct(), "exact-marked")
 
-    # byte verification of the suspects
-    suspects = docs.select(normalised(docs).alias("norm"), docs["doc_id"].alias("doc_id"), sha.alias("text_sha256"))
-    suspects = suspects.withColumn("fp", F.conv(F.substring("text_sha256", 1, 1), 16, 10).cast("long") % 8 * F.lit(1 << 60) + F.conv(F.substring("text_sha256", 2, 15), 16, 10).cast("long"))
-    suspects = suspects.join(checked_broadcast(marked), "fp", "left_semi")
+    # byte verification of the suspects, which are found by the hash and length of their raw texts
+    named = list(DOCUMENT_KEY[1:3])
+    raw = written(rows.join(checked_broadcast(marked), "fp", "left_semi").select(*named).distinct(), "exact-suspects")
+    suspects = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"), *key_columns(docs)[1:3]).join(checked_broadcast(raw), named, "left_semi")
+    suspects = suspects.select("doc_id", normalised(suspects).alias("norm"))
+    suspects = suspects.withColumn("text_sha256", F.sha2(F.encode("norm", "UTF-8"), 256))
     texts = suspects.groupBy("text_sha256", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     # of the texts only one number leaves; two texts of one hash end the job
     classes = texts.select("text_sha256", "keep_id", "group_size").groupBy("text_sha256").agg(F.count(F.lit(1)).alias("texts"), F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
@@ -160,7 +144,7 @@ def groups(docs: DataFrame) -> DataFrame:
     out = rows.join(checked_broadcast(classes.withColumn("grouped", F.lit(True))), "text_sha256", "left")
     out = out.withColumns({"keep_id": F.when(F.col("grouped"), F.col("keep_id")).otherwise(F.col("doc_id")), "group_size": F.coalesce("group_size", F.lit(1).cast("long"))})
     # of a group's rows with the kept id, one stays
-    first = out.where("grouped and doc_id <=> keep_id").groupBy("text_sha256").agg(F.min("row").alias("first"))
+    first = out.where("grouped and doc_id <=> keep_id").groupBy("text_sha256").agg(F.min(F.struct(DOCUMENT_KEY[3], "row")).getField("row").alias("first"))
     first = checked_broadcast(written(first, "exact-first"))
     out = out.join(first, "text_sha256", "left")
     kept = F.when(F.col("grouped"), F.col("row") == F.col("first")).otherwise(F.lit(True))
@@ -168,21 +152,9 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """docs with one row of each group of equal texts; all their columns."""
-    keys = groups(docs).where("kept").select(*DOCUMENT_KEY)
-    return only(docs, written(_counted(docs, keys), "exact-kept"), once=True)
-
-
-def _counted(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The kept keys, with how many rows of docs have the same key (n)."""
-    text = text_of(docs)
-    every = docs.select(docs["doc_id"].alias(DOCUMENT_KEY[0]), F.xxhash64(text).alias(DOCUMENT_KEY[1]), F.length(text).alias(DOCUMENT_KEY[2]))
-    every = every.groupBy(*DOCUMENT_KEY).agg(F.count(F.lit(1)).alias("n"))
-    k = keys.distinct()
-    cond = None
-    for c in DOCUMENT_KEY:
-        cond = every[c].eqNullSafe(k[c]) if cond is None else cond & every[c].eqNullSafe(k[c])
-    return every.join(k, cond, "left_semi")
+    """docs with one row of each group of equal texts; all their columns, whatever their names."""
+    keys = groups(docs).groupBy(*DOCUMENT_KEY).agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
+    return only_one(docs, written(keys.where("kept").drop("kept"), "exact-kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,16 +7,17 @@ r / (CAP - r) = exp(lambda z) / (CAP - 1). Newton's iterations run distributed:
 (source, size) only, so the documents are first counted by both, and each iteration is one aggregation of
 gradient and curvature over that table, bracketed by bisection. Only sums per source reach the driver.
 
-Rounding: a source's rates are summed over sizes in descending order, and each (source, size)
-takes the whole numbers that its stretch of the sum passes; since neighbours in this order have nearly
-equal sizes, what is taken stays within half the largest document of the target. Inside a (source,
+Rounding: the sizes of a source are taken in descending order; each (source, size) takes the whole number of copies that
+brings the words taken so far nearest to the sum of the rates so far, so that what large documents leave over or short is made
+up by the next smaller ones, and a source ends within its small documents' sizes of the target. Inside a (source,
 size), copies are dealt evenly, the odd ones by hash of doc_id. Ranks are counted in
 ``SLICES`` slices and put together from the slices' counts, so no hot group is sorted in one task.
 
 Defined results. Null text: size 0, taken 0. A null source is a source of its own, last in order.
 Sources of no words have target 0. Repeated rows are separate documents, and may get different
 copies. Sources whose target is CAP times their size take every document CAP times. An empty table
-gives no rows. Extra columns are ignored by ``taken`` and kept by ``mixed_documents``.
+gives no rows. Extra columns are ignored by ``taken`` and kept by ``mixed_documents``, whatever their names.
+Rows with equal doc_id and text are told apart by a hash of their other columns; rows alike in all columns get copies in any order.
 The driver holds a number or two for each source; a recipe of more than MAX_SOURCES sources is refused.
 """
 
@@ -24,11 +25,12 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm.common import DOCUMENT_KEY, checked_broadcast, documents, keyed, text_of, written
+from quire.llm.common import DOCUMENT_KEY, checked_broadcast, documents, key_columns, keyed, same_key, text_of, written
 
 CAP = 3
 WEIGHTS = (1, 2, 3)
@@ -88,13 +90,26 @@ def _solve(spark: SparkSession, counts: DataFrame, sources: list, tolerance: flo
     return slope
 
 
+def _rounded(key, table):  # without types: Spark reads them
+    """Whole copies of each size of a source, of which there is one row. table: number, size, n, rate."""
+    table = table.sort_by([("size", "descending")])
+    size, n, rate = (table.column(c).to_pylist() for c in ("size", "n", "rate"))
+    whole, goal, got = [], 0.0, 0
+    for z, k, r in zip(size, n, rate, strict=True):
+        goal += k * r * z
+        copies = min(max(math.floor((goal - got) / z + 0.5), 0), CAP * k) if z else round(k * r)
+        got += copies * z
+        whole.append(copies)
+    return table.select(["number", "size", "n", "rate"]).append_column("whole", pa.array(whole, pa.int64()))
+
+
 def taken(docs: DataFrame, weights: tuple = WEIGHTS, tolerance: float = 1e-9, steps: int = 60) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, copies, taken, rate, and the row's key."""
     spark = docs.sparkSession
     source = docs["source"].cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     size = F.regexp_count(text_of(docs), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    rows = keyed(docs).select("doc_id", *DOCUMENT_KEY, source.alias("source"), size.alias("size"))
-    # ties of hash and id are told apart by the row's number
+    rows = docs.select(docs["doc_id"].alias("doc_id"), *key_columns(docs), source.alias("source"), size.alias("size"))
+    # rows alike in all columns are told apart by the row's number
     rows = rows.withColumns({"slice": F.pmod(F.xxhash64("doc_id", DOCUMENT_KEY[1]), F.lit(SLICES)).cast("int"), "row": F.monotonically_increasing_id()})
     rows = written(rows, "mix-rows")
     by_slice = written(rows.groupBy("source", "size", "slice").agg(F.count(F.lit(1)).alias("n")), "mix-slices")
@@ -114,17 +129,14 @@ def taken(docs: DataFrame, weights: tuple = WEIGHTS, tolerance: float = 1e-9, st
     rate = F.when(F.col("slope").isNotNull(), _rate(F.col("slope"), F.col("z"))).otherwise(F.when(F.col("target") > 0, F.lit(float(CAP))).otherwise(F.lit(1.0)))
     # whole copies of each (source, size), from running sums of rates
     rates = counts.join(solved, "number").withColumn("rate", rate)
-    upto = F.round(F.sum(F.col("n") * F.col("rate")).over(Window.partitionBy("number").orderBy(F.desc("size"))))
-    rates = rates.withColumn("upto", upto.cast("long"))
-    rates = rates.withColumn("whole", F.col("upto") - F.coalesce(F.lag("upto").over(Window.partitionBy("number").orderBy(F.desc("size"))), F.lit(0)))
-    rates = rates.withColumn("whole", F.greatest(F.lit(0), F.least(F.col("whole"), CAP * F.col("n"))))
+    rates = rates.groupBy("number").applyInArrow(_rounded, "number int, size long, n long, rate double, whole long")
     # ranks: those of the slices before, then those inside the slice
     slices = numbered(by_slice).select("number", "size", "slice", "n")
     before = F.sum("n").over(Window.partitionBy("number", "size").orderBy("slice")) - F.col("n")
     slices = slices.withColumn("before", before).drop("n")
     slices = slices.join(rates.select("number", "size", "n", "whole", "rate"), ["number", "size"])
     ranked = numbered(rows).drop("docs", "mean")
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("number", "size", "slice").orderBy(F.xxhash64("doc_id", DOCUMENT_KEY[1]), "doc_id", "row")))
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("number", "size", "slice").orderBy(F.xxhash64("doc_id", DOCUMENT_KEY[1]), "doc_id", DOCUMENT_KEY[3], "row")))
     out = ranked.join(slices, ["number", "size", "slice"])
     copies = F.floor(F.col("whole") / F.col("n")) + (F.col("before") + F.col("rank") <= F.col("whole") % F.col("n")).cast("long")
     out = out.withColumn("copies", copies)
@@ -132,26 +144,22 @@ def taken(docs: DataFrame, weights: tuple = WEIGHTS, tolerance: float = 1e-9, st
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """docs with each row as often as the mix takes it; all their columns."""
+    """docs with each row as often as the mix takes it; all their columns, whatever their names."""
     copies = taken(docs, **options)
-    # rows with one key are alike for the mix: their copies are spread over them anew
-    keys = written(copies.groupBy(*DOCUMENT_KEY).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n")).where("copies > 0 or n > 1"), "mix-keys")
+    # rows with one key are alike: their copies are dealt among them in any order, which is counted in slices
+    keys = written(copies.groupBy(*DOCUMENT_KEY).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n")).where("copies > 0"), "mix-keys")
     rows = keyed(docs)
-    small = checked_broadcast(keys)
-    single = rows.join(small.where("n = 1").select(*[F.col(c).alias(f"k{c}") for c in DOCUMENT_KEY], F.col("copies").alias("__copies")), _renamed(rows), "inner")
-    several = rows.join(small.where("n > 1").select(*[F.col(c).alias(f"k{c}") for c in DOCUMENT_KEY], F.col("copies").alias("__sum"), F.col("n").alias("__n")), _renamed(rows), "inner")
-    order = Window.partitionBy(*DOCUMENT_KEY).orderBy(F.lit(1))
-    several = several.withColumn("__rank", F.row_number().over(order)).withColumn("__copies", F.floor(F.col("__sum") / F.col("__n")) + (F.col("__rank") <= F.col("__sum") % F.col("__n")).cast("long"))
-    out = single.select(*docs.columns, "__copies").unionByName(several.select(*docs.columns, "__copies"))
-    return out.where("__copies > 0").withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*docs.columns)
-
-
-def _renamed(rows: DataFrame):
-    out = None
-    for c in DOCUMENT_KEY:
-        e = rows[c].eqNullSafe(F.col(f"k{c}"))
-        out = e if out is None else out & e
-    return out
+    single, several = (checked_broadcast(keys.where(c)) for c in ("n = 1", "n > 1"))
+    out = rows.join(single, same_key(rows, single)).select("row", "copies")
+    tied = rows.join(several, same_key(rows, several)).select("row", *[rows[c] for c in DOCUMENT_KEY], "copies", "n")
+    tied = written(tied.withColumn("slice", F.pmod(F.monotonically_increasing_id(), F.lit(SLICES))), "mix-tied")
+    before = tied.groupBy(*DOCUMENT_KEY, "slice").agg(F.count(F.lit(1)).alias("k"))
+    before = before.withColumn("before", F.sum("k").over(Window.partitionBy(*DOCUMENT_KEY).orderBy("slice")) - F.col("k"))
+    tied = tied.withColumn("rank", F.row_number().over(Window.partitionBy(*DOCUMENT_KEY, "slice").orderBy(F.lit(1))))
+    joined = tied.join(before, same_key(tied, before) & (tied["slice"] == before["slice"]))
+    dealt = F.floor(F.col("copies") / F.col("n")) + (F.col("before") + F.col("rank") <= F.col("copies") % F.col("n")).cast("long")
+    out = out.unionByName(joined.select("row", dealt.alias("copies")))
+    return out.where("copies > 0").select("row", F.explode(F.expr("sequence(1L, copies)"))).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

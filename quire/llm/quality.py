@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm.common import DOCUMENT_KEY, checked_broadcast, documents, text_of, without, written
+from quire.llm.common import DOCUMENT_KEY, checked_broadcast, documents, key_columns, text_of, without, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -44,7 +44,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     text = text_of(docs)
     df = docs.select(
         docs["doc_id"].alias("doc_id"), name("lang").alias("lang"), name("source").alias("source"),
-        F.xxhash64(text).alias(DOCUMENT_KEY[1]), F.length(text).alias(DOCUMENT_KEY[2]), text.alias("t"),
+        *key_columns(docs), text.alias("t"),
     )
     df = df.withColumns({
         "w": F.split(F.expr(r"trim(BOTH ' \t\n\u000b\u000c\r' FROM t)"), SPACE),
@@ -72,7 +72,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     df = df.withColumn("p", F.expr(f"sort_array(transform(filter(s, (x, k) -> {same.format(k='k - 1')} or {same.format(k='k + 1')}), x -> x & low))")).drop("s", "w", "low")
     df = df.withColumn("n_repeat_words", F.expr("aggregate(zip_with(p, slice(p, 2, size(p)), (a, b) -> if(b is null, 5L, least(5L, b - a))), 0L, (n, x) -> n + x)")).drop("p")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return df.withColumns({"base_failed": failed, DOCUMENT_KEY[0]: F.col("doc_id")})
+    return df.withColumn("base_failed", failed)
 
 
 def features() -> dict[str, Column]:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import DOCUMENT_KEY, documents, keyed, only, text_of, written
+from quire.llm.common import DOCUMENT_KEY, documents, key_columns, only_one, text_of, written
 from quire.llm.components import components
 
 RADIUS = 3
@@ -137,7 +137,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def linked(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fp (its fingerprint as a signed long), component_id, root (the least
     fingerprint of its component, which no other component has, as ids may be null or repeated) and the row's key."""
-    rows = keyed(docs).select("doc_id", *DOCUMENT_KEY, text_of(docs).alias("t"))
+    rows = docs.select(docs["doc_id"].alias("doc_id"), *key_columns(docs), text_of(docs).alias("t"))
     schema = rows.select("doc_id", *DOCUMENT_KEY).schema.add("fp", "long")
     rows = written(rows.mapInArrow(_fingerprints, schema), "simhash-rows")
     distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
@@ -151,12 +151,12 @@ def linked(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component, that of the least doc_id; all their columns."""
+    """docs with one row of each component, that of the least doc_id; all their columns, whatever their names."""
     rows = linked(docs).select("root", "component_id", *DOCUMENT_KEY).where(F.col("component_id").eqNullSafe(F.col(DOCUMENT_KEY[0])))
     # with the least id repeated in one component, the least key stays
     key = F.struct(*DOCUMENT_KEY)
     keys = rows.groupBy("root").agg(F.min(key).alias("k"), F.count(F.lit(1)).alias("n")).select("k.*", "n")
-    return only(docs, written(keys, "simhash-kept"), once=True)
+    return only_one(docs, written(keys, "simhash-kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
