@@ -5,23 +5,25 @@ from __future__ import annotations
 import argparse
 import logging
 import sys
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.text import cleaned
+from quire.functions.text import cleaned_pages
 from quire.operators import checks, chunks, structure
 from quire.sources import profile as profiles
 from quire.sources import tables
-from quire.sources.storage import written
+from quire.sources.storage import exists, written
 
 log = logging.getLogger("quire")
 
 
 def build_parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="quire", description="Structure, chunk and check paged manuals on Spark.")
-    top.add_argument("-v", "--verbose", action="store_true")
-    top.add_argument("-q", "--quiet", action="store_true")
+    loud = top.add_mutually_exclusive_group()
+    loud.add_argument("-v", "--verbose", action="store_true")
+    loud.add_argument("-q", "--quiet", action="store_true")
     sub = top.add_subparsers(dest="command", required=True)
     for name, pages in (("process", True), ("validate", True), ("validate-chunks", False), ("qa", False)):
         p = sub.add_parser(name)
@@ -37,6 +39,8 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def _profile(path: str) -> profiles.Profile:
+    if not Path(path).is_file():
+        raise ValueError(f"there is no profile {path}")
     p = profiles.load(path)
     if wrong := profiles.validate(p):
         raise ValueError("; ".join(wrong))
@@ -45,7 +49,7 @@ def _profile(path: str) -> profiles.Profile:
 
 def _pages(spark: SparkSession, path: str, p: profiles.Profile) -> DataFrame:
     pages = tables.pdf_pages(spark, path) if path.endswith(".pdf") else spark.read.parquet(path)
-    return pages.withColumns(cleaned(F.coalesce("text", F.lit("")), p.cleanup)).select("manual_id", "page_number", F.col("cleaned_text").alias("text"))
+    return cleaned_pages(pages, p.cleanup).select("manual_id", "page_number", F.col("cleaned_text").alias("text"))
 
 
 def report(found: DataFrame, summary_only: bool) -> bool:
@@ -67,6 +71,9 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
         log.error("%s is not implemented", args.command)
         return 1
     p = _profile(args.profile)
+    source = args.chunks if args.command == "validate-chunks" else args.pages
+    if "*" not in source and not exists(spark, source):
+        raise ValueError(f"there is no {source}")
     if args.command == "validate-chunks":
         return int(not report(checks.suite(written(tables.load_chunks(spark, args.chunks), "chunks"), p), args.summary_only))
     pages = _pages(spark, args.pages, p)
@@ -86,7 +93,11 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
 
 
 def main(argv: list[str] | None = None) -> int:
-    args = build_parser().parse_args(argv)
+    parser = build_parser()
+    if not (sys.argv[1:] if argv is None else argv):
+        parser.print_help()
+        return 2
+    args = parser.parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if args.verbose else logging.ERROR if args.quiet else logging.INFO)
     try:
         return run(args, SparkSession.builder.appName("quire").getOrCreate())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.sources.profile import Cleanup, java, java_replacement
@@ -67,7 +67,7 @@ def garbage_lines(c: Column, threshold: float) -> Column:
 
 
 def nfc(c: Column) -> Column:
-    """Canonical composition; Spark has no function for it."""
+    """Canonical composition; Spark has no function for it. Nulls stay null."""
 
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
@@ -76,29 +76,49 @@ def nfc(c: Column) -> Column:
     return run(c)
 
 
-def normalize(c: Column) -> Column:
-    """Straight quotes, no ligatures, NFC, single spaces, no more than one blank line."""
+def plain(c: Column) -> Column:
+    """Straight quotes, no ligatures."""
     # What is replaced.
     c = F.translate(c, "‘’“”", "''\"\"")
     for a, b in (("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬁ", "fi"), ("ﬂ", "fl")):
         c = F.replace(c, F.lit(a), F.lit(b))
-    c = F.when(c.rlike(r"[^\x00-\x{02ff}]"), nfc(c)).otherwise(c)
+    return c
+
+
+def composed(df: DataFrame, column: str) -> DataFrame:
+    """df with a column in NFC. Texts without characters from U+0300 on are in NFC as they are; only others go through Python."""
+    marked = F.when(F.col(column).rlike(r"[^\x00-\x{02ff}]"), F.col(column))
+    return df.withColumn("_nfc", marked).withColumn(column, F.coalesce(nfc(F.col("_nfc")), column)).drop("_nfc")
+
+
+def spaced(c: Column) -> Column:
+    """Single spaces, no more than one blank line."""
     c = F.array_join(F.transform(lines(c), lambda x: strip(F.regexp_replace(x, r"[ \t]+", " "))), "\n")
     return F.regexp_replace(c, r"\n{3,}", "\n\n")
 
 
-def cleaned(c: Column, rules: Cleanup) -> dict[str, Column]:
-    """A page's columns after all steps, in order. Garbage is looked for before normalisation, and
-    substitutions are counted in the raw page."""
-    x = collapse_spaced(c) if rules.collapse_spaced_chars else c
-    x = substitute_patterns(substitute(x, rules.known_substitutions), rules.regex_substitutions)
-    x, page = strip_headers(x, rules.header_footer_patterns) if rules.header_footer_patterns else (x, F.lit(None).cast("string"))
+def normalized(df: DataFrame, column: str) -> DataFrame:
+    """df with a column normalised: plain, NFC, spaced."""
+    df = composed(df.withColumn(column, plain(F.col(column))), column)
+    return df.withColumn(column, spaced(F.col(column)))
+
+
+def cleaned_pages(pages: DataFrame, rules: Cleanup) -> DataFrame:
+    """pages (with text) and the columns of a cleaned page after all steps, in order, each a column of its own so that none
+    is computed twice. Garbage is looked for before normalisation, and substitutions are counted in the raw page."""
+    c = F.coalesce("text", F.lit(""))
     count = lambda s: ((F.length(c) - F.length(F.replace(c, F.lit(s["from"]), F.lit("")))) / len(s["from"])).cast("int")
-    return {
-        "cleaned_text": normalize(x), "extracted_page_id": page,
-        "garbage_lines": garbage_lines(x, rules.garbage_threshold) if rules.garbage_enabled else F.array().cast("array<int>"),
-        "substitutions_applied": reduce(lambda a, b: a + b, [count(s) for s in rules.known_substitutions if s["from"]], F.lit(0)),
-    }
+    df = pages.withColumn("substitutions_applied", reduce(lambda a, b: a + b, [count(s) for s in rules.known_substitutions if s["from"]], F.lit(0)))
+    x = collapse_spaced(c) if rules.collapse_spaced_chars else c
+    df = df.withColumn("cleaned_text", substitute_patterns(substitute(x, rules.known_substitutions), rules.regex_substitutions))
+    page = F.lit(None).cast("string")
+    if rules.header_footer_patterns:
+        kept, page = strip_headers(F.col("cleaned_text"), rules.header_footer_patterns)
+        df = df.withColumns({"extracted_page_id": page, "cleaned_text": kept})
+    else:
+        df = df.withColumn("extracted_page_id", page)
+    df = df.withColumn("garbage_lines", garbage_lines(F.col("cleaned_text"), rules.garbage_threshold) if rules.garbage_enabled else F.array().cast("array<int>"))
+    return normalized(df, "cleaned_text")
 
 
 def find_all(c: Column, pattern: str) -> Column:

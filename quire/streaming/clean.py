@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import cleaned
+from quire.functions.text import cleaned_pages
 from quire.sources.profile import Profile
 
 
 def clean_pages(pages: DataFrame, p: Profile) -> DataFrame:
     """pages (batch or stream) with the cleaner's columns."""
-    return pages.withColumns(cleaned(F.coalesce("text", F.lit("")), p.cleanup))
+    return cleaned_pages(pages, p.cleanup)
 
 
 def clean_stream(pages: DataFrame, p: Profile, path: str, checkpoint: str):
