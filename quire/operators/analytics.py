@@ -9,9 +9,16 @@ from quire.functions.text import count_tokens, lines, strip, tokens
 
 # Structural markers, kinds of documents and their words.
 MARKERS = {
-    "chapter": r"(?i)^\s*chapter\s+\d+", "section": r"(?i)^\s*section\s+", "paragraph": r"^\s*\d+\.\s+\S", "header": r"^[A-Z][A-Z ]{4,}$",
-    "figure": r"(?i)\bfig(?:ure)?\.?\s*\d+", "table": r"(?i)^\s*table\s+\d+", "callout": r"\b(?:WARNING|CAUTION|NOTE)\b",
-}
+    "chapter": r"^\s*(?i:CHAPTER)\s+\d+",
+    "section": r"^\s*(?i:Section)\s+(?i:[IVXLC])+",
+    "paragraph": r"^\s*\d+-\d+\.",
+    "header": r"^\s*TM\s+9-\d+",
+    "figure": r"[Ff]ig\.?\s*\d+",
+    "table": r"^\s*(?i:Table)\s+\d+",
+    "callout": r"^\s*(?:WARNING|CAUTION|NOTE)\b",
+    "part_number": r"\b\d{7}\b",
+    "contents": r"(?i:TABLE\s+OF\s+CONTENTS|CONTENTS)",
+}
 INDICATORS = {"service": ["procedure", "service", "repair"], "parts": ["part number", "catalog"], "license": ["license", "licensed"]}
 HISTOGRAM = (50, 100, 200, 300, 500, 750, 1000, 1500, 2000, 3000)
 
@@ -84,3 +91,25 @@ def metadata_coverage(chunks: DataFrame) -> DataFrame:
 
 def issue_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("check", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+def cleanup_statistics(pages: DataFrame) -> DataFrame:
+    """Per manual, what cleaning did: pages as ``cleaned_pages`` gives them."""
+    garbage = F.size("garbage_lines")
+    return pages.groupBy("manual_id").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("substitutions_applied").cast("long").alias("substitutions"), F.count_if(F.col("substitutions_applied") > 0).alias("pages_with_substitutions"),
+        F.sum(garbage).cast("long").alias("garbage_lines"), F.count_if(garbage > 0).alias("pages_with_garbage"), F.count_if(F.col("extracted_page_id") != "").alias("page_ids"),
+    )
+
+
+def level1_frequency(bounds: DataFrame) -> DataFrame:
+    """How often each id of the first level begins a boundary."""
+    return bounds.where("level = 1").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def size_extremes(chunks: DataFrame, k: int = 5) -> DataFrame:
+    """The k smallest and the k largest chunks by tokens; ties by chunk id."""
+    sizes = chunks.select("chunk_id", count_tokens(F.col("text")).cast("long").alias("n"))
+    ends = (("smallest", F.asc("n")), ("largest", F.desc("n")))
+    small, large = (sizes.orderBy(order, "chunk_id").limit(k).select(F.lit(kind).alias("kind"), "chunk_id", "n") for kind, order in ends)
+    return small.unionByName(large)
