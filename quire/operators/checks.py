@@ -62,35 +62,50 @@ def missing_metadata(chunks: DataFrame) -> DataFrame:
     return issues(df, "metadata_completeness", F.lit("error"), F.format_string("Missing required metadata field: %s", "field"), field=F.col("field"))
 
 
-def duplicate_pairs(chunks: DataFrame, threshold: float = 0.95, order: str = "chunk_ord") -> DataFrame:
-    """(manual_id, a, b, similarity) of pairs in a manual whose token sets are alike. A set is in line with another only if
-    they share one of its first tokens in order of rarity (prefix filter), and sizes and token counts are near; candidates are then
-    compared whole. Equal sets are compared once, through a representative."""
-    df = chunks.select("manual_id", F.col(order).alias("ord"), "chunk_id", F.size(tokens(F.col("text"))).alias("n"), F.array_sort(F.array_distinct(tokens(F.col("text")))).alias("set"))
-    df = written(df.where(F.size("set") > 0), "sets")
-    sets = df.groupBy("manual_id", "set").agg(F.min("ord").alias("rep")).select("manual_id", "rep", "set", F.size("set").alias("k"))
-    sets = written(sets, "distinct-sets")
-    words = sets.select("manual_id", "rep", "k", F.explode("set").alias("w"))
+def duplicate_classes(chunks: DataFrame, order: str = "chunk_ord") -> tuple[DataFrame, DataFrame]:
+    """Chunks of a manual with the same set and number of tokens are a class, named by its first chunk: (classes: manual_id, rep,
+    set, k tokens in the set, n tokens; members: manual_id, rep, ord, chunk_id). Tokens are 64-bit hashes; sets are told apart by two hashes."""
+    words = tokens(F.coalesce("text", F.lit("")))
+    df = chunks.select("manual_id", F.col(order).alias("ord"), "chunk_id", F.size(words).alias("n"), F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))).alias("set"))
+    df = written(df.where("n > 0").withColumns({"k": F.size("set"), "h": F.xxhash64("set"), "h2": F.hash("set")}), "sets")
+    same = ["manual_id", "n", "k", "h", "h2"]
+    first = df.groupBy(*same).agg(F.min("ord").alias("rep"))
+    members = df.drop("set").join(first, ["manual_id", "n", "k", "h", "h2"]).select("manual_id", "rep", "ord", "chunk_id")
+    classes = df.join(first.select("manual_id", F.col("rep").alias("ord")), ["manual_id", "ord"], "left_semi").select("manual_id", F.col("ord").alias("rep"), "set", "k", "n")
+    return written(classes, "set-classes"), written(members, "set-members")
+
+
+def duplicate_links(classes: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """(manual_id, ra, rb, sim) of classes whose sets are alike and whose token counts are near, ra before rb. Two such sets share
+    one of their first tokens in order of rarity (prefix filter); lengths, and the places of the shared token, bound
+    what else they can share, and only pairs that may reach the threshold are compared whole."""
+    words = classes.select("manual_id", "rep", "k", "n", F.explode("set").alias("w"))
     freq = words.groupBy("manual_id", "w").agg(F.count(F.lit(1)).alias("f"))
     w = Window.partitionBy("manual_id", "rep").orderBy("f", "w")
-    ranked = words.join(freq, ["manual_id", "w"]).withColumn("r", F.row_number().over(w))
-    prefix = ranked.where(F.col("r") <= F.col("k") - F.ceil(F.col("k") * F.lit(threshold) - 1e-9) + 1).where("f > 1").select("manual_id", "w", "rep", "k")
+    shared = words.join(freq, ["manual_id", "w"]).withColumn("r", F.row_number().over(w))
+    prefix = shared.where((F.col("r") <= F.col("k") - F.ceil(F.col("k") * F.lit(threshold) - 1e-9) + 1) & (F.col("f") > 1)).select("manual_id", "w", "rep", "k", "n", "r")
+    prefix = written(prefix, "set-prefixes")
     a, b = prefix.alias("a"), prefix.alias("b")
-    near = (F.col("a.manual_id") == F.col("b.manual_id")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.rep") < F.col("b.rep")) & (F.least("a.k", "b.k") >= threshold * F.greatest("a.k", "b.k") - 1e-9)
+    alike = lambda c: F.least(f"a.{c}", f"b.{c}") >= threshold * F.greatest(f"a.{c}", f"b.{c}") - 1e-9
+    least = F.ceil((F.col("a.k") + F.col("b.k")) * F.lit(threshold / (1 + threshold)) - 1e-9)
+    may = F.least("a.r", "b.r") + F.least(F.col("a.k") - F.col("a.r"), F.col("b.k") - F.col("b.r")) >= least
+    near = (F.col("a.manual_id") == F.col("b.manual_id")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.rep") < F.col("b.rep")) & alike("k") & alike("n") & may
     pairs = a.join(b, near).select(F.col("a.manual_id").alias("manual_id"), F.col("a.rep").alias("ra"), F.col("b.rep").alias("rb")).distinct()
-    sa, sb = sets.select("manual_id", F.col("rep").alias("ra"), F.col("set").alias("sa")), sets.select("manual_id", F.col("rep").alias("rb"), F.col("set").alias("sb"))
+    sets = lambda x: classes.select("manual_id", F.col("rep").alias(f"r{x}"), F.col("set").alias(f"s{x}"), F.col("n").alias(f"n{x}"))
     both = F.size(F.array_intersect("sa", "sb"))
-    pairs = pairs.join(sa, ["manual_id", "ra"]).join(sb, ["manual_id", "rb"]).withColumn("sim", both / (F.size("sa") + F.size("sb") - both)).where(F.col("sim") >= threshold)
-    pairs = pairs.select("manual_id", "ra", "rb", "sim")
-    pairs = pairs.unionByName(sets.select("manual_id", F.col("rep").alias("ra"), F.col("rep").alias("rb"), F.lit(1.0).alias("sim")))
-    member = df.join(sets.select("manual_id", "set", "rep"), ["manual_id", "set"]).select("manual_id", "rep", "ord", "chunk_id", "n")
-    ma = member.select("manual_id", F.col("rep").alias("ra"), F.col("ord").alias("oa"), F.col("chunk_id").alias("ca"), F.col("n").alias("na"))
-    mb = member.select("manual_id", F.col("rep").alias("rb"), F.col("ord").alias("ob"), F.col("chunk_id").alias("cb"), F.col("n").alias("nb"))
-    out = pairs.join(ma, ["manual_id", "ra"]).join(mb, ["manual_id", "rb"]).where((F.col("ra") != F.col("rb")) | (F.col("oa") < F.col("ob")))
-    out = out.where(F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
-    swap = F.col("oa") > F.col("ob")
-    pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-    return out.select("manual_id", pick("oa", "ob").alias("oa"), pick("ob", "oa").alias("ob"), pick("ca", "cb").alias("a"), pick("cb", "ca").alias("b"), "sim")
+    pairs = pairs.join(sets("a"), ["manual_id", "ra"]).join(sets("b"), ["manual_id", "rb"]).withColumn("sim", both / (F.size("sa") + F.size("sb") - both))
+    return pairs.where((F.col("sim") >= threshold) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))).select("manual_id", "ra", "rb", "sim")
+
+
+def duplicate_pairs(chunks: DataFrame, threshold: float = 0.95, order: str = "chunk_ord") -> DataFrame:
+    """(manual_id, oa, ob, a, b, sim): every link between the first chunks of two classes, and each other member of a class with
+    its first chunk, so that no link between different texts is lost and copies are not expanded into all their pairs."""
+    classes, members = duplicate_classes(chunks, order)
+    names = lambda x: members.where("rep = ord").select("manual_id", F.col("rep").alias(f"r{x}"), F.col("chunk_id").alias(x))
+    links = duplicate_links(classes, threshold).join(names("a"), ["manual_id", "ra"]).join(names("b"), ["manual_id", "rb"])
+    links = links.select("manual_id", F.col("ra").alias("oa"), F.col("rb").alias("ob"), "a", "b", "sim")
+    own = members.where("rep <> ord").select("manual_id", F.col("rep").alias("ra"), F.col("ord").alias("ob"), F.col("chunk_id").alias("b")).join(names("a"), ["manual_id", "ra"])
+    return links.unionByName(own.select("manual_id", F.col("ra").alias("oa"), "ob", "a", "b", F.lit(1.0).alias("sim")))
 
 
 def duplicates(chunks: DataFrame, threshold: float = 0.95) -> DataFrame:
@@ -113,8 +128,17 @@ def broken_references(chunks: DataFrame, p: Profile) -> DataFrame:
     refs = refs.join(begins, "ref", "left_anti")
     parts = ids.select(F.explode(F.slice(F.split("chunk_id", "::"), 2, 1 << 30)).alias("last")).distinct()
     refs = refs.join(parts, "last", "left_anti")
-    heads = chunks.select(F.col("chunk_id").alias("other"), F.explode(lines(F.col("text"))).alias("line"), F.expr("1").alias("one"))
-    heads = heads.select("other", F.regexp_extract("line", rf"^(.*?)\.(?={WS}|$)", 1).alias("last")).where(F.col("last") != "").distinct()
+    # headings: a line that is a name still sought, a dot and white space; the end of a line is white space, that of the text is not
+    refs = written(refs, "broken-references")
+    sought = refs.where("last is not null").select("last").distinct()
+    sizes = sought.select(F.length("last").alias("n")).distinct()  # no more than a text has characters
+    longest = F.broadcast(sizes)
+    rows = lines(F.coalesce("text", F.lit("")))
+    ended = F.transform(rows, lambda x, i: F.when(i < F.size(rows) - 1, F.concat(x, F.lit("\n"))).otherwise(x))
+    dotted = F.filter(ended, lambda x: x.rlike(rf"\.{WS}"))
+    heads = chunks.select(F.col("chunk_id").alias("other"), F.explode(dotted).alias("line")).join(longest, F.substring("line", F.col("n") + 1, F.lit(1)) == ".")
+    heads = heads.where(F.substring("line", F.col("n") + 2, F.lit(1)).rlike(WS)).select("other", F.expr("left(line, n)").alias("last"))
+    heads = heads.join(sought, "last", "left_semi").distinct()
     found = refs.select("chunk_id", "last").distinct().join(heads, "last").where(F.col("chunk_id") != F.col("other")).select("chunk_id", "last").distinct()
     refs = refs.join(found, ["chunk_id", "last"], "left_anti")
     skipped = reduce(lambda a, s: a | F.startswith(F.col("ref"), F.concat("manual_id", F.lit(f"::{s}"))), p.skip_sections, F.lit(False))

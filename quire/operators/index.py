@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions.text import first_words, point_id, strip
+from quire.sources.storage import exists, written
+from quire.sources.tables import checked_size
 
 SIZE, WORDS = 768, 150
 
@@ -75,7 +77,9 @@ def vectors(chunks: DataFrame, embed: Callable[[list[str]], list[list[float]]] =
 
     last = Window.partitionBy("chunk_id").orderBy(F.desc("manual_id"), F.desc("chunk_ord"))
     df = embedding_input(chunks).withColumn("_r", F.row_number().over(last)).where("_r = 1")
-    payload = F.to_json(F.struct("chunk_id", "text", "metadata.*"))
+    fields = [f.name for f in chunks.schema["metadata"].dataType]
+    own = [F.col("manual_id")] if "manual_id" not in fields else []
+    payload = F.to_json(F.struct("chunk_id", *own, "text", "metadata.*"))
     return df.select(point_id(F.col("chunk_id")).alias("point_id"), run("embedding_input").alias("vector"), payload.alias("payload"))
 
 
@@ -89,6 +93,25 @@ def lookups(chunks: DataFrame) -> dict[str, DataFrame]:
         "cross_ref_lookup": each("cross_references", "cross_reference"),
     }
 
+#: Tables of the index beside the vectors.
+LOOKUPS = ("procedure_lookup", "vehicle_model_lookup", "figure_lookup", "cross_ref_lookup")
+
+
+def build(chunks: DataFrame, path: str, embed: Callable[[list[str]], list[list[float]]] = hashed, size: int = SIZE) -> int:
+    """Adds chunks to the index in a folder: their vectors, where one with the same id is replaced, and their rows in the lookup
+    tables. Gives the number of chunks. The new vectors are written beside the old ones before they take their place."""
+    spark = chunks.sparkSession
+    chunks = written(chunks, "index-chunks")
+    new = written(vectors(chunks, embed).withColumn("vector", checked_size(F.col("vector"), size)), "index-vectors")
+    at = f"{path}/vectors"
+    if exists(spark, at):
+        old = spark.read.parquet(at)
+        new = written(old.join(new, "point_id", "left_anti").unionByName(new), "index-merged")
+    new.write.mode("overwrite").parquet(at)
+    for name, rows in lookups(chunks).items():
+        rows.write.mode("append").parquet(f"{path}/{name}")
+    return chunks.count()
+
 
 def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.operators import index
+from quire.sources.storage import exists, written
+
 # Patterns and words that questions are read by; (?i) where case does not matter.
 VEHICLES = [r"(?i)\bCherokee\b", r"(?i)\bCJ[-\s]?([23567])\b", r"(?i)\bCJ[-\s]?3[AB]\b", r"(?i)\bM38A1\b", r"(?i)\bM38\b", r"\bXJ\b", r"(?i)\bWrangler\b"]
 ENGINES = [r"\b(\d+\.\d+)\s*[Ll]\b", r"\bI[46]\b", r"\bV[68]\b", r"(?i)\bHurricane\b", r"\b[Dd]iesel\b", r"\bF[\-]?4\b", r"(?i)\bF[\-]?head\b", r"(?i)\bL[\-]?head\b"]
@@ -85,11 +91,56 @@ def enriched(primary: DataFrame, lookups: dict[str, DataFrame] | None = None) ->
 
 
 def reranked(results: DataFrame, top: int = 5) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "ord")
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "ord", "chunk_id")
     return results.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
-
-def responses(results: DataFrame, metadata: DataFrame, filtered: bool) -> DataFrame:
-    """Per query: whether a result has callouts, and whether several manuals were searched."""
-    df = results.join(metadata.select("chunk_id", F.size("metadata.has_safety_callouts").alias("n")), "chunk_id", "left")
-    return df.groupBy("query_id").agg(F.count(F.lit(1)).alias("results"), F.coalesce(F.bool_or(F.col("n") > 0), F.lit(False)).alias("has_safety_warnings")).withColumn("multi_manual", F.lit(not filtered))
+_RESULT = "array<struct<chunk_id: string, text: string, metadata: map<string, string>, score: double, source: string>>"
+
+
+def with_payload(results: DataFrame, points: DataFrame, procedures: DataFrame | None) -> DataFrame:
+    """results with text and metadata: those of the chunk for primary results; for a cross-reference its manual and the name
+    of its procedure; nothing for the others, as they are known by id only."""
+    own = points.select("chunk_id", F.col("text").alias("own_text"), F.col("metadata").alias("own"))
+    out = results.join(own, "chunk_id", "left")
+    if procedures is not None:
+        first = procedures.groupBy("chunk_id").agg(F.min(F.struct("manual_id", "procedure_name")).alias("p"))
+        out = out.join(first, "chunk_id", "left")
+    else:
+        out = out.withColumn("p", F.lit(None).cast("struct<manual_id: string, procedure_name: string>"))
+    primary, cited = F.col("source") == "primary", F.col("source") == "cross_ref"
+    named = F.create_map(F.lit("manual_id"), F.col("p.manual_id"), F.lit("procedure_name"), F.coalesce("p.procedure_name", F.lit("")))
+    meta = F.when(primary, F.col("own")).when(cited, named).otherwise(F.create_map().cast("map<string,string>"))
+    return out.withColumns({"text": F.when(primary, F.coalesce("own_text", F.lit(""))).otherwise(""), "metadata": meta}).drop("own_text", "own", "p")
+
+
+def _list(key: str) -> Column:
+    return F.coalesce(F.from_json(F.col("metadata")[key], "array<string>"), F.array().cast("array<string>"))
+
+
+def retrieve(queries: DataFrame, path: str, top_k: int = 10, manuals: list[str] | None = None, embed: Callable = index.hashed) -> DataFrame:
+    """One row per query (query_id, query) against the index in a folder: its analysis, results by descending score (the nearest chunks, their
+    parents, siblings and chunks that cite the same targets, at most five), whether one has safety callouts, whether several manuals
+    were searched, and warnings. Without the lookup tables there are no cross-references, and a warning says so."""
+    spark = queries.sparkSession
+    asked = written(analyzed(queries, manuals), "asked")
+    run = F.pandas_udf(lambda s: pd.Series(embed(s.tolist())), "array<float>")
+    points = spark.read.parquet(f"{path}/vectors").select("vector", F.from_json("payload", "map<string,string>").alias("m"))
+    points = points.select(F.col("m")["chunk_id"].alias("chunk_id"), F.col("m")["manual_id"].alias("manual_id"), F.col("m")["text"].alias("text"), F.map_filter("m", lambda k, v: ~k.isin("chunk_id", "text")).alias("metadata"), "vector")
+    only = manuals[0] if manuals and len(manuals) == 1 else None
+    searched = points.where(F.col("manual_id") == only) if only else points
+    hits = index.nearest(asked.select("query_id", run("query").alias("q")), searched.select(F.col("chunk_id").alias("point"), F.col("vector").alias("v")), top_k)
+    hits = written(hits.join(points, hits["point"] == points["chunk_id"]).select("query_id", (F.col("rank") - 1).alias("ord"), "chunk_id", "score", "text", "metadata"), "hits")
+    primary = hits.select("query_id", "ord", "chunk_id", "score", F.col("metadata")["parent_chunk_id"].alias("parent_chunk_id"), _list("sibling_chunk_ids").alias("sibling_chunk_ids"), _list("cross_references").alias("cross_references"))
+    missing = [t for t in ("cross_ref_lookup", "procedure_lookup") if not exists(spark, f"{path}/{t}")]
+    tables = None if missing else {t: spark.read.parquet(f"{path}/{t}") for t in ("cross_ref_lookup", "procedure_lookup")}
+    best = reranked(enriched(primary, tables), min(top_k, 5))
+    best = with_payload(best, hits.select("chunk_id", "text", "metadata").dropDuplicates(["chunk_id"]), tables and tables["procedure_lookup"])
+    best = best.withColumn("safe", F.coalesce(F.size(F.from_json(F.col("metadata")["has_safety_callouts"], "array<string>")) > 0, F.lit(False)))
+    rows = F.array_sort(F.collect_list(F.struct("rank", F.struct("chunk_id", "text", "metadata", "score", "source").alias("r"), "safe")), lambda a, b: a["rank"] - b["rank"])
+    found = best.groupBy("query_id").agg(rows.alias("rows"))
+    warned = F.array(*[F.lit(f"Cross-references are not resolved: there is no table {t}") for t in missing]).cast("array<string>")
+    out = asked.join(found, "query_id", "left")
+    return out.select(
+        *asked.columns, F.coalesce(F.transform("rows", lambda x: x["r"]), F.array().cast(_RESULT)).alias("results"),
+        F.coalesce(F.exists("rows", lambda x: x["safe"]), F.lit(False)).alias("has_safety_warnings"), F.lit(only is None).alias("multi_manual"), warned.alias("retrieval_warnings"),
+    )

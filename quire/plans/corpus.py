@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quire.functions import text as T
 from quire.operators import analytics, checks, chunks, index, retrieval, rules, structure
 from quire.plans.samples import MANUAL, PROSE
 from quire.sources import tables
-from quire.sources.storage import written
+from quire.sources.profile import from_mapping
+from quire.sources.storage import shared_dir, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -58,17 +61,10 @@ def _(spark, d):
     return docs(spark, d).select("doc_id", T.substitute_patterns(F.col("text"), [{"pattern": r"([A-Za-z0-9_])ing(?![A-Za-z0-9_])", "replacement": r"\1in"}]).alias("cleaned"))
 
 
-_SPACED = [("W A R N I N G and A B", "WARNING and A B"), ("A B C D", "ABCD"), ("x A B C y", "x ABC y"), ("AB C D", "AB C D"), ("", "")]
-
-
-def _values(rows: list[tuple], names: str) -> str:
-    cell = lambda v: "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + v.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) AS t({names})"
-
-
-@query("clean_spaced_caps", _values(_SPACED, "raw, cleaned"))
+@query("clean_spaced_caps")
 def _(spark, d):
-    return spark.createDataFrame([(a,) for a, _ in _SPACED], "raw string").withColumn("cleaned", T.collapse_spaced(F.col("raw")))
+    spaced = F.regexp_replace(F.upper("text"), "([A-Z])(?=[A-Z])", "$1 ")
+    return docs(spark, d).select("doc_id", T.collapse_spaced(spaced).alias("cleaned"))
 
 
 _LINES = "string_split(text, chr(10))"
@@ -94,23 +90,42 @@ def _(spark, d):
 SELECT doc_id, regexp_replace(array_to_string(list_transform(string_split(nfc_normalize(replace(replace(text, '’', ''''), 'ﬁ', 'fi')), chr(10)), lambda l: trim(regexp_replace(l, '[ \\t]+', ' ', 'g'))), chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g') AS cleaned
 FROM documents""")
 def _(spark, d):
-    return docs(spark, d).select("doc_id", T.normalize(F.col("text")).alias("cleaned"))
+    return T.normalized(docs(spark, d).select("doc_id", F.col("text").alias("cleaned")), "cleaned")
+
+
+_HEAD = "^Released under the|^Licensed under the"
+_CLEAN = r"""WITH pages_r AS (SELECT source AS manual_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS page_number, coalesce(text, '') AS raw FROM documents),
+subs AS (SELECT *, string_split(regexp_replace(replace(replace(raw, 'tion', 'zion'), 'zz', 'z'), '([A-Za-z0-9_])ing\b', '\1in', 'g'), chr(10)) AS l FROM pages_r),
+kept AS (SELECT *, list_filter(l, lambda x: NOT regexp_matches(x, '{h}')) AS k, list_filter(l, lambda x: regexp_matches(x, '{h}') AND regexp_matches(x, '[0-9]'))[1] AS first FROM subs),
+clean AS (SELECT manual_id, page_number, raw,
+  regexp_replace(array_to_string(list_transform(string_split(nfc_normalize(replace(replace(array_to_string(k, chr(10)), '’', ''''), 'ﬁ', 'fi')), chr(10)), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'))), chr(10)), '\n{{3,}}', chr(10) || chr(10), 'g') AS text,
+  CASE WHEN regexp_matches(first, '([0-9]+)\s*-\s*([0-9]+)') THEN regexp_extract(first, '([0-9]+)\s*-\s*([0-9]+)', 1) || '-' || regexp_extract(first, '([0-9]+)\s*-\s*([0-9]+)', 2) WHEN first IS NOT NULL THEN regexp_extract(first, '([0-9]+)', 1) END AS page_id,
+  array_to_string(list_filter(list_transform(k, lambda x, i: CASE WHEN len(list_filter(regexp_extract_all(x, '\S+'), lambda w: length(regexp_replace(w, '[\x00-\x7F]', '', 'g')) / length(w) > 0.4)) > 0 THEN i - 1 END), lambda x: x IS NOT NULL), ',') AS garbage,
+  CAST((length(raw) - length(replace(raw, 'tion', ''))) / 4 + (length(raw) - length(replace(raw, 'zz', ''))) / 2 AS BIGINT) AS subs
+  FROM kept)""".format(h=_HEAD)
+
 
+def cleaned(spark, d):
+    return T.cleaned_pages(pages(spark, d), PROSE.cleanup)
 
-@query("clean_page")
+
+@query("clean_page", _CLEAN + " SELECT manual_id, page_number, text AS cleaned_text, page_id AS extracted_page_id, garbage AS garbage_lines, subs AS substitutions_applied FROM clean")
+def _(spark, d):
+    garbage = F.array_join(F.col("garbage_lines").cast("array<string>"), ",").alias("garbage_lines")
+    return cleaned(spark, d).select("manual_id", "page_number", "cleaned_text", "extracted_page_id", garbage, F.col("substitutions_applied").cast("long").alias("substitutions_applied"))
+
+
+@query("cleanup_statistics", _CLEAN + """ SELECT manual_id, count(*) AS pages, CAST(sum(subs) AS BIGINT) AS substitutions, count(*) FILTER (subs > 0) AS pages_with_substitutions,
+  CAST(sum(len(list_filter(string_split(garbage, ','), lambda x: x <> ''))) AS BIGINT) AS garbage_lines, count(*) FILTER (garbage <> '') AS pages_with_garbage, count(*) FILTER (page_id <> '') AS page_ids FROM clean GROUP BY 1""")
 def _(spark, d):
-    return pages(spark, d).withColumns(T.cleaned(F.col("text"), PROSE.cleanup))
+    return analytics.cleanup_statistics(cleaned(spark, d))
 
 
 _PAGES = "WITH pages_m AS (SELECT source AS manual_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS page_number, text FROM documents)"
 
 
-@query("ocr_quality", _PAGES + r""", g AS (
-  SELECT manual_id, page_number, text, string_split(text, chr(10)) AS l FROM pages_m
-), n AS (
-  SELECT manual_id, page_number, len(l) AS lines,
-    len(list_filter(l, lambda x: len(list_filter(regexp_extract_all(x, '\S+'), lambda w: length(regexp_replace(w, '[\x00-\x7F]', '', 'g')) / length(w) > 0.4)) > 0)) AS garbage,
-    regexp_extract_all(text, '\S+') AS t FROM g
+@query("ocr_quality", _CLEAN + r""", n AS (
+  SELECT manual_id, page_number, len(string_split(text, chr(10))) AS lines, len(list_filter(string_split(garbage, ','), lambda x: x <> '')) AS garbage, regexp_extract_all(text, '\S+') AS t FROM clean
 ), w AS (
   SELECT *, list_filter(list_transform(t, lambda x: regexp_replace(x, '^[^a-zA-Z0-9]+|[^a-zA-Z0-9]+$', '', 'g')), lambda x: x <> '') AS named FROM n
 ), q AS (
@@ -122,8 +137,7 @@ _PAGES = "WITH pages_m AS (SELECT source AS manual_id, row_number() OVER (PARTIT
 SELECT manual_id, total_pages, sampled_pages, round(good / tokens, 6) AS dictionary_match_rate, round(garbage / lines, 6) AS garbage_line_rate, CAST(suspected_errors AS BIGINT) AS suspected_errors,
   good / tokens < 0.7 OR garbage / lines > 0.3 AS needs_reocr FROM s""")
 def _(spark, d):
-    p = pages(spark, d).withColumns({"cleaned_text": F.col("text"), "garbage_lines": T.garbage_lines(F.col("text"), 0.4)})
-    return analytics.ocr_quality(p)
+    return analytics.ocr_quality(cleaned(spark, d))
 
 
 # lines and boundaries
@@ -166,13 +180,23 @@ def _(spark, d):
     return found(spark, d)[1].select(structure.BOUNDARY)
 
 
-_AMBIGUOUS = ["GROUP 8 IGNITION", "text", "8 COILS", "GROUP 9 FUEL", "9 PUMPS"]
+#: Two levels that match the same lines.
+_TWO = [{"level": 1, "name": "one", "id_pattern": r"^(\S+ \S+)\.$"}, {"level": 2, "name": "two", "id_pattern": r"^(?:\S+ )?(\S+)\.$"}]
 
 
-@query("boundaries_ambiguous", _values([(1, "8", 0), (2, "8", 2), (1, "9", 3), (2, "9", 4)], "level, id, line_number"))
+@query("boundaries_ambiguous", """
+WITH RECURSIVE """ + _L.removeprefix("WITH ") + r""", c AS (
+  SELECT manual_id, line_number, regexp_matches(trim(text), '^\S+ \S+\.$') AS pair, regexp_extract(trim(text), '^(.*)\.$', 1) AS name, row_number() OVER (PARTITION BY manual_id ORDER BY line_number) AS k
+  FROM lines WHERE regexp_matches(trim(text), '^(\S+ )?\S+\.$')
+), walk AS (
+  SELECT manual_id, k, CASE WHEN pair THEN 1 ELSE 2 END AS level FROM c WHERE k = 1
+  UNION ALL
+  SELECT c.manual_id, c.k, CASE WHEN NOT pair THEN 2 WHEN w.level = 1 THEN 2 ELSE 1 END FROM walk w JOIN c ON c.manual_id = w.manual_id AND c.k = w.k + 1
+)
+SELECT c.manual_id, level, CASE WHEN level = 1 THEN name ELSE regexp_extract(name, '(\S+)$', 1) END AS id, line_number FROM walk JOIN c USING (manual_id, k)""")
 def _(spark, d):
-    p = spark.createDataFrame([("m", 0, "\n".join(_AMBIGUOUS))], "manual_id string, page_number int, text string")
-    return structure.detect(structure.page_lines(p), MANUAL).select("level", "id", "line_number")
+    p = from_mapping({"schema_version": "1.0", "manual_id": "m", "manual_title": "t", "source_url": "none", "source_format": "html", "structure": {"hierarchy": _TWO}})
+    return structure.detect(structure.page_lines(pages(spark, d)), p).select("manual_id", "level", "id", "line_number")
 
 
 @query("filter_known_id", _B + " SELECT manual_id, level, id, line_number FROM bounds WHERE level <> 1 OR id IN ('The', 'A', 'Of')")
@@ -285,7 +309,8 @@ def _(spark, d):
 # chunks
 
 def flow(spark, d):
-    return written(chunks.assembled(pages(spark, d), PROSE), "chunks")
+    """Pages cleaned as the command line does, then chunks."""
+    return written(chunks.assembled(cleaned(spark, d).select("manual_id", "page_number", F.col("cleaned_text").alias("text")), PROSE), "chunks")
 
 
 @query("chunks")
@@ -293,39 +318,170 @@ def _(spark, d):
     return flow(spark, d)
 
 
-def lit_rule(name: str, cases: list[tuple[list[str], list[str]]], rule) -> None:
-    """A query that runs a rule on small texts through Spark, against the lists that it must give."""
-    rows = [(i, "\x1f".join(a)) for i, (a, _) in enumerate(cases)]
+# rules, on texts made from documents
+
+def numbered(text):
+    """Lines as steps, but for every third by its length."""
+    return F.array_join(F.transform(T.lines(text), lambda x: F.when(F.length(x) % 3 == 0, x).otherwise(F.concat(F.lit("("), (F.length(x) % 4).cast("string"), F.lit(") "), x))), "\n")
+
+
+def called(text):
+    """Lines with callouts of two kinds, by their length."""
+    warning = lambda x: F.when(F.length(x) % 5 == 0, F.concat(F.lit("WARNING: "), x)).otherwise(x)
+    note = lambda x: F.when(F.length(x) % 7 == 0, F.concat(x, F.lit(" note: x"))).otherwise(x)
+    return F.array_join(F.transform(T.lines(text), lambda x: note(warning(x))), "\n")
+
+
+def leadered(text):
+    """Lines with dot leaders, but for every third by its length."""
+    return F.array_join(F.transform(T.lines(text), lambda x: F.when(F.length(x) % 3 == 0, x).otherwise(F.concat(F.lit("Gap....3 "), x))), "\n")
+
+
+def marked(text, name: str, every: int, kinds: int):
+    """Lines that begin with a name and a number below kinds, where their length is a multiple of every."""
+    number = lambda x: F.floor(F.length(x) / every) % kinds
+    return F.array_join(F.transform(T.lines(text), lambda x: F.when(F.length(x) % every == 0, F.concat(F.lit(name), number(x).cast("string"), F.lit(" "), x)).otherwise(x)), "\n")
+
+
+_TEXT_LINES = "list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {})"
+_NUMBERED = _TEXT_LINES.format("CASE WHEN length(x) % 3 = 0 THEN x ELSE '(' || (length(x) % 4) || ') ' || x END")
+_CALLED = _TEXT_LINES.format("(CASE WHEN length(x) % 5 = 0 THEN 'WARNING: ' ELSE '' END) || x || (CASE WHEN length(x) % 7 = 0 THEN ' note: x' ELSE '' END)").replace(
+    "CASE WHEN length(x) % 7 = 0", "CASE WHEN (length(x) + CASE WHEN length(x) % 5 = 0 THEN 9 ELSE 0 END) % 7 = 0"
+)
+_LEADERED = _TEXT_LINES.format("CASE WHEN length(x) % 3 = 0 THEN x ELSE 'Gap....3 ' || x END")
+_REFS = _TEXT_LINES.format("CASE WHEN length(x) % 4 = 0 THEN 'Refer to ' || (length(x) // 4 % 9) || ' ' || x ELSE x END")
+_FIGURES = _TEXT_LINES.format("CASE WHEN length(x) % 2 = 0 THEN 'FIG. B-' || (length(x) // 2 % 3) || ' ' || x ELSE x END")
+
+
+def _rows(made: str) -> str:
+    """SQL: the lines of each document with their numbers."""
+    return f"WITH a AS (SELECT doc_id, {made} AS l FROM documents), rows AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS x FROM a)"
+
+
+def ruled(spark, d, text, rule, shape: str = "array<string>") -> DataFrame:
+    """doc_id and what a rule gives for the document's text, in rows with their place."""
+    run = F.pandas_udf(lambda s: s.map(rule), shape)
+    return docs(spark, d).select("doc_id", text(F.coalesce("text", F.lit(""))).alias("t")).select("doc_id", F.posexplode(run("t")).alias("place", "part"))
+
+
+_BARE = "trim(x, ' ' || chr(9) || chr(10) || chr(13))"
+#: SQL: islands of step lines; a new one begins where numbering starts again after other lines.
+_STEPS = _rows(_NUMBERED) + r""", marks AS (
+  SELECT doc_id, i, CAST(regexp_extract(x, '^\((\d+)\)\s', 1) AS INT) AS n FROM rows WHERE regexp_matches(trim(x), '^\((\d+)\)\s')
+), fresh AS (
+  SELECT *, CASE WHEN lag(i) OVER w IS NULL OR (i - lag(i) OVER w > 1 AND n = 1 AND lag(n) OVER w >= 1) THEN 1 ELSE 0 END AS f FROM marks WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), numbered AS (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM fresh),
+steps AS (SELECT doc_id, k, min(i) AS a, max(i) AS b FROM numbered GROUP BY 1, 2)"""
+
+
+@query("step_sequences", _STEPS + " SELECT doc_id, CAST(k - 1 AS INT) AS place, a || '-' || b AS part FROM steps")
+def _(spark, d):
+    return ruled(spark, d, numbered, lambda t: [f"{a}-{b}" for a, b in rules.steps(t, list(MANUAL.step_patterns[:1]))])
+
+
+@query("rule_r3", _STEPS + f""", placed AS (
+  SELECT r.doc_id, r.i, r.x, s.k, (SELECT count(*) FROM steps e WHERE e.doc_id = r.doc_id AND e.b < r.i) AS before FROM rows r LEFT JOIN steps s ON s.doc_id = r.doc_id AND r.i BETWEEN s.a AND s.b
+), pieces AS (SELECT doc_id, CASE WHEN k IS NULL THEN 2 * before ELSE 2 * k - 1 END AS g, {_BARE.replace('(x,', "(string_agg(x, chr(10) ORDER BY i),")} AS part FROM placed GROUP BY 1, 2)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1 AS INT) AS place, part FROM pieces WHERE part <> ''""")
+def _(spark, d):
+    return ruled(spark, d, numbered, lambda t: rules.keep_steps([t], list(MANUAL.step_patterns[:1])))
+
+
+#: SQL: callouts with the line before the next stop.
+_CALLOUTS = _rows(_CALLED) + r""", kinds AS (
+  SELECT *, regexp_matches(trim(x), '^WARNING') AS warning, regexp_matches(trim(x), '(?i)note:') AS note FROM rows
+), ends AS (SELECT *, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i), (SELECT max(i) + 1 FROM rows r WHERE r.doc_id = kinds.doc_id)) - 1 AS b FROM kinds
+  WHERE warning OR note OR trim(x) = '' OR regexp_matches(trim(x), '^(\(\d+\)|[a-z]\.)\s')
+), found AS (SELECT doc_id, 'warning' AS level, 1 AS o, i, b FROM ends WHERE warning UNION ALL SELECT doc_id, 'note', 2, i, b FROM ends WHERE note)"""
+
+
+@query("safety_callouts", _CALLOUTS + " SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY o, i) - 1 AS INT) AS place, level || ':' || i || '-' || b AS part FROM found")
+def _(spark, d):
+    return ruled(spark, d, called, lambda t: [f"{x}:{a}-{b}" for x, a, b, _ in rules.callouts(t, MANUAL.callouts)])
+
+
+#: Of lines that are callouts in a row, the first, third and so on take the next line.
+@query("rule_r4", _rows(_CALLED) + r""", kinds AS (
+  SELECT *, regexp_matches(trim(x), '^WARNING') OR regexp_matches(trim(x), '(?i)note:') AS c FROM rows
+), runs AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, c ORDER BY i) AS run FROM kinds),
+odd AS (SELECT *, c AND row_number() OVER (PARTITION BY doc_id, c, run ORDER BY i) % 2 = 1 AS takes FROM runs),
+heads AS (SELECT *, CASE WHEN coalesce(lag(takes) OVER (PARTITION BY doc_id ORDER BY i), false) THEN 0 ELSE 1 END AS h FROM odd),
+grouped AS (SELECT *, sum(h) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM heads)
+SELECT doc_id, CAST(g - 1 AS INT) AS place, string_agg(x, chr(10) || chr(10) ORDER BY i) AS part FROM grouped GROUP BY 1, 2""")
+def _(spark, d):
+    return ruled(spark, d, called, lambda t: rules.attach_callouts(t.split("\n"), MANUAL.callouts))
+
+
+@query("tables_detected", _rows(_LEADERED) + r""", marks AS (
+  SELECT doc_id, i FROM rows WHERE regexp_matches(x, '\.{3,}')
+), fresh AS (SELECT *, CASE WHEN coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i), 9) > 3 THEN 1 ELSE 0 END AS f FROM marks),
+numbered AS (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM fresh),
+islands AS (SELECT doc_id, k, min(i) AS a, max(i) AS b FROM numbered GROUP BY 1, 2)
+SELECT s.doc_id, CAST(k - 1 AS INT) AS place, (CASE WHEN trim(r.x) <> '' AND NOT regexp_matches(r.x, '\.{3,}') THEN a - 1 ELSE a END) || '-' || b AS part
+FROM islands s LEFT JOIN rows r ON r.doc_id = s.doc_id AND r.i = s.a - 1""")
+def _(spark, d):
+    return ruled(spark, d, leadered, lambda t: [f"{a}-{b}" for a, b in rules.tables(t)])
+
+
+#: Neighbours that both have leaders are one table.
+@query("rule_r5", _rows(_LEADERED) + r""", heads AS (
+  SELECT *, CASE WHEN regexp_matches(x, '\.{3,}') AND coalesce(lag(regexp_matches(x, '\.{3,}')) OVER (PARTITION BY doc_id ORDER BY i), false) THEN 0 ELSE 1 END AS h FROM rows
+), grouped AS (SELECT *, sum(h) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM heads)
+SELECT doc_id, CAST(g - 1 AS INT) AS place, string_agg(x, chr(10) ORDER BY i) AS part FROM grouped GROUP BY 1, 2""")
+def _(spark, d):
+    return ruled(spark, d, leadered, lambda t: rules.join_tables(t.split("\n")))
 
-    @query(name, _values([(i, "|".join(b)) for i, (_, b) in enumerate(cases)], "case_id, parts"))
-    def _(spark, d):
-        @F.pandas_udf("string")
-        def run(s: pd.Series) -> pd.Series:
-            return s.map(lambda t: "|".join(rule(t.split("\x1f"))))
 
-        return spark.createDataFrame(rows, "case_id int, texts string").select("case_id", run("texts").alias("parts"))
+@query("rule_r2")
+def _(spark, d):
+    return ruled(spark, d, lambda t: t, lambda t: rules.split_large([t]))
 
 
-_words = lambda n, w="w": " ".join([w] * n)
-lit_rule("rule_r3", [(["intro\n(1) a\n(2) b\nafter"], ["intro", "(1) a\n(2) b", "after"]), (["plain"], ["plain"]), (["(1) a\nx\n(1) b"], ["(1) a", "x", "(1) b"]), (["(1) a\n(1) b"], ["(1) a\n(1) b"])], lambda t: rules.keep_steps(t, list(MANUAL.step_patterns)))
-lit_rule("rule_r4", [(["WARNING: HOT\nSTILL", "(1) do", "x"], ["WARNING: HOT\nSTILL\n\n(1) do", "x"]), (["WARNING: HOT\n\nplain words", "y"], ["WARNING: HOT\n\nplain words", "y"]), (["WARNING: LAST"], ["WARNING: LAST"])], lambda t: rules.attach_callouts(t, MANUAL.callouts))
-lit_rule("rule_r5", [(["SPEC\nBore....3", "Stroke....4", "Gap....5"], ["SPEC\nBore....3\nStroke....4\nGap....5"]), (["Bore....3\na\nb\nc", "Stroke....4"], ["Bore....3\na\nb\nc", "Stroke....4"])], rules.join_tables)
-lit_rule("rule_r2", [([_words(5)], [_words(5)]), ([_words(2001)], [_words(2000), "w"]), ([_words(1500) + "\n" + _words(600)], [_words(1500), _words(600)]), (["a b\n\n" + _words(2001) + "\n\nc"], ["a b", _words(2000), "w"[:0] + "w", "a b\n\nc"])], rules.split_large)
-lit_rule("rule_r6", [(["a", _words(100), "b"], ["a\n\n" + _words(100), "b"]), (["a", "b", "c"], ["a\n\nb\n\nc"]), ([_words(99), "x"], [_words(99) + "\n\nx"])], rules.merge_small)
-lit_rule("rule_r7", [(["x y", "Refer to 8A", "z"], ["x y\n\nRefer to 8A", "z"]), (["Refer to 8A", "x"], ["Refer to 8A", "x"]), (["a", "OIL PUMP\nRefer to 9"], ["a\n\nOIL PUMP\nRefer to 9"])], lambda t: rules.merge_references(t, list(MANUAL.cross_reference_patterns)))
-lit_rule("rule_r8", [(["see FIG. B-1", "FIG. B-1 pump", "x"], ["see FIG. B-1\n\nFIG. B-1 pump", "x"]), (["see FIG. B-2", "FIG. B-1 pump"], ["see FIG. B-2", "FIG. B-1 pump"])], lambda t: rules.keep_figures(t, MANUAL.figure_pattern))
-lit_rule("step_sequences", [(["(1) a\n(2) b\nc\n(1) d"], ["0-1", "3-3"]), (["a. x\nb. y"], ["0-1"]), (["none"], [""])], lambda t: [f"{a}-{b}" for a, b in rules.steps(t[0], list(MANUAL.step_patterns))] or [""])
-lit_rule("tables_detected", [(["SPECS\nBore....3\nsub\nGap....1\n\n\n\n\nLone....2"], ["0-3", "8-8"]), (["none.."], [""])], lambda t: [f"{a}-{b}" for a, b in rules.tables(t[0])] or [""])
-lit_rule("safety_callouts", [(["Note: be kind\nWARNING: HOT\nMORE\n(1) go"], ["warning:1-2", "note:0-0"])], lambda t: [f"{x}:{a}-{b}" for x, a, b, _ in rules.callouts(t[0], MANUAL.callouts)])
+@query("rule_r6", """
+WITH RECURSIVE """ + _rows(_TEXT_LINES.format("x")).removeprefix("WITH ") + r""", sized AS (
+  SELECT *, len(regexp_extract_all(x, '\S+')) AS n, max(i) OVER (PARTITION BY doc_id) AS last FROM rows
+), walk AS (
+  SELECT doc_id, i, n AS held, 0 AS g FROM sized WHERE i = 0
+  UNION ALL
+  SELECT s.doc_id, s.i, CASE WHEN w.held >= 100 THEN s.n ELSE w.held + s.n END, CASE WHEN w.held >= 100 THEN w.g + 1 ELSE w.g END FROM walk w JOIN sized s ON s.doc_id = w.doc_id AND s.i = w.i + 1
+)
+SELECT doc_id, g AS place, string_agg(x, chr(10) || chr(10) ORDER BY i) AS part FROM walk JOIN sized USING (doc_id, i) GROUP BY 1, 2""")
+def _(spark, d):
+    return ruled(spark, d, lambda t: t, lambda t: rules.merge_small(t.split("\n")))
 
-_MERGE = [("m::A::1", 10), ("m::A::2", 5), ("m::A::3", 300), ("m::B::1", 8), ("m::B::2", 1995), ("m::B::3", 150)]
 
+#: A line of references alone, or with no more than five words in capitals, goes after the one before.
+@query("rule_r7", _rows(_REFS) + r""", heads AS (
+  SELECT *, CASE WHEN i > 0 AND (trim(x) = '' OR regexp_matches(trim(x), '[Rr]efer to ([\p{L}\p{N}_]+)') OR (upper(x) = x AND lower(x) <> x AND len(regexp_extract_all(x, '\S+')) <= 5)) THEN 0 ELSE 1 END AS h FROM rows
+), grouped AS (SELECT *, sum(h) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM heads)
+SELECT doc_id, CAST(g - 1 AS INT) AS place, string_agg(x, chr(10) || chr(10) ORDER BY i) AS part FROM grouped GROUP BY 1, 2""")
+def _(spark, d):
+    return ruled(spark, d, lambda t: marked(t, "Refer to ", 4, 9), lambda t: rules.merge_references(t.split("\n"), list(MANUAL.cross_reference_patterns)))
 
-@query("merge_across_entries", _values([("m::A::3", 315), ("m::B::1", 8), ("m::B::2", 1995), ("m::B::3", 150)], "chunk_id, n"))
+
+#: Neighbours that begin with the same figure are one piece.
+@query("rule_r8", _rows(_FIGURES) + r""", named AS (SELECT *, regexp_extract(x, 'FIG\. (\w+-\d+)', 1) AS f FROM rows),
+heads AS (SELECT *, CASE WHEN f <> '' AND f = lag(f) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS h FROM named),
+grouped AS (SELECT *, sum(h) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM heads)
+SELECT doc_id, CAST(g - 1 AS INT) AS place, string_agg(x, chr(10) || chr(10) ORDER BY i) AS part FROM grouped GROUP BY 1, 2""")
 def _(spark, d):
-    rows = [("m", i, 0, c, _words(n), (c,)) for i, (c, n) in enumerate(_MERGE)]
-    df = spark.createDataFrame(rows, "manual_id string, entry_idx int, part_idx int, chunk_id string, text string, metadata struct<x: string>")
-    return chunks.merge_across(df, ["entry_idx", "part_idx"]).select("chunk_id", T.count_tokens(F.col("text")).alias("n"))
+    return ruled(spark, d, lambda t: marked(t, "FIG. B-", 2, 3), lambda t: rules.keep_figures(t.split("\n"), MANUAL.figure_pattern))
+
+
+@query("merge_across_entries", r"""
+WITH RECURSIVE c AS (
+  SELECT source AS m, lang AS l1, source || '::' || lang || '::' || doc_id AS chunk_id, len(regexp_extract_all(coalesce(text, ''), '\S+')) AS n, row_number() OVER (PARTITION BY source ORDER BY lang, doc_id) AS i FROM documents
+), walk AS (
+  SELECT m, i, l1, chunk_id, n AS held, 1 AS g FROM c WHERE i = 1
+  UNION ALL
+  SELECT c.m, c.i, c.l1, c.chunk_id, CASE WHEN j THEN held + c.n ELSE c.n END, CASE WHEN j THEN g ELSE g + 1 END
+  FROM (SELECT w.m, w.i, w.held, w.g, w.held < 200 AND w.l1 = c.l1 AND w.held + c.n <= 2000 AS j FROM walk w JOIN c ON c.m = w.m AND c.i = w.i + 1) w JOIN c ON c.m = w.m AND c.i = w.i + 1
+)
+SELECT arg_max(chunk_id, i) AS chunk_id, max_by(held, i) AS n FROM walk GROUP BY m, g""")
+def _(spark, d):
+    order = F.row_number().over(Window.partitionBy("source").orderBy("lang", "doc_id"))
+    c = docs(spark, d).select(F.col("source").alias("manual_id"), order.alias("entry_idx"), F.lit(0).alias("part_idx"), F.concat_ws("::", "source", "lang", F.col("doc_id").cast("string")).alias("chunk_id"), F.coalesce("text", F.lit("")).alias("text"), F.struct("lang").alias("metadata"))
+    return chunks.merge_across(c, ["entry_idx", "part_idx"]).select("chunk_id", T.count_tokens(F.col("text")).cast("long").alias("n"))
 
 
 @query("tag_applicability", """
@@ -336,10 +492,10 @@ def _(spark, d):
     return docs(spark, d).select("doc_id", *[F.array_join(a[k], ",").alias(n) for k, n in (("vehicle_models", "models"), ("engine_applicability", "engines"), ("drivetrain_applicability", "drives"))])
 
 
-@query("enrich_refs", r"SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(text, '\bthe ([\p{L}\p{N}_]+)\.', 1), lambda x: source || '::' || x))), ',') AS refs FROM documents WHERE lang = 'en'")
+@query("enrich_refs", r"SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(text, '\bthe ([\p{L}\p{N}_]+)\.', 1), lambda x: source || '::' || x))), ',') AS refs FROM documents")
 def _(spark, d):
     r = chunks.references(F.col("text"), F.col("source"), PROSE)
-    return docs(spark, d).where("lang = 'en'").select("doc_id", F.array_join(r["cross_references"], ",").alias("refs"))
+    return docs(spark, d).select("doc_id", F.array_join(r["cross_references"], ",").alias("refs"))
 
 
 _N = r"len(regexp_extract_all(text, '\S+'))"
@@ -390,13 +546,13 @@ def _(spark, d):
 
 def _search(spark, d, keys=None):
     e = read(spark, d, "embeddings")
-    q = e.where("vec_id < 20").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.col("label").alias("manual_id"))
+    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.col("label").alias("manual_id"))
     return index.nearest(q if keys else q.drop("manual_id"), e.select(F.col("vec_id").alias("point"), F.col("embedding").alias("v"), F.col("label").alias("manual_id")), 10, keys).select("query_id", "point", F.round("score", 6).alias("score"), "rank")
 
 
 def _top(where: str) -> str:
     return f"""
-WITH s AS (SELECT q.vec_id AS query_id, p.vec_id AS point, list_cosine_similarity(q.embedding::DOUBLE[], p.embedding::DOUBLE[]) AS s FROM embeddings q, embeddings p WHERE q.vec_id < 20 {where}),
+WITH s AS (SELECT q.vec_id AS query_id, p.vec_id AS point, list_cosine_similarity(q.embedding::DOUBLE[], p.embedding::DOUBLE[]) AS s FROM embeddings q, embeddings p WHERE q.vec_id % 50 = 0 {where}),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, point) AS rank FROM s)
 SELECT query_id, point, round(s, 6) AS score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 10"""
 
@@ -411,72 +567,138 @@ def _(spark, d):
     return _search(spark, d, ["manual_id"])
 
 
-_ASKED = [
-    (0, "How do I replace the brake pads on a CJ-5 with 4WD?", "CJ-5", "", "4WD", "brake", "procedure"),
-    (1, "What is the torque for the 4.0L I6 engine?", "", "4.0L,I6", "", "engine", "specification"),
-    (2, "Why is there a noise from the transfer case?", "", "", "transfer case", "transfer case", "diagnostic"),
-    (3, "Cherokee XJ", "Cherokee,XJ", "", "", "", "procedure"),
-    (4, "what is the procedure", "", "", "", "", "procedure"),
-]
+#: What is put behind a question, by its conversation.
+_ASKED = " on a CJ-5 with 4WD, brake pads?", " What is the torque for the 4.0L I6 engine of a Cherokee?", " Why the noise from the transfer case?", ""
+_ASKED_SQL = "text || CASE conv_id % 4 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(_ASKED)) + " END"
 
 
-@query("query_analysis", _values([(r[0], *r[2:]) for r in _ASKED], "query_id, vehicles, engines, drivetrains, systems, query_type"))
-def _(spark, d):
-    df = retrieval.analyzed(spark.createDataFrame([r[:2] for r in _ASKED], "query_id int, query string"))
-    names = (("vehicle_scope", "vehicles"), ("engine_scope", "engines"), ("drivetrain_scope", "drivetrains"), ("system_scope", "systems"))
-    return df.select("query_id", *[F.array_join(a, ",").alias(b) for a, b in names], "query_type")
+def questions(spark, d):
+    more = F.element_at(F.array(*map(F.lit, _ASKED)), (F.col("conv_id") % 4 + 1).cast("int"))
+    return read(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", F.concat("text", more).alias("query"))
+
+
+def _firsts(patterns: list[str]) -> str:
+    each = ", ".join("regexp_extract(text, '{}', 0)".format(p.replace("'", "''")) for p in patterns)
+    return f"array_to_string(list_filter([{each}], lambda x: x <> ''), ',')"
+
+
+def _systems() -> str:
+    each = ", ".join("CASE WHEN " + " OR ".join(f"contains(lower(text), '{w}')" for w in ws) + f" THEN '{s}' END" for s, ws in retrieval.SYSTEMS.items())
+    return f"array_to_string(list_filter([{each}], lambda x: x IS NOT NULL), ',')"
 
 
 def _hits(patterns: list[str]) -> str:
     return " + ".join("CAST(regexp_matches(text, '(?i){}') AS INT)".format(p.replace("'", "''")) for p in patterns)
 
 
-@query("query_type", f"""
-WITH c AS (SELECT conv_id, turn, {_hits(retrieval.PROCEDURE)} AS p, {_hits(retrieval.SPECIFICATION)} AS s, {_hits(retrieval.DIAGNOSTIC)} AS d FROM conversations WHERE role = 'user')
-SELECT conv_id, turn, CASE WHEN d >= s AND d > p THEN 'diagnostic' WHEN s >= d AND s > p THEN 'specification' ELSE 'procedure' END AS query_type FROM c""")
+_TYPE = "CASE WHEN d >= s AND d > p THEN 'diagnostic' WHEN s >= d AND s > p THEN 'specification' ELSE 'procedure' END AS query_type"
+_COUNTS = f"{_hits(retrieval.PROCEDURE)} AS p, {_hits(retrieval.SPECIFICATION)} AS s, {_hits(retrieval.DIAGNOSTIC)} AS d"
+
+
+@query("query_analysis", f"""
+WITH q AS (SELECT conv_id, turn, {_ASKED_SQL} AS text FROM conversations WHERE role = 'user'), c AS (SELECT *, {_COUNTS} FROM q)
+SELECT conv_id, turn, {_firsts(retrieval.VEHICLES)} AS vehicles, {_firsts(retrieval.ENGINES)} AS engines, {_firsts(retrieval.DRIVETRAINS)} AS drivetrains, {_systems()} AS systems, {_TYPE} FROM c""")
+def _(spark, d):
+    names = (("vehicle_scope", "vehicles"), ("engine_scope", "engines"), ("drivetrain_scope", "drivetrains"), ("system_scope", "systems"))
+    return retrieval.analyzed(questions(spark, d)).select("conv_id", "turn", *[F.array_join(a, ",").alias(b) for a, b in names], "query_type")
+
+
+@query("query_type", f"WITH c AS (SELECT conv_id, turn, {_COUNTS} FROM conversations WHERE role = 'user') SELECT conv_id, turn, {_TYPE} FROM c")
 def _(spark, d):
     return read(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", retrieval.query_type(F.col("text")).alias("query_type"))
 
 
-@query("query_systems", "SELECT conv_id, turn, array_to_string(list_filter([" + ", ".join("CASE WHEN " + " OR ".join(f"contains(lower(text), '{w}')" for w in ws) + f" THEN '{s}' END" for s, ws in retrieval.SYSTEMS.items()) + "], lambda x: x IS NOT NULL), ',') AS systems FROM conversations WHERE role = 'user'")
+@query("query_systems", f"SELECT conv_id, turn, {_systems()} AS systems FROM conversations WHERE role = 'user'")
 def _(spark, d):
     return read(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", F.array_join(retrieval.scopes(F.col("text"))["system_scope"], ",").alias("systems"))
 
 
-@query("retrieve_enriched", _values([("a", 0.9, "primary", 1), ("b", 0.8, "primary", 2), ("p", 0.63, "parent", 3), ("s", 0.54, "sibling", 4), ("c", 0.45, "cross_ref", 5)], "chunk_id, score, source, rank"))
+# retrieval over tables
+
+_APPLIES = """CASE WHEN contains(lower(text), 'the') THEN ['The'] ELSE ['all'] END"""
+
+
+def tagged(spark, d) -> DataFrame:
+    """Documents as chunks with what the lookup tables read."""
+    from dataclasses import replace
+
+    p = replace(PROSE, figure_pattern=r"\bthe (\w+),")
+    c = docs(spark, d).withColumns(chunks.applicability(F.col("text"), p)).withColumns(chunks.references(F.col("text"), F.col("source"), p))
+    meta = F.struct(F.col("source").alias("manual_id"), F.col("lang").alias("procedure_name"), F.col("source").alias("level1_id"), "vehicle_models", "figure_references", "cross_references")
+    return c.select(F.concat_ws("::", "source", F.col("doc_id").cast("string")).alias("chunk_id"), F.col("source").alias("manual_id"), F.col("doc_id").alias("chunk_ord"), "text", meta.alias("metadata"))
+
+
+def _each(name: str, pattern: str, prefix: str = "") -> str:
+    return rf"SELECT source || '::' || doc_id AS chunk_id, source AS manual_id, {prefix}unnest(list_distinct(regexp_extract_all(text, '{pattern}', 1))) AS {name} FROM documents"
+
+
+@query("lookup_procedure", "SELECT source || '::' || doc_id AS chunk_id, source AS manual_id, lang AS procedure_name, source AS level1_id FROM documents")
 def _(spark, d):
-    shape = "query_id int, ord int, chunk_id string, score double, parent_chunk_id string, sibling_chunk_ids array<string>, cross_references array<string>"
-    primary = spark.createDataFrame([(1, 0, "a", 0.9, "p", ["b", "s"], ["m::8"]), (1, 1, "b", 0.8, "a", [], ["m::8"])], shape)
-    look = {"cross_ref_lookup": spark.createDataFrame([("a", "m", "m::8"), ("b", "m", "m::8"), ("c", "m", "m::8")], "chunk_id string, manual_id string, cross_reference string")}
-    return retrieval.reranked(retrieval.enriched(primary, look)).select("chunk_id", F.round("score", 6).alias("score"), "source", "rank")
+    return index.lookups(tagged(spark, d))["procedure_lookup"]
 
 
-_CHUNKS = [("m::8::1", ["CJ-5"], ["B-1", "B-2"], ["m::9"]), ("m::9::1", ["all"], [], ["m::8", "m::77"])]
+@query("lookup_vehicle", f"SELECT source || '::' || doc_id AS chunk_id, source AS manual_id, unnest({_APPLIES}) AS vehicle_model FROM documents")
+def _(spark, d):
+    return index.lookups(tagged(spark, d))["vehicle_model_lookup"]
 
 
-def lit_chunks(spark):
-    rows = [("m", i, c, f"text\n77. of {c}", ("m", c.split("::")[1], f"name {c}", "h", [], "group", ("0", "0"), v, ["all"], ["all"], [], f, x)) for i, (c, v, f, x) in enumerate(_CHUNKS)]
-    return spark.createDataFrame(rows, f"manual_id string, chunk_ord int, chunk_id string, text string, metadata struct<{tables.CHUNK.split('metadata struct<')[1]}")
+@query("lookup_figure", _each("figure_reference", r"\bthe ([\p{L}\p{N}_]+),"))
+def _(spark, d):
+    return index.lookups(tagged(spark, d))["figure_lookup"]
 
 
-@query("lookup_procedure", _values([("m::8::1", "m", "name m::8::1", "8"), ("m::9::1", "m", "name m::9::1", "9")], "chunk_id, manual_id, procedure_name, level1_id"))
+@query("lookup_cross_ref", _each("cross_reference", r"\bthe ([\p{L}\p{N}_]+)\.", "source || '::' || "))
 def _(spark, d):
-    return index.lookups(lit_chunks(spark))["procedure_lookup"]
+    return index.lookups(tagged(spark, d))["cross_ref_lookup"]
 
 
-@query("lookup_vehicle", _values([("m::8::1", "m", "CJ-5"), ("m::9::1", "m", "all")], "chunk_id, manual_id, vehicle_model"))
+def _built(spark, d) -> str:
+    """The index of the flow's chunks, as written tables."""
+    path = f"{shared_dir(spark)}/quire-index-{uuid.uuid4().hex}"
+    index.build(flow(spark, d), path)
+    return path
+
+
+@query("index_counts")
 def _(spark, d):
-    return index.lookups(lit_chunks(spark))["vehicle_model_lookup"]
+    path = _built(spark, d)
+    tables_ = ["vectors", *index.LOOKUPS]
+    return reduce(DataFrame.unionByName, [spark.read.parquet(f"{path}/{t}").agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("n")) for t in tables_])
 
 
-@query("lookup_figure", _values([("m::8::1", "m", "B-1"), ("m::8::1", "m", "B-2")], "chunk_id, manual_id, figure_reference"))
+@query("retrieve")
 def _(spark, d):
-    return index.lookups(lit_chunks(spark))["figure_lookup"]
+    """Users' questions of every 50th conversation, against all chunks of the flow."""
+    q = questions(spark, d).where("conv_id % 50 = 0").select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"), "query")
+    return retrieval.retrieve(q, _built(spark, d))
 
 
-@query("lookup_cross_ref", _values([("m::8::1", "m", "m::9"), ("m::9::1", "m", "m::8"), ("m::9::1", "m", "m::77")], "chunk_id, manual_id, cross_reference"))
+#: Neighbours by text: the primary results are the three longest documents of each source, their parent the first document of the source, siblings the next.
+@query("retrieve_enriched", r"""
+WITH c AS (SELECT source AS query_id, source || '::' || doc_id AS id, row_number() OVER (PARTITION BY source ORDER BY length(text) DESC, doc_id) - 1 AS ord, source || '::' || min(doc_id) OVER (PARTITION BY source) AS parent, source || '::' || (doc_id + 1) AS sibling,
+  list_sort(list_distinct(list_transform(regexp_extract_all(text, '\bthe ([\p{L}\p{N}_]+)\.', 1), lambda x: source || '::' || x))) AS refs, source, doc_id FROM documents),
+p AS (SELECT *, 0.9 - 0.1 * ord AS score FROM c WHERE ord < 3),
+r1 AS (SELECT query_id, id, score, 'primary' AS source, 0 AS step, ord AS o, 0 AS i FROM p),
+r2 AS (SELECT query_id, parent AS id, score * 0.7 AS score, 'parent' AS source, 1 AS step, ord AS o, 0 AS i FROM p),
+r3 AS (SELECT query_id, sibling AS id, score * 0.6 AS score, 'sibling' AS source, 2 AS step, ord AS o, 0 AS i FROM p),
+cited AS (SELECT c.id, unnest(c.refs) AS ref FROM c),
+asked AS (SELECT query_id, score, ord, generate_subscripts(refs, 1) - 1 AS i, unnest(refs) AS ref FROM p),
+r4 AS (SELECT a.query_id, c.id, a.score * 0.5 AS score, 'cross_ref' AS source, 3 AS step, a.ord AS o, a.i FROM asked a JOIN cited c USING (ref)),
+every AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3 UNION ALL SELECT * FROM r4),
+first AS (SELECT *, row_number() OVER (PARTITION BY query_id, id ORDER BY step, o, i) AS k FROM every),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, step, o, i, id) AS rank FROM first WHERE k = 1)
+SELECT query_id, id AS chunk_id, round(score, 6) AS score, source, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 5""")
 def _(spark, d):
-    return index.lookups(lit_chunks(spark))["cross_ref_lookup"]
+    c = tagged(spark, d).withColumn("doc_id", F.col("chunk_ord"))
+    w = Window.partitionBy("manual_id")
+    c = c.withColumns({"ord": F.row_number().over(w.orderBy(F.desc(F.length("text")), "doc_id")) - 1, "least": F.min("doc_id").over(w)})
+    name = lambda i: F.concat_ws("::", "manual_id", i.cast("string"))
+    primary = c.where("ord < 3").select(
+        F.col("manual_id").alias("query_id"), "ord", "chunk_id", (F.lit(0.9) - 0.1 * F.col("ord")).alias("score"), name(F.col("least")).alias("parent_chunk_id"),
+        F.array(name(F.col("doc_id") + 1)).alias("sibling_chunk_ids"), F.col("metadata.cross_references").alias("cross_references"),
+    )
+    found = retrieval.reranked(retrieval.enriched(primary, index.lookups(tagged(spark, d))))
+    return found.select("query_id", "chunk_id", F.round("score", 6).alias("score"), "source", "rank")
 
 
 # checks
@@ -490,34 +712,44 @@ def _(spark, d):
     return _plain(checks.size_outliers(as_chunks(docs(spark, d))), "token_count")
 
 
-_STARTS = [("c1", "(1) start"), ("c2", "(3) middle"), ("c3", "b. middle"), ("c4", "a. start"), ("c5", "plain"), ("c6", "")]
+def texts(spark, d, made) -> DataFrame:
+    return docs(spark, d).select(F.concat_ws("::", "source", F.col("doc_id").cast("string")).alias("chunk_id"), made(F.coalesce("text", F.lit(""))).alias("text"))
 
 
-@query("qa_orphaned", _values([("c2", "3"), ("c3", "b")], "chunk_id, first_step"))
+@query("qa_orphaned", _rows(_NUMBERED) + r""", first AS (
+  SELECT doc_id, trim(arg_min(x, i)) AS x FROM (SELECT *, row_number() OVER () FROM rows) r WHERE trim(x) <> '' GROUP BY 1
+) SELECT source || '::' || doc_id AS chunk_id, regexp_extract(x, '^\((\d+)\)\s', 1) AS first_step FROM first JOIN documents USING (doc_id) WHERE regexp_matches(x, '^\((\d+)\)\s') AND regexp_extract(x, '^\((\d+)\)\s', 1) <> '1'""")
 def _(spark, d):
-    df = spark.createDataFrame(_STARTS, "chunk_id string, text string")
-    return _plain(checks.orphaned_steps(df, MANUAL), "first_step").select("chunk_id", "first_step")
-
+    return _plain(checks.orphaned_steps(texts(spark, d, numbered), MANUAL), "first_step").select("chunk_id", "first_step")
 
-_CALLS = [("c1", "WARNING: HOT"), ("c2", "WARNING: HOT\n(1) go"), ("c3", "a note: x\nMORE"), ("c4", "WARNING: X\nthis is governed real text"), ("c5", "text")]
 
-
-@query("qa_callouts", _values([("c1", "error", "warning"), ("c3", "warning", "note")], "chunk_id, severity, callout_level"))
+#: Texts in capitals but for every other document, so that some callouts govern nothing.
+@query("qa_callouts", r"""
+WITH a AS (SELECT source || '::' || doc_id AS chunk_id, string_split(trim(CASE WHEN doc_id % 3 = 0 THEN 'a note: ' ELSE 'WARNING: ' END || CASE WHEN doc_id % 2 = 0 THEN coalesce(text, '') ELSE upper(regexp_replace(coalesce(text, ''), '[^\x0A\x20A-Za-z]', '', 'g')) END, ' ' || chr(10) || chr(9) || chr(13)), chr(10)) AS l FROM documents),
+c AS (SELECT *, list_filter(list_transform(l[2:], lambda x: trim(x)), lambda x: regexp_matches(x, '^(\(\d+\)|[a-z]\.)\s') OR (x <> '' AND NOT regexp_matches(x, '^WARNING|note:') AND NOT (upper(x) = x AND lower(x) <> x) AND len(regexp_extract_all(x, '\S+')) > 3)) AS g FROM a)
+SELECT chunk_id, CASE WHEN l[1] LIKE 'WARNING%' THEN 'error' ELSE 'warning' END AS severity, CASE WHEN l[1] LIKE 'WARNING%' THEN 'warning' ELSE 'note' END AS callout_level FROM c WHERE len(g) = 0""")
 def _(spark, d):
-    return _plain(checks.split_callouts(spark.createDataFrame(_CALLS, "chunk_id string, text string"), MANUAL), "callout_level").select("chunk_id", "severity", "callout_level")
+    body = F.when(F.col("doc_id") % 2 == 0, F.coalesce("text", F.lit(""))).otherwise(F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x0A\x20A-Za-z]", "")))
+    c = texts(spark, d, lambda t: F.concat(F.when(F.col("doc_id") % 3 == 0, "a note: ").otherwise("WARNING: "), body))
+    return _plain(checks.split_callouts(c, MANUAL), "callout_level").select("chunk_id", "severity", "callout_level")
 
 
-@query("qa_metadata", _values([("c1", "content_type"), ("c2", "level1_id"), ("c2", "content_type")], "chunk_id, field"))
+@query("qa_metadata", "SELECT source || '::' || doc_id AS chunk_id, unnest(list_concat(CASE WHEN doc_id % 3 = 0 THEN ['level1_id'] ELSE [] END, CASE WHEN doc_id % 5 = 0 THEN ['content_type'] ELSE [] END)) AS field FROM documents")
 def _(spark, d):
-    df = spark.createDataFrame([("c1", {"manual_id": None, "level1_id": "1"}), ("c2", {"manual_id": "m"})], "chunk_id string, raw map<string,string>")
-    return _plain(checks.missing_metadata(df), "field").select("chunk_id", "field")
+    keys = F.filter(F.array(F.lit("manual_id"), F.when(F.col("doc_id") % 3 != 0, "level1_id"), F.when(F.col("doc_id") % 5 != 0, "content_type")), lambda k: k.isNotNull())
+    raw = F.map_from_arrays(keys, F.transform(keys, lambda k: F.when(k != "level1_id", k)))  # a null counts as present
+    c = docs(spark, d).select(F.concat_ws("::", "source", F.col("doc_id").cast("string")).alias("chunk_id"), raw.alias("raw"))
+    return _plain(checks.missing_metadata(c), "field").select("chunk_id", "field")
 
 
+#: Texts with the same set and number of tokens are a class, named by its first document.
 _DUP = """
-WITH t AS (SELECT doc_id, {m} AS m, len(regexp_extract_all(text, '\\S+')) AS n, list_distinct(regexp_extract_all(text, '\\S+')) AS s FROM documents)
+WITH t AS (SELECT doc_id, {m} AS m, len(regexp_extract_all(text, '\\S+')) AS n, list_sort(list_distinct(regexp_extract_all(text, '\\S+'))) AS s FROM documents),
+c AS (SELECT *, min(doc_id) OVER (PARTITION BY m, n, s) AS rep FROM t WHERE n > 0), f AS (SELECT * FROM c WHERE doc_id = rep)
 SELECT a.doc_id AS a, b.doc_id AS b, round(len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))), 6) AS similarity
-FROM t a JOIN t b ON a.m = b.m AND a.doc_id < b.doc_id AND least(a.n, b.n) >= 0.95 * greatest(a.n, b.n) AND least(len(a.s), len(b.s)) >= 0.95 * greatest(len(a.s), len(b.s))
-WHERE len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))) >= 0.95"""
+FROM f a JOIN f b ON a.m = b.m AND a.doc_id < b.doc_id AND least(a.n, b.n) >= 0.95 * greatest(a.n, b.n) AND least(len(a.s), len(b.s)) >= 0.95 * greatest(len(a.s), len(b.s))
+WHERE len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))) >= 0.95
+UNION ALL SELECT rep, doc_id, 1.0 FROM c WHERE doc_id <> rep"""
 
 
 def _pairs(spark, d, whole):
@@ -536,11 +768,28 @@ def _(spark, d):
     return _pairs(spark, d, True)
 
 
-@query("qa_xref", _values([("m::8::2", "m::55", "error", "false"), ("m::8::2", "m::8W1", "warning", "true")], "chunk_id, target, severity, skipped"))
+#: Chunks are named by their first word too; a line "word. " elsewhere also resolves a reference to the word.
+@query("qa_xref", r"""
+WITH c AS (SELECT source AS m, source || '::' || coalesce(nullif(regexp_extract(text, '^([\p{L}\p{N}_]+)', 1), ''), 'x') || '::' || doc_id AS id, text FROM documents),
+refs AS (SELECT m, id, unnest(list_distinct(list_transform(regexp_extract_all(text, '(?:^|[^\p{L}\p{N}_])(?:the|le|el|und) ([\p{L}\p{N}_]+)\.', 1), lambda x: m || '::' || x))) AS ref FROM c),
+asked AS (SELECT DISTINCT ref FROM refs),
+begun AS (SELECT ref FROM asked WHERE EXISTS (SELECT 1 FROM c WHERE starts_with(c.id, asked.ref))),
+segs AS (SELECT DISTINCT unnest(string_split(id, '::')[2:]) AS seg FROM c),
+l AS (SELECT id, string_split(text, chr(10)) AS l FROM c),
+heads AS (SELECT DISTINCT id, regexp_extract(x || CASE WHEN i < n THEN chr(10) ELSE '' END, '^([\p{L}\p{N}_]+)\.\s', 1) AS seg FROM (SELECT id, generate_subscripts(l, 1) AS i, len(l) AS n, unnest(l) AS x FROM l))
+SELECT id AS chunk_id, ref AS target, CASE WHEN skipped THEN 'warning' ELSE 'error' END AS severity, CAST(skipped AS VARCHAR) AS skipped
+FROM (SELECT *, starts_with(ref, m || '::th') AS skipped FROM refs) r
+WHERE ref NOT IN (SELECT ref FROM begun) AND split_part(ref, '::', 2) NOT IN (SELECT seg FROM segs)
+  AND NOT EXISTS (SELECT 1 FROM heads h WHERE h.seg = split_part(r.ref, '::', 2) AND h.id <> r.id)""")
 def _(spark, d):
-    rows = [("m", 0, "m::8::1", "77. Heading", (["m::9"],)), ("m", 1, "m::8::2", "see 55. here", (["m::77", "m::55", "m::8W1", "m::1", "m::8"],)), ("m", 2, "m::9A", "x", ([],))]
-    df = spark.createDataFrame(rows, "manual_id string, chunk_ord int, chunk_id string, text string, metadata struct<cross_references: array<string>>")
-    return _plain(checks.broken_references(df, MANUAL), "target", "skipped").select("chunk_id", "target", "severity", "skipped")
+    from dataclasses import replace
+
+    first = F.regexp_extract("text", r"^([\p{L}\p{N}_]+)", 1)
+    c = docs(spark, d).withColumn("first", F.when(first != "", first).otherwise("x"))
+    p = replace(PROSE, cross_reference_patterns=(r"\b(?:the|le|el|und) (\w+)\.",), skip_sections=("th",))
+    meta = F.struct(chunks.references(F.col("text"), F.col("source"), p)["cross_references"].alias("cross_references"))
+    c = c.select(F.col("source").alias("manual_id"), F.concat_ws("::", "source", "first", F.col("doc_id").cast("string")).alias("chunk_id"), "text", meta.alias("metadata"))
+    return _plain(checks.broken_references(c, p), "target", "skipped").select("chunk_id", "target", "severity", "skipped")
 
 
 @query("qa_profile", "SELECT source || '::' || doc_id AS chunk_id, lang AS level1_id FROM documents WHERE lang NOT IN ('The', 'A', 'Of') AND lang <> ''")
@@ -596,6 +845,19 @@ def _(spark, d):
     return analytics.marker_counts(read(spark, d, "pages").select(F.col("html").alias("text")))
 
 
+@query("level1_frequency", _B + " SELECT id, count(*) AS n FROM bounds WHERE level = 1 GROUP BY 1")
+def _(spark, d):
+    return analytics.level1_frequency(found(spark, d)[1])
+
+
+@query("size_extremes", f"""
+WITH t AS (SELECT source || '::' || doc_id AS chunk_id, {_N} AS n FROM documents),
+r AS (SELECT *, row_number() OVER (ORDER BY n, chunk_id) AS a, row_number() OVER (ORDER BY n DESC, chunk_id) AS b FROM t)
+SELECT 'smallest' AS kind, chunk_id, n FROM r WHERE a <= 5 UNION ALL SELECT 'largest', chunk_id, n FROM r WHERE b <= 5""")
+def _(spark, d):
+    return analytics.size_extremes(as_chunks(docs(spark, d)))
+
+
 @query("doc_indicators", "SELECT source AS manual_id, " + ", ".join(f"bool_or(regexp_matches(lower(text), '{'|'.join(ws)}')) AS {k}" for k, ws in analytics.INDICATORS.items()) + " FROM documents GROUP BY 1")
 def _(spark, d):
     return analytics.indicators(pages(spark, d))
