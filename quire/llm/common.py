@@ -6,15 +6,13 @@ columns, so that rows with one key are alike in every column, and it is no matte
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: The most rows of keys that a join may broadcast; beyond it both sides are shuffled.
-BROADCAST_ROWS = 1_000_000
+from quire.sources.storage import remove, shared_dir, written, written_at
+
+#: The most rows, and bytes of their strings, that a join may broadcast; beyond it both sides are shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 100_000_000
 
 #: Columns that every result of a filtering stage carries.
 DOCUMENT_KEY = ("__doc_id", "__text_hash", "__text_len", "__row_hash")
@@ -24,68 +22,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where none is, as in tests, a temporary one is set if all tasks run on this
-    machine; elsewhere that is an error."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    java = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if java.isDefined():
-        return java.get().rstrip("/")
-    if spark.sparkContext.master.split("[")[0] != "local":
-        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quire-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
-
-
-def _path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    p, fs = _path(spark, path)
-    fs.delete(p, True)
-
-
-def _nullable(kind: T.DataType) -> T.DataType:
-    """kind as it is when read from a file, with nulls allowed everywhere."""
-    if isinstance(kind, T.StructType):
-        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True, f.metadata) for f in kind])
-    return T.ArrayType(_nullable(kind.elementType), True) if isinstance(kind, T.ArrayType) else kind
-
-
-#: Spark's setting that shuffle files go when the query that made them has ended.
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, its lineage cut, safe when
-    executors are lost. Shuffle files that it took go at once, the table when the driver ends."""
-    return written_at(df, name)[0]
-
-
-def written_at(df: DataFrame, name: str, by: str | None = None) -> tuple[DataFrame, str]:
-    """df as ``written`` makes it, in a folder for each value of by, and its path."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quire-{name}-{uuid.uuid4().hex}"
-    schema = _nullable(df.schema)
-    before = spark.conf.get(_CLEAN)
-    spark.conf.set(_CLEAN, "true")
-    try:
-        (df.write.partitionBy(by) if by else df.write).parquet(path)
-    finally:
-        spark.conf.set(_CLEAN, before)
-    p, fs = _path(spark, path)
-    fs.deleteOnExit(p)
-    return spark.read.schema(schema).parquet(path), path
-
-
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df (a table that was written before, so counting is cheap) has at most that many rows."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether df (a table that was written before, so counting is cheap) has at most that many rows, and strings of no more than BROADCAST_BYTES."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    n, size = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(texts, F.lit(0).cast("long"))), F.lit(0))).first()
+    return n <= rows and size <= BROADCAST_BYTES
 
 
 def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -132,11 +73,11 @@ def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.join(keys, same_key(rows, keys), "left_anti").select("row.*")
 
 
-def only_one(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Of the rows of docs with a key in keys, one for each key. keys: a written table with a long column n, the
-    number of rows that have the key; where it is over 1 they are alike."""
+def kept_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """docs without the rows that go. keys: a written table of keys with kept, whether a row of the key stays, and n, how many rows of
+    docs have it; rows of one key are alike, and one of them stays. Keys of a single row that stays needn't be there."""
     rows = keyed(docs)
-    single, several = (checked_broadcast(keys.where(c).select(*DOCUMENT_KEY)) for c in ("n = 1", "n > 1"))
-    out = rows.join(single, same_key(rows, single), "left_semi").select("row")
+    changed, several = (checked_broadcast(keys.where(c).select(*DOCUMENT_KEY)) for c in ("n > 1 or not kept", "n > 1 and kept"))
+    out = rows.join(changed, same_key(rows, changed), "left_anti").select("row")
     tied = rows.join(several, same_key(rows, several), "left_semi").groupBy(*DOCUMENT_KEY).agg(F.first("row").alias("row"))
     return out.unionByName(tied.select("row")).select("row.*")

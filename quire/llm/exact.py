@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import DOCUMENT_KEY, checked_broadcast, documents, key_columns, only_one, text_of, written
+from quire.llm.common import DOCUMENT_KEY, checked_broadcast, documents, key_columns, kept_of, text_of, written
 
 #: Rows for each owner of fingerprints, about.
 OWNER_ROWS = 2_000_000
@@ -154,7 +154,7 @@ def groups(docs: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of equal texts; all their columns, whatever their names."""
     keys = groups(docs).groupBy(*DOCUMENT_KEY).agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
-    return only_one(docs, written(keys.where("kept").drop("kept"), "exact-kept"))
+    return kept_of(docs, written(keys.where("n > 1 or not kept"), "exact-kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import DOCUMENT_KEY, documents, key_columns, only_one, text_of, written
+from quire.llm.common import DOCUMENT_KEY, checked_broadcast, documents, kept_of, key_columns, text_of, written
 from quire.llm.components import components
 
 RADIUS = 3
@@ -152,11 +152,13 @@ def linked(docs: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """docs with one row of each component, that of the least doc_id; all their columns, whatever their names."""
-    rows = linked(docs).select("root", "component_id", *DOCUMENT_KEY).where(F.col("component_id").eqNullSafe(F.col(DOCUMENT_KEY[0])))
+    rows = written(linked(docs).select("root", "component_id", *DOCUMENT_KEY), "simhash-linked")
     # with the least id repeated in one component, the least key stays
     key = F.struct(*DOCUMENT_KEY)
-    keys = rows.groupBy("root").agg(F.min(key).alias("k"), F.count(F.lit(1)).alias("n")).select("k.*", "n")
-    return only_one(docs, written(keys, "simhash-kept"))
+    best = rows.groupBy("root").agg(F.min(F.when(F.col("component_id").eqNullSafe(F.col(DOCUMENT_KEY[0])), key)).alias("k"), F.count(F.lit(1)).alias("rows"))
+    best = checked_broadcast(written(best.where("rows > 1").select("root", "k"), "simhash-best"))
+    keys = rows.join(best, "root").groupBy(*DOCUMENT_KEY).agg(F.count(F.lit(1)).alias("n"), F.max(key.eqNullSafe(F.col("k"))).alias("kept"))
+    return kept_of(docs, written(keys, "simhash-kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
