@@ -9,8 +9,9 @@ from pyspark.sql.types import StructType
 
 from quire.functions.text import count_tokens, find_all
 from quire.operators import rules
-from quire.operators.structure import detect, entry_text, filtered, in_order, manifest, page_lines
+from quire.operators.structure import detect, entry_text, exploded, filtered, in_order, manifest, numbered_pages
 from quire.sources.profile import Profile
+from quire.sources.storage import written
 
 
 def header(title: str, path: Column) -> Column:
@@ -46,32 +47,31 @@ def applicability(text: Column, p: Profile) -> dict[str, Column]:
 
 
 def references(text: Column, manual_id: Column, p: Profile) -> dict[str, Column]:
-    """Callout levels, figures and cross-references of a text, sorted and distinct."""
+    """Figures and cross-references of a text, sorted and distinct."""
     none = F.array().cast("array<string>")
 
-    @F.pandas_udf("array<string>")
-    def levels(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: sorted({c[0] for c in rules.callouts(t, p.callouts)}))
-
     sort = lambda c: F.array_sort(F.array_distinct(c))
     refs = F.flatten(F.array(*[find_all(text, x) for x in p.cross_reference_patterns])) if p.cross_reference_patterns else none
     refs = F.transform(refs, lambda r: F.when(manual_id.isNotNull(), F.concat(manual_id, F.lit("::"), r)).otherwise(r))
     return {
-        "has_safety_callouts": levels(text) if p.callouts else none,
         "figure_references": sort(find_all(text, p.figure_pattern)) if p.figure_pattern else none,
         "cross_references": sort(refs),
     }
 
 
 def parts_of(entries: DataFrame, p: Profile) -> DataFrame:
-    """A row per part: the rules on each entry's text."""
+    """A row per part: the rules on each entry's text, with the levels of its callouts, sorted and distinct. Texts cross to Python once."""
+
+    def levels(text: str) -> list[str]:
+        return sorted({c[0] for c in rules.callouts(text, p.callouts)}) if p.callouts else []
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("array<struct<part: string, levels: array<string>>>")
     def assemble(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: rules.assembled(t, p))
+        return s.map(lambda t: [{"part": x, "levels": levels(x)} for x in rules.assembled(t, p)])
 
-    tagged = entries.withColumns(applicability(F.col("text"), p)).withColumn("parts", assemble("text"))
-    return tagged.withColumn("n", F.size("parts")).select("*", F.posexplode("parts").alias("part_idx", "part")).drop("parts", "text")
+    tagged = entries.drop("has_safety_callouts").withColumns(applicability(F.col("text"), p)).withColumn("parts", assemble("text"))
+    tagged = tagged.withColumn("n", F.size("parts")).select("*", F.posexplode("parts").alias("part_idx", "p")).drop("parts", "text")
+    return tagged.select("*", F.col("p.part").alias("part"), F.col("p.levels").alias("has_safety_callouts")).drop("p")
 
 
 def with_metadata(parts: DataFrame, p: Profile) -> DataFrame:
@@ -106,7 +106,8 @@ def merge_across(chunks: DataFrame, order: list[str], least: int = rules.LEAST,
 
 def assembled(pages: DataFrame, p: Profile) -> DataFrame:
     """Cleaned pages to chunks: (manual_id, chunk_ord, chunk_id, text, metadata)."""
-    rows = page_lines(pages)
-    entries = manifest(filtered(detect(rows, p), rows, p), p)
-    parts = with_metadata(parts_of(entry_text(rows, entries, p.skip_sections), p), p)
+    pages = numbered_pages(pages)
+    rows = exploded(pages)
+    entries = written(manifest(filtered(detect(rows, p), rows, p), p), "entries")
+    parts = written(with_metadata(parts_of(entry_text(pages, entries, p.skip_sections), p), p), "parts")
     return merge_across(parts, ["entry_idx", "part_idx"])

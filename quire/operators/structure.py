@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from quire.functions.text import count_tokens, lines, strip
 from quire.sources.profile import Profile, java
+from quire.sources.storage import written
 
 BOUNDARY = ["manual_id", "level", "level_name", "id", "title", "page_number", "line_number"]
 
@@ -40,12 +42,46 @@ def in_order(df: DataFrame, keys: list[str], order: list[str], step: Callable[[d
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
 
 
+#: Rows of a bucket of the order, in which running totals are made before those over buckets.
+BUCKET = 4096
+
+
+def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    """Equal keys, null with null."""
+    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
+
+
+def before(df: DataFrame, keys: list[str], order: str, value: str, name: str, total: Callable[[Column | str], Column] = F.sum) -> DataFrame:
+    """df, a written narrow table, with the total of value over all earlier rows of a group; 0 or null where there is none. Totals
+    are made inside buckets of the order and over buckets, so that the largest group is no single task's."""
+    df = df.withColumn("_b", F.floor(F.col(order) / BUCKET))
+    earlier = lambda *parts: Window.partitionBy(*keys, *parts).rowsBetween(Window.unboundedPreceding, -1)
+    sums = df.groupBy(*keys, "_b").agg(total(value).alias("_s")).withColumn("_before", total("_s").over(earlier().orderBy("_b")))
+    sums = sums.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_b").alias("_bucket"), "_before")
+    inside = df.withColumn("_in", total(value).over(earlier("_b").orderBy(order)))
+    joined = inside.join(sums, reduce(lambda x, y: x & y, [inside[k].eqNullSafe(sums[f"_{k}"]) for k in keys], inside["_b"].eqNullSafe(sums["_bucket"])))
+    both = F.coalesce("_before", F.lit(0)) + F.coalesce("_in", F.lit(0)) if total is F.sum else F.greatest("_before", "_in")
+    return joined.withColumn(name, both).select(*[c for c in df.columns if c != "_b"], name)
+
+
+def numbered_pages(pages: DataFrame) -> DataFrame:
+    """pages with offset, the number of their first line in the manual, as a written table. Only numbers of lines are put in order."""
+    keys = ["manual_id", "page_number"]
+    sizes = written(pages.select(*keys, F.size(lines(F.coalesce("text", F.lit("")))).cast("long").alias("n")), "page-sizes")
+    offsets = before(sizes, ["manual_id"], "page_number", "n", "offset")
+    out = pages.join(offsets, same(pages, offsets, keys))
+    return written(out.select(*[pages[k] for k in keys], pages["text"], "offset"), "pages")
+
+
+def exploded(pages: DataFrame) -> DataFrame:
+    """numbered pages -> (manual_id, page_number, line_number, text)."""
+    rows = pages.select("manual_id", "page_number", "offset", F.posexplode(lines(F.coalesce("text", F.lit("")))).alias("i", "text"))
+    return rows.select("manual_id", "page_number", (F.col("offset") + F.col("i")).alias("line_number"), "text")
+
+
 def page_lines(pages: DataFrame) -> DataFrame:
     """(manual_id, page_number, line_number, text): lines are numbered through the manual."""
-    w = Window.partitionBy("manual_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
-    split = pages.withColumn("lines", lines(F.coalesce("text", F.lit(""))))
-    split = split.withColumn("offset", F.coalesce(F.sum(F.size("lines")).over(w), F.lit(0)))
-    return split.select("manual_id", "page_number", "offset", F.posexplode("lines").alias("i", "text")).select("manual_id", "page_number", (F.col("offset") + F.col("i")).alias("line_number"), "text")
+    return exploded(numbered_pages(pages))
 
 
 def candidates(rows: DataFrame, profile: Profile) -> DataFrame:
@@ -114,10 +150,12 @@ def far_enough(bounds: DataFrame, profile: Profile) -> DataFrame:
 
 def with_words(bounds: DataFrame, rows: DataFrame) -> DataFrame:
     """bounds with words: those from each boundary's line to before the next boundary."""
-    w = Window.partitionBy("manual_id").orderBy("line_number")
-    sums = rows.select("manual_id", "line_number", count_tokens(F.col("text")).alias("n"))
-    sums = sums.withColumns({"before": F.sum("n").over(w) - F.col("n"), "all": F.sum("n").over(Window.partitionBy("manual_id"))})
-    out = bounds.join(sums.drop("n"), ["manual_id", "line_number"])
+    counts = written(rows.select("manual_id", "line_number", count_tokens(F.col("text")).cast("long").alias("n")), "line-words")
+    sums = before(counts, ["manual_id"], "line_number", "n", "before")
+    every = counts.groupBy("manual_id").agg(F.sum("n").alias("all"))
+    at = sums.join(every, same(sums, every, ["manual_id"])).select(*[sums[c] for c in ("manual_id", "line_number", "before")], "all")
+    out = bounds.join(at, same(bounds, at, ["manual_id", "line_number"])).select(*[bounds[c] for c in bounds.columns], "before", "all")
+    w = Window.partitionBy("manual_id").orderBy("line_number")  # over boundaries
     out = out.withColumn("words", F.coalesce(F.lead("before").over(w), F.col("all")) - F.col("before"))
     return out.select(*bounds.columns, "words")
 
@@ -185,15 +223,28 @@ def manifest(bounds: DataFrame, profile: Profile) -> DataFrame:
     return df.withColumn("children", F.when(F.col("_first") & F.col("children").isNotNull(), F.col("children")).otherwise(F.array().cast("array<string>"))).drop("_first")
 
 
-def entry_text(rows: DataFrame, entries: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
-    """entries with their text: the lines from each to before the next, whether skipped or not. Entries
-    in skipped sections, by prefix of their id, and those before the first boundary go."""
-    w = Window.partitionBy("manual_id").orderBy("line_number").rowsBetween(Window.unboundedPreceding, 0)
-    marks = entries.select("manual_id", "entry_idx", F.col("line_range.start").alias("line_number"))
-    df = rows.join(marks, ["manual_id", "line_number"], "left").withColumn("entry_idx", F.last("entry_idx", True).over(w)).where("entry_idx is not null")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_number", "text"))), lambda x: x["text"]), "\n")
+def entry_text(pages: DataFrame, entries: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
+    """entries with their text, of numbered pages: the lines from each to before the next, whether skipped or not. Entries
+    in skipped sections, by prefix of their id, and those before the first boundary go. A page is cut once, where entries begin in it,
+    and its pieces go to their entries; which entry a page begins in is known from the numbers of entries alone."""
+    keys = ["manual_id", "page_number"]
+    marks = written(entries.select("manual_id", F.col("page_range.start").cast("long").alias("page_number"), F.col("line_range.start").alias("line"), F.col("entry_idx").cast("long").alias("entry_idx")), "marks")
+    on_page = marks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("line", "entry_idx"))).alias("marks"), F.max("entry_idx").alias("last"))
+    numbers = pages.select("manual_id", F.col("page_number").cast("long").alias("page_number"), "offset")
+    numbers = numbers.join(on_page, same(numbers, on_page, keys), "left").select(*[numbers[k] for k in keys], "marks", "last")
+    held = before(written(numbers, "page-marks"), ["manual_id"], "page_number", "last", "carried", F.max)
+    joined = pages.join(held, pages["manual_id"].eqNullSafe(held["manual_id"]) & (pages["page_number"] == held["page_number"]))
+    df = joined.select(pages["manual_id"], pages["page_number"], lines(F.coalesce("text", F.lit(""))).alias("l"), "offset", "marks", "carried")
+    # the piece before the page's first mark is the carried entry's
+    cuts = F.concat(F.array(F.struct(F.col("offset").alias("line"), F.col("carried").alias("entry_idx"))), F.coalesce("marks", F.array().cast("array<struct<line: bigint, entry_idx: bigint>>")))
+    df = df.withColumn("cuts", cuts).withColumn("end", F.col("offset") + F.size("l"))
+    piece = lambda c, i: F.struct(c["entry_idx"].alias("entry_idx"), (c["line"] - F.col("offset")).cast("int").alias("a"), (F.coalesce(F.get("cuts", i + 1)["line"], F.col("end")) - F.col("offset")).cast("int").alias("b"))
+    df = df.select("manual_id", "page_number", "l", F.explode(F.transform("cuts", piece)).alias("p")).where("p.entry_idx is not null and p.b > p.a")
+    df = df.select("manual_id", "page_number", F.col("p.entry_idx").alias("entry_idx"), F.col("p.a").alias("a"), F.array_join(F.slice("l", F.col("p.a") + 1, F.col("p.b") - F.col("p.a")), "\n").alias("text"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "a", "text"))), lambda x: x["text"]), "\n")
     texts = df.groupBy("manual_id", "entry_idx").agg(strip(text).alias("text"))
     keep = F.lit(True)
     for s in skip:
         keep = keep & ~F.startswith(F.col("chunk_id"), F.concat(F.col("manual_id"), F.lit(f"::{s}")))
-    return entries.where(keep).join(texts, ["manual_id", "entry_idx"])
+    kept = entries.where(keep)
+    return kept.join(texts, same(kept, texts, ["manual_id", "entry_idx"])).select(*[kept[c] for c in kept.columns], "text")

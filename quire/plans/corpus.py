@@ -302,8 +302,9 @@ _E = _M + """, filled AS (
 
 @query("entry_text", _E + " SELECT manual_id, entry_idx, text FROM entry")
 def _(spark, d):
-    rows, m = entries(spark, d)
-    return structure.entry_text(rows, m).select("manual_id", F.col("entry_idx").cast("long").alias("entry_idx"), "text")
+    numbered = structure.numbered_pages(pages(spark, d))
+    m = structure.manifest(structure.detect(structure.exploded(numbered), PROSE), PROSE)
+    return structure.entry_text(numbered, m).select("manual_id", F.col("entry_idx").cast("long").alias("entry_idx"), "text")
 
 
 # chunks

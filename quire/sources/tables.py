@@ -29,9 +29,14 @@ ENTRY = (
 
 
 def document_pages(docs: DataFrame) -> DataFrame:
-    """documents as pages: a source is a manual, its documents are pages in order of doc_id."""
-    order = Window.partitionBy("source").orderBy("doc_id")
-    return docs.select(F.col("source").alias("manual_id"), (F.row_number().over(order) - 1).alias("page_number"), "text")
+    """documents as pages: a source is a manual, its documents are pages in order of doc_id. They are ranked inside slices of doc_id and
+    over slices, so that a source of very many documents is no single task's."""
+    docs = docs.withColumn("_slice", F.floor(F.col("doc_id") / 4096))
+    counts = docs.groupBy(F.col("source").alias("_source"), F.col("_slice").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy("_source").orderBy("_s")) - F.col("_n"))
+    joined = docs.join(counts, docs["source"].eqNullSafe(counts["_source"]) & docs["_slice"].eqNullSafe(counts["_s"]))
+    order = Window.partitionBy("source", "_slice").orderBy("doc_id")
+    return joined.select(F.col("source").alias("manual_id"), (F.col("_before") + F.row_number().over(order) - 1).cast("int").alias("page_number"), "text")
 
 
 def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
