@@ -1,4 +1,8 @@
-"""Documents to packed training sequences: each stage's result is written and read again by the next."""
+"""Documents to packed training sequences: each stage's result is written and read again by the next.
+
+All stages keep columns of any names, read whole texts, and give no rows for an empty table. Rows that are alike in every column
+are rows like any other: a stage that keeps one of a group keeps one of them. Results don't depend on how rows are partitioned.
+"""
 
 from __future__ import annotations
 
@@ -13,27 +17,32 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the outlier test reject go."""
+    """Documents that the base rules or the outlier test reject go. Null and empty texts fail the base rules; a null lang or
+    source is a group of its own; repeated rows are judged alike."""
     return quality.kept_documents(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of equal texts stays."""
+    """One of equal texts stays, white space apart: the row with the smallest doc_id, nulls last; of rows with one doc_id, that
+    with the least hash of its other columns. Null and empty texts are equal to each other."""
     return exact.kept_documents(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of near-duplicates stays."""
+    """One of each group of near-duplicates stays: the row with the smallest doc_id, nulls last, at ties that with the least key.
+    Texts without words have fingerprint zero and are one group, with whatever is near it."""
     return simhash.kept_documents(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, up to three times. A null source is a source of its own. Texts without words have
+    size 0 and stay about once. At ties copies go by a hash of the whole row."""
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in sequences."""
+    """Pieces of documents with their places in sequences. A null or empty text is its closing id alone; a long one is cut; a
+    row that comes several times is packed as often."""
     return packing.packed(docs)
 
 
