@@ -63,10 +63,14 @@ def save_chunks(chunks: DataFrame, path: str) -> None:
 
 def load_chunks(spark: SparkSession, path: str) -> DataFrame:
     """Chunks of JSON lines, blank lines skipped, with their order, and the raw metadata as a map
-    (raw) that tells a missing key from a null. A line that is no JSON object fails the job."""
+    (raw) that tells a missing key from a null. A line that is no JSON object, or lacks a key of a chunk, fails the job."""
     lines = spark.read.text(path).where(F.trim("value") != "")
     # Spark reads files in any order: chunks are ordered by file, place in it, and row
     lines = lines.withColumn("chunk_ord", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")))
+    wanted = F.array(*map(F.lit, ("chunk_id", "manual_id", "text", "metadata")))
+    lacking = F.array_except(wanted, F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>")))
+    message = F.concat(F.lit("a chunk lacks "), F.array_join(lacking, ", "))
+    lines = lines.withColumn("value", F.when(F.size(lacking) == 0, F.col("value")).otherwise(F.raise_error(message)))
     parsed = F.from_json("value", CHUNK, {"mode": "FAILFAST"})
     raw = F.from_json(F.get_json_object("value", "$.metadata"), "map<string, string>")
     return lines.select(parsed.alias("c"), raw.alias("raw"), "chunk_ord").select("c.*", "raw", "chunk_ord")
@@ -89,8 +93,8 @@ def load_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def create_vectors(spark: SparkSession, path: str, size: int = 768) -> DataFrame:
-    """An empty table of vectors of that size."""
-    spark.createDataFrame([], "point_id string, vector array<float>, payload map<string, string>").write.mode("ignore").option("vector_size", size).parquet(path)
+    """An empty table of vectors of that size; a payload is a JSON object."""
+    spark.createDataFrame([], "point_id string, vector array<float>, payload string").write.mode("ignore").option("vector_size", size).parquet(path)
     return spark.read.parquet(path)
 
 

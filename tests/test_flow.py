@@ -1,8 +1,9 @@
 """Pages to chunks to report, and files."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import checks, chunks, index
+from quire.operators import checks, chunks, index, structure
 from quire.plans.samples import MANUAL
 from quire.sources import tables
 
@@ -32,3 +33,36 @@ def test_nearest_takes_any_number_of_queries(spark):
     points = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)], "point long, v array<double>")
     rows = index.nearest(queries, points, 1).collect()
     assert len(rows) == 10_050 and all(r["point"] == r["query_id"] % 3 and r["rank"] == 1 for r in rows)
+
+
+def test_chunks_that_lack_a_key_are_refused(spark, tmp_path):
+    path = tmp_path / "c.jsonl"
+    for line in ('{"chunk_id": "a", "manual_id": "m", "text": "t"}', "[1]", "nonsense"):
+        path.write_text(line + "\n\n")
+        with pytest.raises(Exception, match="lacks|JSON|json|MALFORMED"):
+            tables.load_chunks(spark, str(path)).collect()
+    path.write_text('{"chunk_id": "a", "manual_id": "m", "text": null, "metadata": {"manual_id": null}}\n')
+    rows = tables.load_chunks(spark, str(path)).collect()
+    assert [(r["chunk_id"], r["text"], r["raw"]) for r in rows] == [("a", None, {"manual_id": None})]
+
+
+def test_manifest_files(spark, tmp_path):
+    numbered = structure.numbered_pages(spark.createDataFrame(PAGES, "manual_id string, page_number int, text string"))
+    made = structure.manifest(structure.detect(structure.exploded(numbered), MANUAL), MANUAL)
+    tables.save_manifest(made, str(tmp_path / "m"))
+    again = tables.load_manifest(spark, str(tmp_path / "m"))
+    names = ["manual_id", "entry_idx", "chunk_id", "level", "parent_chunk_id", "children", "line_range"]
+    key = lambda r: r["entry_idx"]
+    assert sorted(made.select(names).collect(), key=key) == sorted(again.select(names).collect(), key=key) and again.count() > 3
+
+
+def test_running_totals_over_buckets(spark):
+    rows = [(g, i, float(i % 7), i if i % 5 == 0 else None) for g in ("a", None) for i in range(0, 20_000, 3)]
+    df = spark.createDataFrame(rows, "g string, i long, v double, m long")
+    for name, total in (("v", F.sum), ("m", F.max)):
+        got = {(r["g"], r["i"]): r["out"] for r in structure.before(df, ["g"], "i", name, "out", total).collect()}
+        held: dict = {}
+        for g, i, v, m in rows:
+            assert got[g, i] == held.get(g, 0 if name == "v" else None)
+            x = v if name == "v" else m
+            held[g] = held.get(g, 0) + x if name == "v" else x if x is not None else held.get(g)
