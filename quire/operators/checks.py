@@ -49,8 +49,8 @@ def split_callouts(chunks: DataFrame, p: Profile) -> DataFrame:
 
 
 def size_outliers(chunks: DataFrame, least: int = 100, most: int = 3000) -> DataFrame:
-    df = chunks.withColumn("n", count_tokens(F.col("text")))
-    df = df.where((F.col("n") < least) | (F.col("n") > most))
+    df = chunks.select("chunk_id", count_tokens(F.col("text")).alias("n"))
+    df = df.where(F.abs(2 * F.col("n") - (least + most)) > most - least)  # outside of both; n is named once, so it is counted once
     message = F.when(F.col("n") < least, F.format_string(f"Chunk has %d tokens, below {least}", "n")).otherwise(F.format_string(f"Chunk has %d tokens, above {most}", "n"))
     return issues(df, "size_outliers", F.lit("warning"), message, token_count=F.col("n"))
 
@@ -65,8 +65,8 @@ def missing_metadata(chunks: DataFrame) -> DataFrame:
 def duplicate_classes(chunks: DataFrame, order: str = "chunk_ord") -> tuple[DataFrame, DataFrame]:
     """Chunks of a manual with the same set and number of tokens are a class, named by its first chunk: (classes: manual_id, rep,
     set, k tokens in the set, n tokens; members: manual_id, rep, ord, chunk_id). Tokens are 64-bit hashes; sets are told apart by two hashes."""
-    words = tokens(F.coalesce("text", F.lit("")))
-    df = chunks.select("manual_id", F.col(order).alias("ord"), "chunk_id", F.size(words).alias("n"), F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))).alias("set"))
+    df = chunks.select("manual_id", F.col(order).alias("ord"), "chunk_id", F.transform(tokens(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w)).alias("words"))
+    df = df.select("manual_id", "ord", "chunk_id", F.size("words").alias("n"), F.sort_array(F.array_distinct("words")).alias("set"))
     df = written(df.where("n > 0").withColumns({"k": F.size("set"), "h": F.xxhash64("set"), "h2": F.hash("set")}), "sets")
     same = ["manual_id", "n", "k", "h", "h2"]
     first = df.groupBy(*same).agg(F.min("ord").alias("rep"))
