@@ -9,8 +9,9 @@ bytes each. A variant's rows are shuffled together, and collisions are verified
 
 In a bucket no pairs are listed: a tree over its linked members is enough for the components, and
 joins the same vertices as all its pairs would. A bucket holds distinct fingerprints only, and those
-within one bit of the variant outside the left-out block, so copies of one text never fill it; a bucket of any
-size is searched in blocks of rows. Components are then found over these edges.
+within one bit of the variant outside the left-out block, so copies of one text never fill it; its search takes memory linear in
+these, and time at most their square. Components are then found over these edges. Of the classes, only those of several rows meet
+the rows again, so a fingerprint that very many rows share is broadcast, not gathered.
 
 Defined results. Null text counts as empty; a text without words has fingerprint zero and is linked
 like any other. Fewer than three words: one shingle of them all. Repeated rows are linked. A null
@@ -140,14 +141,15 @@ def linked(docs: DataFrame) -> DataFrame:
     rows = docs.select(docs["doc_id"].alias("doc_id"), *key_columns(docs), text_of(docs).alias("t"))
     schema = rows.select("doc_id", *DOCUMENT_KEY).schema.add("fp", "long")
     rows = written(rows.mapInArrow(_fingerprints, schema), "simhash-rows")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
     balls = distinct.select("fp").mapInArrow(_variants, "projection byte, variant long, fp long")
     balls = balls.repartition("projection", "variant").sortWithinPartitions("projection", "variant")
     roots = written(components(balls.mapInArrow(_verified, "a long, b long")), "simhash-roots")
-    classes = distinct.join(roots, distinct.fp == roots.vertex, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    of_root = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = classes.join(of_root, "root").select("fp", "root", "component_id")
-    return rows.join(classes, "fp")
+    classes = distinct.join(roots, distinct.fp == roots.vertex, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
+    of_root = classes.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("rows")).where("rows > 1")
+    several = written(classes.join(of_root, "root").select("fp", "root", "component_id"), "simhash-classes")
+    out = rows.join(checked_broadcast(several.withColumn("found", F.lit(True))), "fp", "left")
+    return out.withColumns({"root": F.coalesce("root", "fp"), "component_id": F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id"))}).drop("found")
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
