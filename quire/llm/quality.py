@@ -2,7 +2,7 @@
 
 A minimum-covariance-determinant estimate is fitted for each (lang, source): concentration steps
 start from medians and interquartile ranges, and each keeps the share ``support`` of the group's
-rows that lie nearest. One aggregation a step makes count, sums and products for each (group,
+rows that lie nearest, until no group's means move by more than ``settled`` of a standard deviation, in ``steps`` steps at most. One aggregation a step makes count, sums and products for each (group,
 distance bin); cumulative sums over the bins, of which there are at most a few hundred whatever
 the number of rows, give the moments of the nearest rows. So no group is gathered in one task, and
 one source with a third of all rows is pre-aggregated on the map side like any other.
@@ -163,6 +163,13 @@ def _concentrated(df: DataFrame, params: DataFrame, support: float) -> DataFrame
     return kept.select("g", *[mean[i].alias(f"m_{i}") for i in range(n)], *[v.alias(f"c_{i}_{j}") for (i, j), v in cov.items()])
 
 
+def _moved(before: DataFrame, after: DataFrame) -> float:
+    """The most that a mean has moved, in standard deviations."""
+    both = after.join(before.select("g", *[F.col(f"m_{i}").alias(f"b_{i}") for i in range(len(FEATURES))]), "g")
+    steps = [F.abs(F.col(f"m_{i}") - F.col(f"b_{i}")) / F.sqrt(F.col(f"c_{i}_{i}")) for i in range(len(FEATURES))]
+    return both.agg(F.coalesce(F.max(F.greatest(*steps)), F.lit(0.0))).first()[0]  # one number
+
+
 def _mixed(groups: DataFrame, params: DataFrame, min_rows: int) -> DataFrame:
     """The estimate of each group, drawn towards those of its pools. What lies between their
     means adds nothing: a pool's covariance has its groups' spread, and an outlier's own group must not hide it."""
@@ -181,7 +188,7 @@ def _mixed(groups: DataFrame, params: DataFrame, min_rows: int) -> DataFrame:
     return df.select("g", *[F.col(f"g_{c}").alias(c) for c in names])
 
 
-def judged(docs: DataFrame, support: float = 0.75, steps: int = 4, min_rows: int = 50, cutoff: float = CUTOFF) -> DataFrame:
+def judged(docs: DataFrame, support: float = 0.75, steps: int = 12, settled: float = 0.02, min_rows: int = 50, cutoff: float = CUTOFF) -> DataFrame:
     """One row per document: doc_id, STATISTICS, base_failed, distance (null only for base_failed
     rows of a group without a usable one), kept, and the row's key."""
     stats = written(statistics(docs).withColumns(features()), "quality")
@@ -204,7 +211,9 @@ def judged(docs: DataFrame, support: float = 0.75, steps: int = 4, min_rows: int
     fit = written(one.unionByName(of_lang).unionByName(of_all), "quality-fit")
     params = written(_quartiles(fit), "quality-start")
     for k in range(steps):
-        params = written(_concentrated(fit, params, support), f"quality-step{k}")
+        before, params = params, written(_concentrated(fit, params, support), f"quality-step{k}")
+        if _moved(before, params) <= settled:
+            break
     out = _with_distance(df, written(_mixed(groups, params, min_rows), "quality-mixed"))
     return out.select(
         "doc_id", *STATISTICS, "base_failed",
