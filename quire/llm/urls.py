@@ -3,14 +3,14 @@
 A host's labels are written in reverse with a closing dot ("org.example."), so that a rule's host is a
 prefix of the keys of its host and all subdomains, and these lie in one interval of the sorted keys. Cut points, drawn
 from a bounded sample, deal (key, path, hash of page_id) into ranges; a rule goes to every range that its interval
-touches, a URL to its own. Each range is sorted with rules before URLs, and swept once: a stack
+touches, a URL to its own, and each range is a partition. It is sorted with rules before URLs, and swept once: a stack
 holds the rules whose interval is open, each nested in the one below. A host with very many URLs
 is cut by path and page, and neither rules nor URLs are broadcast. The sample decides only where ranges end.
 
 Defined results. Null URLs and those without "://" have an empty host and path; no rule fits them and they get the
 default verdict. Of fitting rules the longest (host and path together) wins, at equal length that with the longer
 host; of two rules with equal host and path, "block". Repeated pages and null ids are judged like any other. An
-empty table gives no rows; extra columns are ignored.
+empty table gives no rows; URLs of any length are read whole; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -128,7 +128,7 @@ def judged(pages: DataFrame, rules: DataFrame | None = None, default: str = DEFA
     open_ = rules.select("verdict", _lower(F.col("host")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), F.concat("host", F.coalesce("path", F.lit(""))).alias("rule"))
     open_ = open_.withColumn("key", reversed_key(F.col("host")))
     both = rows.mapInArrow(place_urls, schema).unionByName(open_.mapInArrow(place_rules, schema))
-    both = both.repartition(ranges, "range").sortWithinPartitions("range", "key", "is_url", "path")
+    both = both.repartitionById(ranges, F.col("range")).sortWithinPartitions("range", "key", "is_url", "path")
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = Sweep(), None
