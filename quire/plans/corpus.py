@@ -61,10 +61,16 @@ def _(spark, d):
     return docs(spark, d).select("doc_id", T.substitute_patterns(F.col("text"), [{"pattern": r"([A-Za-z0-9_])ing(?![A-Za-z0-9_])", "replacement": r"\1in"}]).alias("cleaned"))
 
 
-@query("clean_spaced_caps")
+_AZ = "abcdefghijklmnopqrstuvwxyz"
+
+
+#: Words of capitals alone are spaced out, two spaces apart; of two letters they stay so.
+@query("clean_spaced_caps", f"""
+SELECT doc_id, array_to_string(list_transform(string_split(translate(text, '{_AZ}', '{_AZ.upper()}'), ' '), lambda w: CASE WHEN regexp_matches(w, '^[A-Z][A-Z]$') THEN w[1:1] || ' ' || w[2:2] ELSE w END), '  ') AS cleaned FROM documents""")
 def _(spark, d):
-    spaced = F.regexp_replace(F.upper("text"), "([A-Z])(?=[A-Z])", "$1 ")
-    return docs(spark, d).select("doc_id", T.collapse_spaced(spaced).alias("cleaned"))
+    words = F.split(F.translate("text", _AZ, _AZ.upper()), " ", -1)
+    raw = F.array_join(F.transform(words, lambda w: F.when(w.rlike("^[A-Z]+$"), F.array_join(F.split(w, ""), " ")).otherwise(w)), "  ")
+    return docs(spark, d).select("doc_id", T.collapse_spaced(raw).alias("cleaned"))
 
 
 _LINES = "string_split(text, chr(10))"
@@ -433,7 +439,20 @@ def _(spark, d):
     return ruled(spark, d, leadered, lambda t: rules.join_tables(t.split("\n")))
 
 
-@query("rule_r2")
+#: For texts without blank lines, as the documents are: lines are packed, and one of over 2000 words is cut into pieces of which the last is packed on.
+@query("rule_r2", """
+WITH RECURSIVE """ + _rows(_TEXT_LINES.format("x")).removeprefix("WITH ") + r""", sized AS (
+  SELECT *, len(regexp_extract_all(x, '\S+')) AS n, regexp_extract_all(x, '\S+') AS w FROM rows
+), cut AS (
+  SELECT doc_id, i, generate_subscripts(p, 1) AS j, unnest(p) AS x, n > 2000 AS forced FROM (
+    SELECT *, CASE WHEN n <= 2000 THEN [x] ELSE list_transform(range(0, n, 2000), lambda k: array_to_string(w[k + 1:k + 2000], ' ')) END AS p FROM sized)
+), units AS (SELECT *, len(regexp_extract_all(x, '\S+')) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS u FROM cut),
+walk AS (
+  SELECT doc_id, u, n AS held, 0 AS g FROM units WHERE u = 1
+  UNION ALL
+  SELECT s.doc_id, s.u, CASE WHEN s.forced OR w.held + s.n > 2000 THEN s.n ELSE w.held + s.n END, CASE WHEN s.forced OR w.held + s.n > 2000 THEN w.g + 1 ELSE w.g END FROM walk w JOIN units s ON s.doc_id = w.doc_id AND s.u = w.u + 1
+)
+SELECT doc_id, g AS place, string_agg(x, chr(10) ORDER BY u) AS part FROM walk JOIN units USING (doc_id, u) GROUP BY 1, 2""")
 def _(spark, d):
     return ruled(spark, d, lambda t: t, lambda t: rules.split_large([t]))
 

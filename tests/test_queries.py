@@ -7,8 +7,8 @@ from quire.plans.registry import ORACLE, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 FAST = [
-    "clean_literal_subs", "clean_page", "cleanup_statistics", "ocr_quality", "clean_strip_headers", "clean_garbage_lines", "lines_global", "boundaries_raw", "boundaries_ambiguous", "filter_min_gap", "manifest_paths", "level1_frequency",
-    "rule_r3", "rule_r4", "rule_r5", "rule_r6", "rule_r7", "rule_r8", "step_sequences", "tables_detected", "safety_callouts", "merge_across_entries", "tag_applicability", "enrich_refs", "token_stats", "size_extremes", "point_ids",
+    "clean_literal_subs", "clean_spaced_caps", "clean_page", "cleanup_statistics", "ocr_quality", "clean_strip_headers", "clean_garbage_lines", "lines_global", "boundaries_raw", "boundaries_ambiguous", "filter_min_gap", "manifest_paths", "level1_frequency",
+    "rule_r2", "rule_r3", "rule_r4", "rule_r5", "rule_r6", "rule_r7", "rule_r8", "step_sequences", "tables_detected", "safety_callouts", "merge_across_entries", "tag_applicability", "enrich_refs", "token_stats", "size_extremes", "point_ids",
     "query_analysis", "query_systems", "retrieve_enriched", "lookup_procedure", "lookup_vehicle", "lookup_figure", "lookup_cross_ref", "vector_topk", "qa_orphaned", "qa_callouts", "qa_metadata", "qa_xref", "qa_size", "qa_duplicates_whole", "marker_counts",
 ]
 
