@@ -45,7 +45,7 @@ def unpacked(raw) -> list[np.ndarray]:
 
 def sent(arrays: Iterable[np.ndarray]) -> bytes:
     """A block for the way between tasks."""
-    return zstandard.ZstdCompressor(level=1).compress(packed(arrays))
+    return zstandard.ZstdCompressor(level=3).compress(packed(arrays))
 
 
 def received(raw: bytes) -> list[np.ndarray]:

@@ -46,7 +46,7 @@ from quire.llm.eliasfano import EliasFano, mapped, received, sent
 
 END = b""
 #: Tokens of a run, about; bytes of a stretch of a long text.
-RUN, PIECE = 500_000, 1_000_000
+RUN, PIECE = 750_000, 1_000_000
 #: Listed n-grams for each shard of a level, about; a context found more often than SPLIT is cut into parts.
 SHARD = 2_000_000
 SPLIT = 1_000_000
