@@ -63,8 +63,8 @@ def pieces(notice: str, errors: int) -> list[tuple[int, str]]:
 
 
 def ends(notice: str, text: str, masks: dict[str, int], errors: int) -> list[tuple[int, int]]:
-    """(end, edits) where a stretch of text that ends there is at most errors edits from notice, and those that end just
-    before and after need more, or as many and begin no earlier run of such ends. By Myers's bit vectors, one step a character.
+    """(end, edits) where a stretch of text that ends there is at most errors edits from notice: of neighbouring ends that need
+    as many, and fewer than those around them, the last. By Myers's bit vectors, one step a character.
     masks: the places of each character in notice, as bits."""
     full = (1 << len(notice)) - 1
     top = full ^ full >> 1

@@ -171,19 +171,24 @@ def test_licenses():
     assert s.scan("") == (0, 0, None, None, "", "", 0.0, "")
 
 
-def test_nearest_is_the_least_edit_distance():
+def test_ends_are_the_least_edit_distances():
     rng = random.Random(4)
-    for _ in range(200):
-        notice, text = ("".join(rng.choices("abc ", k=rng.randrange(1, n))) for n in (9, 25))
+    for _ in range(300):
+        notice, text = ("".join(rng.choices("abc ", k=rng.randrange(1, n))) for n in (9, 40))
         row = list(range(len(notice) + 1))
-        best = row[-1]
+        edits = [row[-1]]  # of the best stretch that ends at each place
         for c in text:
             last, row = row, [0]
             for i, x in enumerate(notice):
                 row.append(min(last[i] + (x != c), last[i + 1] + 1, row[i] + 1))
-            best = min(best, row[-1])
+            edits.append(row[-1])
         masks = {c: sum(1 << i for i, x in enumerate(notice) if x == c) for c in notice}
-        assert licenses.nearest(notice, text, masks) == best
+        errors = rng.randrange(len(notice) + 1)
+        # the last place before more are needed, where the last change was not a rise
+        rises = [p for p in range(len(edits)) if p + 1 == len(edits) or edits[p + 1] > edits[p]]
+        fell = [p for p in rises if next((edits[q] > edits[q + 1] for q in range(p - 1, -1, -1) if edits[q] != edits[q + 1]), True)]
+        assert licenses.ends(notice, text, masks, errors) == [(p, edits[p]) for p in fell if edits[p] <= errors]
+        assert min((e for _, e in licenses.ends(notice, text, masks, len(notice))), default=None) == min(edits)
 
 
 def _brute_model(texts):
