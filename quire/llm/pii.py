@@ -77,12 +77,31 @@ def _found(df: DataFrame, name: str, pattern: str, guard: Column) -> DataFrame:
     return df.drop(*[f"le{level}_{m}" for level in range(_LEVELS)])
 
 
+def _blocks(df: DataFrame, name: str, spans: Column) -> DataFrame:
+    """df with spans sorted by their starts, and the first start and last end of each block and block of blocks of them."""
+    df = df.withColumn(f"{name}0", F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))))
+    for level in (1, 2):
+        below = f"{name}{level - 1}"
+        block = f"slice({below}, j * {_BLOCK} + 1, {_BLOCK})"
+        blocks = f"transform(sequence(0, cast((size({below}) - 1) div {_BLOCK} as int)), j -> named_struct('s', {below}[j * {_BLOCK}].s, 'e', array_max(transform({block}, y -> y.e))))"
+        df = df.withColumn(f"{name}{level}", F.expr(f"if(size({below}) = 0, array(), {blocks})"))
+    return df
+
+
+def _overlaps(name: str) -> str:
+    """SQL on x: whether it overlaps one of the spans, looked for only in blocks that it overlaps."""
+    meets = lambda y: f"{y}.s < x.e and x.s < {y}.e"
+    inner = f"exists(slice({name}0, b * {_BLOCK} + 1, {_BLOCK}), y -> {meets('y')})"
+    middle = f"exists(sequence(a * {_BLOCK}, least(size({name}1), (a + 1) * {_BLOCK}) - 1), b -> {meets(f'{name}1[b]')} and {inner})"
+    return f"if(size({name}0) = 0, false, exists(sequence(0, size({name}2) - 1), a -> {meets(f'{name}2[a]')} and {middle}))"
+
+
 def _valid(kind: str) -> str:
     """SQL on x: whether a match stays."""
     if kind == "email":
         return "true"
     if kind == "secret":
-        return "x.v rlike '[0-9]' and x.v rlike '[A-Za-z]' and not exists(base, b -> b.s < x.e and x.s < b.e)"
+        return f"x.v rlike '[0-9]' and x.v rlike '[A-Za-z]' and not {_overlaps('base_')}"
     if kind == "ip":
         return f"x.v rlike '{IP_VALID}'".replace("\\", "\\\\")
     digits = "regexp_replace(x.v, '[^0-9]', '')"
@@ -129,6 +148,7 @@ def extracted(docs: DataFrame) -> DataFrame:
     spans = lambda k, where: F.expr(_spans(ALL.index(k) if k in ALL else -1, f"m_{k}", f"p_{k}", f"s_{k}", where))
     df = df.withColumns({f"b_{k}": spans(k, _valid(k)) for k in KINDS})
     df = df.withColumn("base", F.concat(*[f"b_{k}" for k in KINDS]))
+    df = _blocks(df, "base_", F.col("base"))
     df = df.withColumn("secret", spans("secret", _valid("secret")))
     df = df.withColumn("others", spans("token", "true"))
     # the token without what stands around letters and digits, which belongs to the context, unless it lies across a found span
@@ -137,8 +157,8 @@ def extracted(docs: DataFrame) -> DataFrame:
     cut = f"transform(others, x -> named_struct('x', x, 'a', {before}, 'b', {after}))"
     core = "substr(y.x.v, length(y.a) + 1, greatest(0, length(y.x.v) - length(y.a) - length(y.b)))"
     df = df.withColumn("others", F.expr(f"transform({cut}, y -> named_struct('k', y.x.k, 's', y.x.s + length(y.a), 'e', y.x.e - length(y.b), 'v', {core}, 'l', concat(y.x.l, y.a), 'r', concat(y.b, y.x.r)))"))
-    df = df.withColumn("taken", F.expr("transform(concat(base, secret), b -> named_struct('s', b.s, 'e', b.e))"))
-    df = df.withColumn("others", F.expr("filter(others, x -> x.v rlike '[\\\\p{L}0-9]' and not exists(taken, b -> b.s < x.e and x.s < b.e))"))
+    df = _blocks(df, "taken_", F.concat("base", "secret"))
+    df = df.withColumn("others", F.expr(rf"filter(others, x -> x.v rlike '[\\p{{L}}0-9]' and not {_overlaps('taken_')})"))
     anywhere = "x.v like '%@%' or length(x.v) >= 6 and length(regexp_replace(x.v, '[^0-9]', '')) >= 3"
     df = df.withColumns({"base": F.expr(_with_contexts("base")), "secret": F.expr(_with_contexts("secret")), "others": F.expr(_with_contexts("others", anywhere))})
     return df.select("doc_id", F.monotonically_increasing_id().alias("row"), "base", "secret", "others")

@@ -90,7 +90,7 @@ def test_graph_counts_and_rounds_are_those_of_plain_python(spark):
     heads = ["dial", "ring now", "write", "see", "code is", "x y z"]
     texts = [f"{rng.choice(heads)} {rng.choice(kinds)()} {rng.choice(['ok', 'end', 'then'])}" for _ in range(300)]
     texts += ["dial 5551234 ok", "ring now 5551234 end"] * 3
-    rows = pii.extracted(frame(spark, texts))
+    rows = pii.written(pii.extracted(frame(spark, texts)), "test")  # as found() does
     seeds, others = set(), set()
     for r in rows.collect():
         for x in [*r["base"], *r["secret"], *r["others"]]:
