@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import exact, licenses, mixing, ngram_lm, packing, pii, quality, simhash, tokens, urls
+from quire.llm import divergence, exact, licenses, mixing, ngram_lm, packing, pii, quality, rank_queue, simhash, tokens, urls, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": packing.query,
@@ -19,9 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": ngram_lm.query,
     "op9_quality_rules": quality.query,
     "op10_pii": pii.query,
+    "op11_bpe_rank_queue": rank_queue.query,
+    "op12_embedding_whitening": whitening.query,
+    "op13_source_divergence": divergence.query,
 }
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": exact.ORACLE,
     "op3_url_filters": urls.ORACLE,
+    "op13_source_divergence": divergence.ORACLE,
 }
