@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,12 +193,12 @@ def odd_documents():
     return [*rows, (None, "en", "s9"), ("", "fr", "s1"), ("1 2-3", "fr", "s2"), ("alpha " * 300_000, "en", "s1"), ("a9b_c", "en", ""), ("solo", "es", "one")]
 
 
-@pytest.mark.parametrize("bounds", [(400_000, 1 << 20), (7, 3)])
+@pytest.mark.parametrize("bounds", [{}, {"LEAVES": 7, "PAIRS": 3, "RANGE": 300}, {"CHUNK": 100, "fits": lambda df: False}])
 def test_divergence(spark, monkeypatch, bounds):
     rows = odd_documents()
     df = spark.createDataFrame([(t, lang, s, 1, "q", 2) for t, lang, s in rows], "text string, lang string, source string, term int, item string, n int").repartition(3)
-    monkeypatch.setattr(divergence, "LEAVES", bounds[0])
-    monkeypatch.setattr(divergence, "PAIRS", bounds[1])
+    for name, value in bounds.items():  # those that functions take along when they are sent to tasks
+        monkeypatch.setattr(divergence, name, value)
     got = [tuple(r[c] for c in ("lang", "source", "part", "item", "value", "rank")) for r in divergence.divergence(df).collect()]
     assert len(got) == len(set(got)) and set(got) == brute(rows)
     assert divergence.divergence(df.limit(0)).count() == 0
@@ -208,11 +209,34 @@ def test_divergence(spark, monkeypatch, bounds):
 def test_shares_and_tries():
     for count, size in ((0, 1), (5, 7), (10**12, 3 * 10**13), (10**14, 5 * 10**14), (10**9, 10**9 + 1)):
         assert divergence.share(np.array([count]), np.array([size]))[0] == 1 + 10**9 * (count + 1) // size
-    trie, rng = divergence.Trie(), random.Random(6)
-    held = Counter("".join(rng.choices("abé", k=rng.randrange(1, 9))).encode() for _ in range(3000))
-    for t, n in held.items():
-        trie.leaf(t).docs += n
-    assert [(t, node.docs) for t, node in trie.walk()] == sorted(held.items())
+    rng = random.Random(6)
+    texts = [(d, f"s{d % 3}", ["".join(rng.choices("abé中", k=rng.randrange(1, 9))).encode() for _ in range(rng.randrange(1, 60))]) for d in range(90)]
+    held: dict = {}
+    for d, source, found in texts:
+        for t in found:
+            docs, counts = held.setdefault(t, (set(), Counter()))
+            docs.add(d)
+            counts[source] += 1
+    plain = [("en", t, len(docs), counts) for t, (docs, counts) in sorted(held.items())]
+    rows = lambda batch: [(r["lang"], r["term"], r["docs"], Counter(dict(zip(r["source"], r["n"], strict=True)))) for r in batch.to_pylist()]
+    whole = divergence.trie(texts, "en")
+    assert rows(whole) == plain and rows(divergence.unpacked("en", divergence.packed(whole))) == plain
+    assert rows(divergence.collapsed([divergence.trie(texts[i : i + 7], "en") for i in range(0, 90, 7)])) == plain
+    cut = list(divergence.segments(whole))
+    assert len({prefix for _, prefix, _ in cut}) == len(cut) and all(r[1].startswith(p) and (len(p) == 2 or r[1] == p) for _, p, c in cut for r in rows(divergence.unpacked("en", c)))
+    assert [r for _, _, c in cut for r in rows(divergence.unpacked("en", c))] == plain
+
+
+def test_blocks_of_pairs_change_nothing(monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [{"lang": "en", "term": f"t{t:03}".encode(), "source": f"s{s}", "n": int(rng.integers(1, 50)), "size": 1000 + 100 * s, "lang_n": 90, "lang_size": 9000} for t in range(60) for s in range(9) if rng.random() < 0.6]
+    made = []
+    for block in (1 << 20, 1, 17):
+        monkeypatch.setattr(divergence, "PAIRS", block)
+        audit = divergence.Audit(5)
+        audit.add(pa.RecordBatch.from_pylist(rows))
+        made.append((sorted(audit.sums.items()), sorted(audit.shares.items()), audit.taken("term").to_pylist()))
+    assert made[0] == made[1] == made[2] and len(made[0][0]) == 72
 
 
 def test_divergence_of_a_source_that_differs(spark):
