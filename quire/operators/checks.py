@@ -32,7 +32,7 @@ def orphaned_steps(chunks: DataFrame, p: Profile) -> DataFrame:
     value = F.coalesce(*[F.when(first.rlike(java(x)), F.regexp_extract(first, java(x), 1)) for x in p.step_patterns], F.lit(None).cast("string"))
     df = chunks.withColumn("v", value).where("v is not null")
     start = F.when(F.col("v").rlike(r"^\p{Nd}+$"), F.try_to_number("v", F.lit("999999999999999999")) == 1).when(F.col("v").rlike(r"^\p{L}+$"), F.lower("v") == "a").otherwise(False)
-    return issues(df.where(~start), "orphaned_steps", F.lit("warning"), F.format_string("Chunk starts mid-sequence at step '%s'", "v"), first_step=F.col("v"))
+    return issues(df.where(~start), "orphaned_steps", F.lit("warning"), F.format_string("First step is '%s', not the start of a sequence", "v"), first_step=F.col("v"))
 
 
 def split_callouts(chunks: DataFrame, p: Profile) -> DataFrame:
@@ -45,7 +45,7 @@ def split_callouts(chunks: DataFrame, p: Profile) -> DataFrame:
     rest = F.transform(F.slice(lines(strip(F.col("text"))), 2, 1 << 30), strip)
     df = chunks.withColumn("level", level).where(F.col("level").isNotNull() & ~F.exists(rest, governed))
     severity = F.when(F.col("level") == "note", "warning").otherwise("error")
-    return issues(df, "split_safety_callouts", severity, F.format_string("Safety callout (%s) without governed procedure", "level"), callout_level=F.col("level"))
+    return issues(df, "split_safety_callouts", severity, F.format_string("Nothing follows that the callout (%s) is about", "level"), callout_level=F.col("level"))
 
 
 def size_outliers(chunks: DataFrame, least: int = 100, most: int = 3000) -> DataFrame:
@@ -59,13 +59,18 @@ def missing_metadata(chunks: DataFrame) -> DataFrame:
     """Keys that are absent; a null counts as present. chunks: with raw, the metadata as a map."""
     keys = F.array(*map(F.lit, ("manual_id", "level1_id", "content_type")))
     df = chunks.select("chunk_id", F.explode(F.filter(keys, lambda k: ~F.map_contains_key("raw", k))).alias("field"))
-    return issues(df, "metadata_completeness", F.lit("error"), F.format_string("Missing required metadata field: %s", "field"), field=F.col("field"))
+    return issues(df, "metadata_completeness", F.lit("error"), F.format_string("metadata lacks '%s'", "field"), field=F.col("field"))
+
+
+def _named(manual: Column) -> Column:
+    """A manual's name in joins: no name is null, and a null manual's is no other's."""
+    return F.coalesce(F.concat(F.lit("="), manual), F.lit(""))
 
 
 def duplicate_classes(chunks: DataFrame, order: str = "chunk_ord") -> tuple[DataFrame, DataFrame]:
     """Chunks of a manual with the same set and number of tokens are a class, named by its first chunk: (classes: manual_id, rep,
     set, k tokens in the set, n tokens; members: manual_id, rep, ord, chunk_id). Tokens are 64-bit hashes; sets are told apart by two hashes."""
-    df = chunks.select("manual_id", F.col(order).alias("ord"), "chunk_id", F.transform(tokens(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w)).alias("words"))
+    df = chunks.select(_named(F.col("manual_id")).alias("manual_id"), F.col(order).alias("ord"), "chunk_id", F.transform(tokens(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w)).alias("words"))
     df = df.select("manual_id", "ord", "chunk_id", F.size("words").alias("n"), F.sort_array(F.array_distinct("words")).alias("set"))
     df = written(df.where("n > 0").withColumns({"k": F.size("set"), "h": F.xxhash64("set"), "h2": F.hash("set")}), "sets")
     same = ["manual_id", "n", "k", "h", "h2"]
@@ -105,7 +110,8 @@ def duplicate_pairs(chunks: DataFrame, threshold: float = 0.95, order: str = "ch
     links = duplicate_links(classes, threshold).join(names("a"), ["manual_id", "ra"]).join(names("b"), ["manual_id", "rb"])
     links = links.select("manual_id", F.col("ra").alias("oa"), F.col("rb").alias("ob"), "a", "b", "sim")
     own = members.where("rep <> ord").select("manual_id", F.col("rep").alias("ra"), F.col("ord").alias("ob"), F.col("chunk_id").alias("b")).join(names("a"), ["manual_id", "ra"])
-    return links.unionByName(own.select("manual_id", F.col("ra").alias("oa"), "ob", "a", "b", F.lit(1.0).alias("sim")))
+    both = links.unionByName(own.select("manual_id", F.col("ra").alias("oa"), "ob", "a", "b", F.lit(1.0).alias("sim")))
+    return both.withColumn("manual_id", F.when(F.col("manual_id") != "", F.substring("manual_id", 2, 1 << 30)))
 
 
 def duplicates(chunks: DataFrame, threshold: float = 0.95) -> DataFrame:
@@ -141,9 +147,9 @@ def broken_references(chunks: DataFrame, p: Profile) -> DataFrame:
     heads = heads.join(sought, "last", "left_semi").distinct()
     found = refs.select("chunk_id", "last").distinct().join(heads, "last").where(F.col("chunk_id") != F.col("other")).select("chunk_id", "last").distinct()
     refs = refs.join(found, ["chunk_id", "last"], "left_anti")
-    skipped = reduce(lambda a, s: a | F.startswith(F.col("ref"), F.concat("manual_id", F.lit(f"::{s}"))), p.skip_sections, F.lit(False))
+    skipped = reduce(lambda a, s: a | F.coalesce(F.startswith(F.col("ref"), F.concat("manual_id", F.lit(f"::{s}"))), F.lit(False)), p.skip_sections, F.lit(False))
     severity = F.when(skipped, "warning").otherwise(p.unresolved_severity or "error")
-    message = F.concat(F.format_string("Cross-reference target not found: '%s'", "ref"), F.when(skipped, " (skipped section)").otherwise(""))
+    message = F.concat(F.format_string("Nothing answers to the reference '%s'", "ref"), F.when(skipped, " (skipped section)").otherwise(""))
     return issues(refs, "cross_ref_validity", severity, message, target=F.col("ref"), skipped=skipped)
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from quire.functions.text import count_tokens, find_all
 from quire.operators import rules
-from quire.operators.structure import detect, entry_text, exploded, filtered, in_order, manifest, numbered_pages
+from quire.operators.folds import Runs, folded, running, same
+from quire.operators.structure import detect, entry_text, exploded, filtered, manifest, numbered_pages
 from quire.sources.profile import Profile
 from quire.sources.storage import written
 
@@ -84,20 +84,12 @@ def with_metadata(parts: DataFrame, p: Profile) -> DataFrame:
 
 def merge_across(chunks: DataFrame, order: list[str], least: int = rules.LEAST, most: int = rules.MOST) -> DataFrame:
     """A chunk under the least size goes before the next of its first level if both fit; the next one's
-    id and metadata stay. Only sizes pass through Python; texts are put together by aggregation."""
-    sizes = chunks.select("manual_id", *order, level1(F.col("chunk_id")).alias("l1"), count_tokens(F.col("text")).cast("long").alias("n"))
-    schema = StructType([*sizes.select("manual_id", *order).schema.fields]).add("grp", "long")
-
-    def group(state: dict, row: dict) -> dict:
-        # a held run is open while it is small; it takes the next row of its level if both fit
-        joins = state.get("open") and state["n"] < least and state["l1"] == row["l1"] and state["n"] + row["n"] <= most
-        state["grp"] = state.get("grp", -1) + (0 if joins else 1)
-        state["n"] = state["n"] + row["n"] if joins else row["n"]
-        state["l1"], state["open"] = row["l1"], True
-        return {k: row[k] for k in ("manual_id", *order)} | {"grp": state["grp"]}
-
-    groups = in_order(sizes, ["manual_id"], order, group, schema)
-    df = chunks.join(groups, ["manual_id", *order])
+    id and metadata stay. order: a whole number, then what tells chunks with the same number apart. Only sizes are gone through
+    in order; texts are put together by aggregation."""
+    sizes = written(chunks.select("manual_id", *order, level1(F.col("chunk_id")).alias("label"), count_tokens(F.col("text")).cast("long").alias("n")), "chunk-sizes")
+    begun = written(folded(sizes, ["manual_id"], order, Runs(least, most), sizes.select("manual_id", *order).schema.add("begins", "long")), "chunk-runs")
+    groups = running(begun, ["manual_id"], order, {"earlier": ("sum", F.col("begins"))}).withColumn("grp", F.col("earlier") + F.col("begins") - 1)
+    df = chunks.join(groups, same(chunks, groups, ["manual_id", *order])).select(*[chunks[c] for c in chunks.columns], "grp")
     rows = F.array_sort(F.collect_list(F.struct(*order, "text", "chunk_id", "metadata")))
     out = df.groupBy("manual_id", "grp").agg(rows.alias("rows"))
     last = F.element_at("rows", -1)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions.text import first_words, point_id, strip
+from quire.sources import snapshots
 from quire.sources.storage import exists, written
 from quire.sources.tables import checked_size
 
@@ -93,23 +94,42 @@ def lookups(chunks: DataFrame) -> dict[str, DataFrame]:
         "cross_ref_lookup": each("cross_references", "cross_reference"),
     }
 
+
 #: Tables of the index beside the vectors.
 LOOKUPS = ("procedure_lookup", "vehicle_model_lookup", "figure_lookup", "cross_ref_lookup")
+#: Buckets of point ids of a new index. What a change rewrites is the buckets of its points; a bucket is written by one task.
+BUCKETS = 64
 
 
-def build(chunks: DataFrame, path: str, embed: Callable[[list[str]], list[list[float]]] = hashed, size: int = SIZE) -> int:
+def build(chunks: DataFrame, path: str, embed: Callable[[list[str]], list[list[float]]] = hashed, size: int = SIZE, buckets: int = BUCKETS) -> int:
     """Adds chunks to the index in a folder: their vectors, where one with the same id is replaced, and their rows in the lookup
-    tables. Gives the number of chunks. The new vectors are written beside the old ones before they take their place."""
+    tables. Gives the number of chunks. Vectors lie in buckets of their ids, of which those with new points are written anew beside the
+    old ones; a snapshot then names all tables' new folders at once, so a build that stops before leaves the old index as it was."""
     spark = chunks.sparkSession
+    number, old = snapshots.latest(spark, path)
+    buckets = old["buckets"] if old else buckets
+    bucket = F.pmod(F.xxhash64("point_id"), F.lit(buckets)).cast("int").alias("bucket")
     chunks = written(chunks, "index-chunks")
-    new = written(vectors(chunks, embed).withColumn("vector", checked_size(F.col("vector"), size)), "index-vectors")
-    at = f"{path}/vectors"
-    if exists(spark, at):
-        old = spark.read.parquet(at)
-        new = written(old.join(new, "point_id", "left_anti").unionByName(new), "index-merged")
-    new.write.mode("overwrite").parquet(at)
+    new = written(vectors(chunks, embed).select("point_id", checked_size(F.col("vector"), size).alias("vector"), "payload", bucket), "index-vectors")
+    at = snapshots.new_folder(path)
+    held = dict(old.get("vectors", {}))
+    touched = {str(r["bucket"]) for r in new.select("bucket").distinct().collect()}  # at most buckets
+    before = [held[b] for b in touched & held.keys()]
+    if old:
+        kept = snapshots.parts(spark, before) if before else None
+    else:  # a table from before there were snapshots
+        kept = snapshots.opened(spark, path, "vectors")
+        touched |= {str(r["bucket"]) for r in kept.select(bucket).distinct().collect()} if kept else set()
+    merged = new if kept is None else kept.join(new, "point_id", "left_anti").select("point_id", "vector", "payload", bucket).unionByName(new)
+    merged.repartition("bucket").write.partitionBy("bucket").parquet(f"{at}/vectors")
+    held |= {b: f"{at}/vectors/bucket={b}" for b in touched}
+    snapshot = {"buckets": buckets, "vectors": held}
     for name, rows in lookups(chunks).items():
-        rows.write.mode("append").parquet(f"{path}/{name}")
+        rows.write.parquet(f"{at}/{name}")
+        earlier = old.get(name, []) if old else [f"{path}/{name}"] if exists(spark, f"{path}/{name}") else []
+        snapshot[name] = [*earlier, f"{at}/{name}"]
+    if held:
+        snapshots.publish(spark, path, number, snapshot)
     return chunks.count()
 
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.operators import index
-from quire.sources.storage import exists, written
+from quire.sources import snapshots
+from quire.sources.storage import written
 
 # Patterns and words that questions are read by; (?i) where case does not matter.
 VEHICLES = [r"(?i)\bCherokee\b", r"(?i)\bCJ[-\s]?([23567])\b", r"(?i)\bCJ[-\s]?3[AB]\b", r"(?i)\bM38A1\b", r"(?i)\bM38\b", r"\bXJ\b", r"(?i)\bWrangler\b"]
@@ -120,25 +123,35 @@ def _list(key: str) -> Column:
 def retrieve(queries: DataFrame, path: str, top_k: int = 10, manuals: list[str] | None = None, embed: Callable = index.hashed) -> DataFrame:
     """One row per query (query_id, query) against the index in a folder: its analysis, results by descending score (the nearest chunks, their
     parents, siblings and chunks that cite the same targets, at most five), whether one has safety callouts, whether several manuals
-    were searched, and warnings. Without the lookup tables there are no cross-references, and a warning says so."""
+    were searched, and warnings. Where lookup tables are missing or can't be read there are no cross-references, and a warning says so."""
     spark = queries.sparkSession
     asked = written(analyzed(queries, manuals), "asked")
     run = F.pandas_udf(lambda s: pd.Series(embed(s.tolist())), "array<float>")
-    points = spark.read.parquet(f"{path}/vectors").select("vector", F.from_json("payload", "map<string,string>").alias("m"))
+    points = snapshots.opened(spark, path, "vectors").select("vector", F.from_json("payload", "map<string,string>").alias("m"))
     points = points.select(F.col("m")["chunk_id"].alias("chunk_id"), F.col("m")["manual_id"].alias("manual_id"), F.col("m")["text"].alias("text"), F.map_filter("m", lambda k, v: ~k.isin("chunk_id", "text")).alias("metadata"), "vector")
     only = manuals[0] if manuals and len(manuals) == 1 else None
     searched = points.where(F.col("manual_id") == only) if only else points
     hits = index.nearest(asked.select("query_id", run("query").alias("q")), searched.select(F.col("chunk_id").alias("point"), F.col("vector").alias("v")), top_k)
     hits = written(hits.join(points, hits["point"] == points["chunk_id"]).select("query_id", (F.col("rank") - 1).alias("ord"), "chunk_id", "score", "text", "metadata"), "hits")
     primary = hits.select("query_id", "ord", "chunk_id", "score", F.col("metadata")["parent_chunk_id"].alias("parent_chunk_id"), _list("sibling_chunk_ids").alias("sibling_chunk_ids"), _list("cross_references").alias("cross_references"))
-    missing = [t for t in ("cross_ref_lookup", "procedure_lookup") if not exists(spark, f"{path}/{t}")]
-    tables = None if missing else {t: spark.read.parquet(f"{path}/{t}") for t in ("cross_ref_lookup", "procedure_lookup")}
-    best = reranked(enriched(primary, tables), min(top_k, 5))
-    best = with_payload(best, hits.select("chunk_id", "text", "metadata").dropDuplicates(["chunk_id"]), tables and tables["procedure_lookup"])
+    told = []
+
+    def results(lookups: dict[str, DataFrame] | None) -> DataFrame:
+        best = reranked(enriched(primary, lookups), min(top_k, 5))
+        return with_payload(best, hits.select("chunk_id", "text", "metadata").dropDuplicates(["chunk_id"]), lookups and lookups["procedure_lookup"])
+
+    try:
+        tables = {t: snapshots.opened(spark, path, t) for t in ("cross_ref_lookup", "procedure_lookup")}
+        told += [f"Cross-references are not resolved: there is no table {t}" for t, df in tables.items() if df is None]
+        best = results(None if told else tables)
+        best = best if told else written(best, "results")  # so that a table that can't be read fails here
+    except (PySparkException, Py4JError) as e:
+        told.append(f"Cross-references are not resolved: the tables can't be read ({str(e).strip().splitlines()[0][:200]})")
+        best = results(None)
     best = best.withColumn("safe", F.coalesce(F.size(F.from_json(F.col("metadata")["has_safety_callouts"], "array<string>")) > 0, F.lit(False)))
     rows = F.array_sort(F.collect_list(F.struct("rank", F.struct("chunk_id", "text", "metadata", "score", "source").alias("r"), "safe")), lambda a, b: a["rank"] - b["rank"])
     found = best.groupBy("query_id").agg(rows.alias("rows"))
-    warned = F.array(*[F.lit(f"Cross-references are not resolved: there is no table {t}") for t in missing]).cast("array<string>")
+    warned = F.array(*map(F.lit, told)).cast("array<string>")
     out = asked.join(found, "query_id", "left")
     return out.select(
         *asked.columns, F.coalesce(F.transform("rows", lambda x: x["r"]), F.array().cast(_RESULT)).alias("results"),

@@ -2,68 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import reduce
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-from pyspark.sql.window import Window
 
 from quire.functions.text import count_tokens, lines, strip
+from quire.operators.folds import Gaps, Levels, before, folded, running, same
 from quire.sources.profile import Profile, java
 from quire.sources.storage import written
 
 BOUNDARY = ["manual_id", "level", "level_name", "id", "title", "page_number", "line_number"]
 
 
-def in_order(df: DataFrame, keys: list[str], order: list[str], step: Callable[[dict, tuple, dict], dict | None], schema: StructType) -> DataFrame:
-    """A sequential pass over each group's rows, streaming: step(state, row) gives a row or None. State is
-    a dict that is emptied when the keys change."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: dict = {}
-        at = None
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        shape = to_arrow_schema(schema)
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                key = tuple(row[k] for k in keys)
-                if key != at:
-                    state, at = {}, key
-                made = step(state, row)
-                if made is not None:
-                    out.append(made)
-            yield pa.RecordBatch.from_pylist(out, schema=shape)
-
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
-
-
-#: Rows of a bucket of the order, in which running totals are made before those over buckets.
-BUCKET = 4096
-
-
-def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    """Equal keys, null with null."""
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
-
-
-def before(df: DataFrame, keys: list[str], order: str, value: str, name: str, total: Callable[[Column | str], Column] = F.sum) -> DataFrame:
-    """df, a written narrow table, with the total of value over all earlier rows of a group; 0 or null where there is none. Totals
-    are made inside buckets of the order and over buckets, so that the largest group is no single task's."""
-    df = df.withColumn("_b", F.floor(F.col(order) / BUCKET))
-    earlier = lambda *parts: Window.partitionBy(*keys, *parts).rowsBetween(Window.unboundedPreceding, -1)
-    sums = df.groupBy(*keys, "_b").agg(total(value).alias("_s")).withColumn("_before", total("_s").over(earlier().orderBy("_b")))
-    sums = sums.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_b").alias("_bucket"), "_before")
-    inside = df.withColumn("_in", total(value).over(earlier("_b").orderBy(order)))
-    joined = inside.join(sums, reduce(lambda x, y: x & y, [inside[k].eqNullSafe(sums[f"_{k}"]) for k in keys], inside["_b"].eqNullSafe(sums["_bucket"])))
-    both = F.coalesce("_before", F.lit(0)) + F.coalesce("_in", F.lit(0)) if total is F.sum else F.greatest("_before", "_in")
-    return joined.withColumn(name, both).select(*[c for c in df.columns if c != "_b"], name)
-
-
 def numbered_pages(pages: DataFrame) -> DataFrame:
     """pages with offset, the number of their first line in the manual, as a written table. Only numbers of lines are put in order."""
     keys = ["manual_id", "page_number"]
@@ -99,20 +48,17 @@ def candidates(rows: DataFrame, profile: Profile) -> DataFrame:
 
 def detect(rows: DataFrame, profile: Profile) -> DataFrame:
     """Boundaries. Of several levels on a line, the shallowest below the present one is taken, else the
-    shallowest; this choice is the present level from there on."""
+    shallowest; this choice is the present level from there on. Lines with a candidate are found once and written."""
     found = candidates(rows, profile)
-    schema = found.select("manual_id", F.col("found")[0]["level"].alias("level"), F.lit("").alias("level_name"), F.lit("").alias("id"), F.lit("").alias("title"), "page_number", "line_number").schema
-    for f in schema:
-        f.nullable = True
-
-    def choose(state: dict, row: dict) -> dict:
-        ranked = sorted(row["found"], key=lambda c: c["level"])
-        now = state.get("level", 0)
-        best = ranked[0] if len(ranked) == 1 else next((c for c in ranked if c["level"] > now), ranked[0])
-        state["level"] = best["level"]
-        return {**{k: row[k] for k in ("manual_id", "page_number", "line_number")}, **best}
-
-    return in_order(found, ["manual_id"], ["line_number"], choose, schema)
+    if not any(h.id_pattern or h.title_pattern for h in profile.hierarchy):
+        return found.select("manual_id", *[F.lit(None).cast(t).alias(n) for n, t in (("level", "int"), ("level_name", "string"), ("id", "string"), ("title", "string"))], "page_number", "line_number")
+    found = written(found, "candidates")
+    bits = F.aggregate("found", F.lit(0).cast("long"), lambda m, c: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), c["level"])))
+    masks = found.select("manual_id", "line_number", bits.alias("mask"))
+    levels = folded(masks, ["manual_id"], ["line_number"], Levels(max(h.level for h in profile.hierarchy)), found.select("manual_id", "line_number").schema.add("level", "int"))
+    taken = found.join(levels, same(found, levels, ["manual_id", "line_number"])).select(*[found[c] for c in found.columns], "level")
+    of = F.filter("found", lambda c: c["level"] == F.col("level"))[0]
+    return taken.select("manual_id", "level", of["level_name"].alias("level_name"), of["id"].alias("id"), of["title"].alias("title"), "page_number", "line_number")
 
 
 def known_only(bounds: DataFrame, profile: Profile) -> DataFrame:
@@ -128,8 +74,8 @@ def after_blank(bounds: DataFrame, rows: DataFrame, profile: Profile) -> DataFra
     if not gated:
         return bounds
     blank = rows.where(strip(F.col("text")) == "").select("manual_id", (F.col("line_number") + 1).alias("line_number"))
-    free = bounds.where(~F.col("level").isin(gated))
-    return free.unionByName(bounds.where(F.col("level").isin(gated)).join(blank, ["manual_id", "line_number"], "left_semi").select(*bounds.columns))
+    free, held = bounds.where(~F.col("level").isin(gated)), bounds.where(F.col("level").isin(gated))
+    return free.unionByName(held.join(blank, same(held, blank, ["manual_id", "line_number"]), "left_semi"))
 
 
 def far_enough(bounds: DataFrame, profile: Profile) -> DataFrame:
@@ -137,15 +83,11 @@ def far_enough(bounds: DataFrame, profile: Profile) -> DataFrame:
     gaps = {h.level: h.min_gap_lines for h in profile.hierarchy if h.min_gap_lines > 0}
     if not gaps:
         return bounds
-
-    def keep(state: dict, row: dict) -> dict | None:
-        least = gaps.get(row["level"], 0)
-        if least and "last" in state and row["line_number"] - state["last"] < least:
-            return None
-        state["last"] = row["line_number"]
-        return row
-
-    return in_order(bounds, ["manual_id", "level"], ["line_number"], keep, bounds.schema)
+    bounds = written(bounds, "bounds")
+    gap = F.element_at(F.create_map(*[F.lit(x) for pair in gaps.items() for x in pair]), F.col("level")).cast("long")
+    held = bounds.where(F.col("level").isin(*gaps)).withColumn("gap", gap)
+    kept = folded(held, ["manual_id", "level"], ["line_number"], Gaps(), bounds.schema)
+    return bounds.where(~F.col("level").isin(*gaps)).unionByName(kept)
 
 
 def with_words(bounds: DataFrame, rows: DataFrame) -> DataFrame:
@@ -155,9 +97,9 @@ def with_words(bounds: DataFrame, rows: DataFrame) -> DataFrame:
     every = counts.groupBy("manual_id").agg(F.sum("n").alias("all"))
     at = sums.join(every, same(sums, every, ["manual_id"])).select(*[sums[c] for c in ("manual_id", "line_number", "before")], "all")
     out = bounds.join(at, same(bounds, at, ["manual_id", "line_number"])).select(*[bounds[c] for c in bounds.columns], "before", "all")
-    w = Window.partitionBy("manual_id").orderBy("line_number")  # over boundaries
-    out = out.withColumn("words", F.coalesce(F.lead("before").over(w), F.col("all")) - F.col("before"))
-    return out.select(*bounds.columns, "words")
+    out = written(out.withColumn("_back", -F.col("line_number")), "boundary-words")
+    out = running(out, ["manual_id"], ["_back"], {"next": ("min", F.col("before"))})  # of the boundaries behind it
+    return out.select(*bounds.columns, (F.coalesce("next", "all") - F.col("before")).alias("words"))
 
 
 def enough_words(bounds: DataFrame, rows: DataFrame, profile: Profile) -> DataFrame:
@@ -191,36 +133,43 @@ def diagnostics(bounds: DataFrame, rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("boundaries"), F.min("words").alias("min_words"), F.median("words").cast("long").alias("median_words"),
         F.avg("words").cast("long").alias("avg_words"), F.max("words").alias("max_words"), F.count_if(F.col("words") <= 3).alias("suspects"),
     )
-    return pages.join(w, "manual_id").withColumn("per_page", F.round(F.col("boundaries") / F.col("pages"), 6))
+    return pages.join(w, same(pages, w, ["manual_id"])).select(pages["manual_id"], "pages", *[c for c in w.columns if c != "manual_id"]).withColumn("per_page", F.round(F.col("boundaries") / F.col("pages"), 6))
 
 
 def manifest(bounds: DataFrame, profile: Profile) -> DataFrame:
     """A row per boundary in order (entry_idx), with its open ancestors' path, chunk_id, parent and children.
-    A level is open if it was entered after every level above it."""
-    w = Window.partitionBy("manual_id").orderBy("line_number")
-    df = bounds.withColumn("entry_idx", F.row_number().over(w) - 1)
+    A level is open if it was entered after every level above it: of each level the last entry so far, and the last line
+    of a level above, are running totals over buckets. The ids of a null manual begin with ::."""
     levels = sorted(h.level for h in profile.hierarchy)
-    seg = F.coalesce("id", "title", F.lit(""))
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    cols = {}
-    for n in levels:
-        cols[f"_at{n}"] = F.last(F.when(F.col("level") == n, F.struct("line_number", seg.alias("seg"), F.coalesce("title", "id", F.lit("")).alias("name"))), True).over(upto)
-        cols[f"_cut{n}"] = F.max(F.when(F.col("level") < n, F.col("line_number"))).over(upto)
-    df = df.withColumns(cols)
+    seg, name = F.coalesce("id", "title", F.lit("")), F.coalesce("title", "id", F.lit(""))
+    df = written(bounds.select(*BOUNDARY, F.struct("line_number", seg.alias("seg"), name.alias("name")).alias("_own")), "bounds")
+    at = {n: F.when(F.col("level") == n, F.col("_own")) for n in levels}
+    cut = {n: F.when(F.col("level") < n, F.col("line_number")) for n in levels}
+    totals = {"entry_idx": ("sum", F.lit(1)), **{f"_at{n}": ("max", v) for n, v in at.items()}, **{f"_cut{n}": ("max", v) for n, v in cut.items()}}
+    df = running(df, ["manual_id"], ["line_number"], totals)
+    df = df.withColumns({"entry_idx": F.col("entry_idx").cast("int"), **{f"_at{n}": F.coalesce(at[n], F.col(f"_at{n}")) for n in levels}, **{f"_cut{n}": F.coalesce(cut[n], F.col(f"_cut{n}")) for n in levels}})
     open_ = lambda n: (F.col("level") >= n) & F.col(f"_at{n}").isNotNull() & (F.col(f"_at{n}.line_number") > F.coalesce(F.col(f"_cut{n}"), F.lit(-1)))
     pick = lambda part: F.array_compact(F.array(*[F.when(open_(n), F.col(f"_at{n}.{part}")) for n in levels]))
     df = df.withColumns({"segs": pick("seg"), "hierarchy_path": pick("name")})
     place = F.struct(F.col("page_number").cast("string").alias("start"), F.col("page_number").cast("string").alias("end"))
+    manual = F.coalesce("manual_id", F.lit(""))
     df = df.select(
-        "manual_id", "entry_idx", F.concat_ws("::", "manual_id", "segs").alias("chunk_id"), "level", "level_name", F.coalesce("title", "id", F.lit("")).alias("title"),
+        "manual_id", "entry_idx", F.concat_ws("::", manual, "segs").alias("chunk_id"), "level", "level_name", name.alias("title"),
         "hierarchy_path", F.col("level_name").alias("content_type"), place.alias("page_range"), F.struct(F.col("line_number").alias("start"), F.col("line_number").alias("end")).alias("line_range"),
-        F.when(F.size("segs") > 1, F.concat_ws("::", "manual_id", F.slice("segs", 1, F.greatest(F.size("segs") - 1, F.lit(0))))).alias("parent_chunk_id"),
+        F.when(F.size("segs") > 1, F.concat_ws("::", manual, F.slice("segs", 1, F.greatest(F.size("segs") - 1, F.lit(0))))).alias("parent_chunk_id"),
         *[F.array(*map(F.lit, v)).cast("array<string>").alias(k) for k, v in (("vehicle_applicability", [v.model for v in profile.vehicles]), ("engine_applicability", ["all"]), ("drivetrain_applicability", ["all"]), ("has_safety_callouts", []), ("figure_references", []), ("cross_references", []))],
     )
-    kids = df.where("parent_chunk_id is not null").groupBy("manual_id", F.col("parent_chunk_id").alias("chunk_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("entry_idx", "chunk_id"))), lambda x: x["chunk_id"]).alias("children"))
-    first = Window.partitionBy("manual_id", "chunk_id").orderBy("entry_idx")
-    df = df.withColumn("_first", F.row_number().over(first) == 1).join(kids, ["manual_id", "chunk_id"], "left")
-    return df.withColumn("children", F.when(F.col("_first") & F.col("children").isNotNull(), F.col("children")).otherwise(F.array().cast("array<string>"))).drop("_first")
+    kids = adjacency(df).groupBy("manual_id", "entry_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("child_idx", "child_id"))), lambda x: x["child_id"]).alias("children"))
+    out = df.join(kids, same(df, kids, ["manual_id", "entry_idx"]), "left")
+    return out.select(*[df[c] for c in df.columns], F.coalesce("children", F.array().cast("array<string>")).alias("children"))
+
+
+def adjacency(entries: DataFrame) -> DataFrame:
+    """(manual_id, entry_idx, child_idx, child_id): a row for each child of an entry; of entries with a parent's id, the first has them."""
+    first = entries.groupBy("manual_id", "chunk_id").agg(F.min("entry_idx").alias("entry_idx"))
+    kids = entries.where("parent_chunk_id is not null").select(F.col("manual_id").alias("_m"), "parent_chunk_id", F.col("entry_idx").alias("child_idx"), F.col("chunk_id").alias("child_id"))
+    joined = kids.join(first, kids["_m"].eqNullSafe(first["manual_id"]) & (kids["parent_chunk_id"] == first["chunk_id"]))
+    return joined.select("manual_id", "entry_idx", "child_idx", "child_id")
 
 
 def entry_text(pages: DataFrame, entries: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
@@ -245,6 +194,6 @@ def entry_text(pages: DataFrame, entries: DataFrame, skip: tuple[str, ...] = ())
     texts = df.groupBy("manual_id", "entry_idx").agg(strip(text).alias("text"))
     keep = F.lit(True)
     for s in skip:
-        keep = keep & ~F.startswith(F.col("chunk_id"), F.concat(F.col("manual_id"), F.lit(f"::{s}")))
+        keep = keep & ~F.startswith(F.col("chunk_id"), F.concat(F.coalesce("manual_id", F.lit("")), F.lit(f"::{s}")))
     kept = entries.where(keep)
     return kept.join(texts, same(kept, texts, ["manual_id", "entry_idx"])).select(*[kept[c] for c in kept.columns], "text")

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions import text as T
-from quire.operators import analytics, checks, chunks, index, retrieval, rules, structure
+from quire.operators import analytics, ann, checks, chunks, index, retrieval, rules, structure
 from quire.plans.samples import MANUAL, PROSE
-from quire.sources import tables
+from quire.sources import snapshots, tables
 from quire.sources.profile import from_mapping
 from quire.sources.storage import shared_dir, written
 
@@ -587,6 +587,27 @@ def _(spark, d):
     return _search(spark, d, ["manual_id"])
 
 
+def _near(spark, d) -> DataFrame:
+    """The same searches by inverted file and codes."""
+    e = read(spark, d, "embeddings")
+    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    return ann.nearest_approximately(q, e.select(F.col("vec_id").alias("point"), F.col("embedding").alias("v")), 10)
+
+
+@query("vector_topk_approx")
+def _(spark, d):
+    return _near(spark, d).select("query_id", "point", F.round("score", 6).alias("score"), "rank", "scanned")
+
+
+#: Recall at 10 against the exact search, which has to be 0.9 or more, and that scores are the exact ones.
+@query("vector_recall", "SELECT count(*) AS queries, CAST(10 AS INT) AS k, true AS enough, true AS exact_scores FROM embeddings WHERE vec_id % 50 = 0")
+def _(spark, d):
+    near, exact = written(_near(spark, d), "near"), _search(spark, d)
+    both = exact.join(near.select("query_id", "point", F.round("score", 6).alias("near")), ["query_id", "point"], "left")
+    counts = both.agg(F.count_distinct("query_id").alias("queries"), (F.count("near") >= 0.9 * F.count(F.lit(1))).alias("enough"), F.coalesce(F.bool_and(F.abs(F.col("near") - F.col("score")) < 1e-5), F.lit(True)).alias("exact_scores"))
+    return counts.select("queries", F.lit(10).alias("k"), "enough", "exact_scores")
+
+
 #: What is put behind a question, by its conversation.
 _ASKED = " on a CJ-5 with 4WD, brake pads?", " What is the torque for the 4.0L I6 engine of a Cherokee?", " Why the noise from the transfer case?", ""
 _ASKED_SQL = "text || CASE conv_id % 4 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(_ASKED)) + " END"
@@ -683,7 +704,7 @@ def _built(spark, d) -> str:
 def _(spark, d):
     path = _built(spark, d)
     tables_ = ["vectors", *index.LOOKUPS]
-    return reduce(DataFrame.unionByName, [spark.read.parquet(f"{path}/{t}").agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("n")) for t in tables_])
+    return reduce(DataFrame.unionByName, [snapshots.opened(spark, path, t).agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("n")) for t in tables_])
 
 
 @query("retrieve")
