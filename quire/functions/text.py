@@ -43,7 +43,7 @@ def substitute(c: Column, pairs) -> Column:
 
 
 def substitute_patterns(c: Column, pairs) -> Column:
-    return reduce(lambda x, p: F.regexp_replace(x, java(p["pattern"]), java_replacement(p["replacement"])), pairs, c)
+    return reduce(lambda x, p: F.regexp_replace(x, java(p["pattern"]), java_replacement(p["replacement"], p["pattern"])), pairs, c)
 
 
 def any_match(c: Column, patterns) -> Column:

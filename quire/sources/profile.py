@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from quire.functions.patterns import java, java_replacement, unsayable
+
 # What a profile may say.
 VERSION = "1.0"
 FORMATS = {"pdf-ocr", "pdf-native", "html", "epub"}
@@ -146,20 +148,11 @@ def validate(p: Profile) -> list[str]:
             re.compile(x)
         except re.error as e:
             found.append(f"{label} is no regular expression: {e}")
+        else:
+            if (what := unsayable(x)) is not None:
+                found.append(f"{label} can't be told to Spark: {what}")
     if p.unresolved_severity not in SEVERITIES:
         found.append(f"cross_ref_unresolved_severity {p.unresolved_severity!r} is none of {', '.join(sorted(SEVERITIES))}")
     for c in p.callouts:
         found += [f"callout {what} {x!r} is none of {', '.join(sorted(ok))}" for what, x, ok in (("level", c.level, CALLOUT_LEVELS), ("style", c.style, CALLOUT_STYLES)) if x not in ok]
     return found
-
-
-def java(pattern: str) -> str:
-    """A Python pattern for Java's regex: named groups are spelled otherwise, and classes
-    are those of Unicode."""
-    unicode = "(?U)" if re.search(r"\\[wWbBdDsS]", pattern) else ""
-    return unicode + re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern.replace("(?P<", "(?<"))
-
-
-def java_replacement(text: str) -> str:
-    r"""A Python replacement for Java's: \1 becomes $1, and a dollar sign stands for itself."""
-    return re.sub(r"\\(?:g<)?(\d+)>?", r"$\1", text.replace("$", r"\$"))

@@ -23,5 +23,5 @@ def test_defaults_and_errors():
 
 
 def test_java():
-    assert java(r"(?P<n>\d)") == r"(?U)(?<n>\d)" and java("[a-z]") == "[a-z]"
-    assert java_replacement(r"\1$") == r"$1\$"
+    assert java(r"(?P<n_1>\d)") == r"([\p{Nd}])" and java("[a-z]") == "[a-z]"
+    assert java_replacement(r"\1$", "(a)") == r"$1\$"
