@@ -80,7 +80,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
     made = written(chunks.assembled(pages, p), "chunks")
     if args.command == "process":
         if args.output_dir:
-            tables.save_chunks(made, f"{args.output_dir}/{p.manual_id}_chunks.jsonl")
+            tables.save_chunks(made, args.output_dir, "_chunks.jsonl", replace=False)
         log.info("%d chunks", made.count())
         return 0
     rows = structure.page_lines(pages)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import count_tokens, lines, strip, tokens
-from quire.operators.folds import same
+from quire.operators.folds import matched
 
 # Structural markers, kinds of documents and their words.
 MARKERS = {
@@ -62,7 +62,7 @@ def ocr_quality(pages: DataFrame, sample: int = 50) -> DataFrame:
         F.count(F.lit(1)).alias("sampled_pages"), F.sum(F.size(bare)).alias("tokens"), F.sum(F.size(good)).alias("words"), F.sum(F.size(named) - F.size(good)).alias("suspected_errors"),
         F.sum(F.size("garbage_lines")).alias("garbage"), F.sum(F.size(lines(F.col("cleaned_text")))).alias("lines"),
     )
-    df = total.join(first, same(total, first, ["manual_id"]), "left").drop(first["manual_id"]).withColumns({"match": F.coalesce(F.try_divide("words", "tokens"), F.lit(0.0)), "garbage_rate": F.coalesce(F.try_divide("garbage", "lines"), F.lit(0.0))})
+    df = matched(total, first, ["manual_id"], "left").withColumns({"match": F.coalesce(F.try_divide("words", "tokens"), F.lit(0.0)), "garbage_rate": F.coalesce(F.try_divide("garbage", "lines"), F.lit(0.0))})
     return df.select("manual_id", "total_pages", F.coalesce("sampled_pages", F.lit(0)).alias("sampled_pages"), F.round("match", 6).alias("dictionary_match_rate"), F.round("garbage_rate", 6).alias("garbage_line_rate"), F.coalesce("suspected_errors", F.lit(0)).alias("suspected_errors"), ((F.col("match") < 0.7) | (F.col("garbage_rate") > 0.3)).alias("needs_reocr"))
 
 

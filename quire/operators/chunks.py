@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import count_tokens, find_all
 from quire.operators import rules
-from quire.operators.folds import Runs, folded, running, same
+from quire.operators.folds import Runs, folded, matched, running
 from quire.operators.structure import detect, entry_text, exploded, filtered, manifest, numbered_pages
 from quire.sources.profile import Profile
 from quire.sources.storage import written
@@ -89,7 +89,7 @@ def merge_across(chunks: DataFrame, order: list[str], least: int = rules.LEAST,
     sizes = written(chunks.select("manual_id", *order, level1(F.col("chunk_id")).alias("label"), count_tokens(F.col("text")).cast("long").alias("n")), "chunk-sizes")
     begun = written(folded(sizes, ["manual_id"], order, Runs(least, most), sizes.select("manual_id", *order).schema.add("begins", "long")), "chunk-runs")
     groups = running(begun, ["manual_id"], order, {"earlier": ("sum", F.col("begins"))}).withColumn("grp", F.col("earlier") + F.col("begins") - 1)
-    df = chunks.join(groups, same(chunks, groups, ["manual_id", *order])).select(*[chunks[c] for c in chunks.columns], "grp")
+    df = matched(chunks, groups.select("manual_id", *order, "grp"), ["manual_id", *order])
     rows = F.array_sort(F.collect_list(F.struct(*order, "text", "chunk_id", "metadata")))
     out = df.groupBy("manual_id", "grp").agg(rows.alias("rows"))
     last = F.element_at("rows", -1)

@@ -31,6 +31,13 @@ def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
 
 
+def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """left joined with right on keys, null with null; keys are left's, and both may come of one table."""
+    other = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return left.join(other, on, how).drop(*[f"_k_{k}" for k in keys])
+
+
 #: How totals of two stretches of rows are put together.
 _JOIN = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)), "max": F.greatest, "min": F.least}
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import count_tokens, lines, strip
-from quire.operators.folds import Gaps, Levels, before, folded, running, same
+from quire.operators.folds import Gaps, Levels, before, folded, matched, running, same
 from quire.sources.profile import Profile, java
 from quire.sources.storage import written
 
@@ -55,8 +55,8 @@ def detect(rows: DataFrame, profile: Profile) -> DataFrame:
     found = written(found, "candidates")
     bits = F.aggregate("found", F.lit(0).cast("long"), lambda m, c: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), c["level"])))
     masks = found.select("manual_id", "line_number", bits.alias("mask"))
-    levels = folded(masks, ["manual_id"], ["line_number"], Levels(max(h.level for h in profile.hierarchy)), found.select("manual_id", "line_number").schema.add("level", "int"))
-    taken = found.join(levels, same(found, levels, ["manual_id", "line_number"])).select(*[found[c] for c in found.columns], "level")
+    levels = folded(masks, ["manual_id"], ["line_number"], Levels(max(h.level for h in profile.hierarchy)), found.select("manual_id", "line_number").schema.add("level", "integer"))
+    taken = matched(found, levels, ["manual_id", "line_number"])
     of = F.filter("found", lambda c: c["level"] == F.col("level"))[0]
     return taken.select("manual_id", "level", of["level_name"].alias("level_name"), of["id"].alias("id"), of["title"].alias("title"), "page_number", "line_number")
 
@@ -75,7 +75,7 @@ def after_blank(bounds: DataFrame, rows: DataFrame, profile: Profile) -> DataFra
         return bounds
     blank = rows.where(strip(F.col("text")) == "").select("manual_id", (F.col("line_number") + 1).alias("line_number"))
     free, held = bounds.where(~F.col("level").isin(gated)), bounds.where(F.col("level").isin(gated))
-    return free.unionByName(held.join(blank, same(held, blank, ["manual_id", "line_number"]), "left_semi"))
+    return free.unionByName(matched(held, blank, ["manual_id", "line_number"], "left_semi"))
 
 
 def far_enough(bounds: DataFrame, profile: Profile) -> DataFrame:
@@ -95,8 +95,8 @@ def with_words(bounds: DataFrame, rows: DataFrame) -> DataFrame:
     counts = written(rows.select("manual_id", "line_number", count_tokens(F.col("text")).cast("long").alias("n")), "line-words")
     sums = before(counts, ["manual_id"], "line_number", "n", "before")
     every = counts.groupBy("manual_id").agg(F.sum("n").alias("all"))
-    at = sums.join(every, same(sums, every, ["manual_id"])).select(*[sums[c] for c in ("manual_id", "line_number", "before")], "all")
-    out = bounds.join(at, same(bounds, at, ["manual_id", "line_number"])).select(*[bounds[c] for c in bounds.columns], "before", "all")
+    at = matched(sums, every, ["manual_id"]).select("manual_id", "line_number", "before", "all")
+    out = matched(bounds, at, ["manual_id", "line_number"])
     out = written(out.withColumn("_back", -F.col("line_number")), "boundary-words")
     out = running(out, ["manual_id"], ["_back"], {"next": ("min", F.col("before"))})  # of the boundaries behind it
     return out.select(*bounds.columns, (F.coalesce("next", "all") - F.col("before")).alias("words"))
@@ -133,7 +133,7 @@ def diagnostics(bounds: DataFrame, rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("boundaries"), F.min("words").alias("min_words"), F.median("words").cast("long").alias("median_words"),
         F.avg("words").cast("long").alias("avg_words"), F.max("words").alias("max_words"), F.count_if(F.col("words") <= 3).alias("suspects"),
     )
-    return pages.join(w, same(pages, w, ["manual_id"])).select(pages["manual_id"], "pages", *[c for c in w.columns if c != "manual_id"]).withColumn("per_page", F.round(F.col("boundaries") / F.col("pages"), 6))
+    return matched(pages, w, ["manual_id"]).withColumn("per_page", F.round(F.col("boundaries") / F.col("pages"), 6))
 
 
 def manifest(bounds: DataFrame, profile: Profile) -> DataFrame:
@@ -160,16 +160,15 @@ def manifest(bounds: DataFrame, profile: Profile) -> DataFrame:
         *[F.array(*map(F.lit, v)).cast("array<string>").alias(k) for k, v in (("vehicle_applicability", [v.model for v in profile.vehicles]), ("engine_applicability", ["all"]), ("drivetrain_applicability", ["all"]), ("has_safety_callouts", []), ("figure_references", []), ("cross_references", []))],
     )
     kids = adjacency(df).groupBy("manual_id", "entry_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("child_idx", "child_id"))), lambda x: x["child_id"]).alias("children"))
-    out = df.join(kids, same(df, kids, ["manual_id", "entry_idx"]), "left")
-    return out.select(*[df[c] for c in df.columns], F.coalesce("children", F.array().cast("array<string>")).alias("children"))
+    out = matched(df, kids, ["manual_id", "entry_idx"], "left")
+    return out.withColumn("children", F.coalesce("children", F.array().cast("array<string>")))
 
 
 def adjacency(entries: DataFrame) -> DataFrame:
     """(manual_id, entry_idx, child_idx, child_id): a row for each child of an entry; of entries with a parent's id, the first has them."""
     first = entries.groupBy("manual_id", "chunk_id").agg(F.min("entry_idx").alias("entry_idx"))
-    kids = entries.where("parent_chunk_id is not null").select(F.col("manual_id").alias("_m"), "parent_chunk_id", F.col("entry_idx").alias("child_idx"), F.col("chunk_id").alias("child_id"))
-    joined = kids.join(first, kids["_m"].eqNullSafe(first["manual_id"]) & (kids["parent_chunk_id"] == first["chunk_id"]))
-    return joined.select("manual_id", "entry_idx", "child_idx", "child_id")
+    kids = entries.where("parent_chunk_id is not null").select("manual_id", F.col("entry_idx").alias("child_idx"), F.col("chunk_id").alias("child_id"), F.col("parent_chunk_id").alias("chunk_id"))
+    return matched(first, kids, ["manual_id", "chunk_id"]).select("manual_id", "entry_idx", "child_idx", "child_id")
 
 
 def entry_text(pages: DataFrame, entries: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
@@ -196,4 +195,4 @@ def entry_text(pages: DataFrame, entries: DataFrame, skip: tuple[str, ...] = ())
     for s in skip:
         keep = keep & ~F.startswith(F.col("chunk_id"), F.concat(F.coalesce("manual_id", F.lit("")), F.lit(f"::{s}")))
     kept = entries.where(keep)
-    return kept.join(texts, same(kept, texts, ["manual_id", "entry_idx"])).select(*[kept[c] for c in kept.columns], "text")
+    return matched(kept, texts, ["manual_id", "entry_idx"])

@@ -299,6 +299,23 @@ def _(spark, d):
     return entries(spark, d)[1].where(F.size("children") > 0).select("manual_id", F.col("entry_idx").cast("long").alias("entry_idx"), F.array_join("children", "|").alias("children"))
 
 
+@query("manifest_files", _M + " SELECT manual_id, entry_idx, chunk_id, level, path, parent_chunk_id FROM manifest")
+def _(spark, d):
+    """Manifests written as documents, one a manual, and read again."""
+    path = f"{shared_dir(spark)}/quire-manifests-{uuid.uuid4().hex}"
+    tables.save_manifest(entries(spark, d)[1], path)
+    return tables.load_manifest(spark, path).select("manual_id", F.col("entry_idx").cast("long").alias("entry_idx"), "chunk_id", "level", F.array_join("hierarchy_path", " > ").alias("path"), "parent_chunk_id")
+
+
+@query("chunk_files", "SELECT source AS manual_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS at, source || '::' || doc_id AS chunk_id, text, lang AS level1_id FROM documents")
+def _(spark, d):
+    """Documents as chunks, written as lines, a file a manual, and read again in order."""
+    path = f"{shared_dir(spark)}/quire-chunks-{uuid.uuid4().hex}"
+    tables.save_chunks(as_chunks(docs(spark, d)), path)
+    at = F.row_number().over(Window.partitionBy("manual_id").orderBy("chunk_ord")).cast("long") - 1
+    return tables.load_chunks(spark, path).select("manual_id", at.alias("at"), "chunk_id", "text", F.col("metadata.level1_id").alias("level1_id"))
+
+
 _E = _M + """, filled AS (
   SELECT l.manual_id, l.line_number, l.text, last_value(m.entry_idx IGNORE NULLS) OVER (PARTITION BY l.manual_id ORDER BY l.line_number) AS entry_idx FROM lines l LEFT JOIN manifest m USING (manual_id, line_number)
 ), entry AS (

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.sources import files
+
+
 def _inner(ddl: str) -> str:
     """Columns as the fields of a struct."""
     return re.sub(r"(\w) (string|int|array|struct)", r"\1: \2", ddl)
@@ -55,10 +58,10 @@ def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, "manual_id string, page_number int, text string")
 
 
-def save_chunks(chunks: DataFrame, path: str) -> None:
-    """One JSON object a line, in order; files of a manual stay together and sorted by name."""
-    out = chunks.select("manual_id", "chunk_ord", F.to_json(F.struct("chunk_id", "manual_id", "text", "metadata"), {"ignoreNullFields": "false"}).alias("value"))
-    out.repartitionByRange("manual_id", "chunk_ord").sortWithinPartitions("manual_id", "chunk_ord").select("value").write.mode("overwrite").text(path)
+def save_chunks(chunks: DataFrame, path: str, suffix: str = ".jsonl", replace: bool = True) -> None:
+    """A file for each manual in a folder, named by it: one JSON object a line, in order."""
+    line = F.concat(F.to_json(F.struct("chunk_id", "manual_id", "text", "metadata"), {"ignoreNullFields": "false"}), F.lit("\n"))
+    files.save(chunks, chunks["manual_id"], [chunks["chunk_ord"]], line, path, suffix, replace)
 
 
 def load_chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -76,19 +79,21 @@ def load_chunks(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(parsed.alias("c"), raw.alias("raw"), "chunk_ord").select("c.*", "raw", "chunk_ord")
 
 
-def save_manifest(manifest: DataFrame, path: str) -> None:
-    """One document for each manual."""
+def save_manifest(manifest: DataFrame, path: str, suffix: str = ".json") -> None:
+    """A JSON document for each manual in a folder, named by it, with an entry a line."""
     names = [f.strip().split(" ")[0] for f in ("chunk_id, level, level_name, title, hierarchy_path, content_type, page_range, line_range, vehicle_applicability, engine_applicability, drivetrain_applicability, has_safety_callouts, figure_references, cross_references, parent_chunk_id, children").split(",")]
     none = F.array().cast("array<string>")
     full = manifest.withColumns({n: none for n in names if n not in manifest.columns})
-    entries = F.transform(F.array_sort(F.collect_list(F.struct("entry_idx", F.struct(*names).alias("e")))), lambda x: x["e"])
-    out = full.groupBy("manual_id").agg(entries.alias("entries"))
-    out.select(F.to_json(F.struct("manual_id", "entries"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+    entry = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    head = F.concat(F.lit('{"manual_id": '), F.coalesce(F.regexp_replace(F.to_json(F.array("manual_id")), r"^\[|\]$", ""), F.lit("null")), F.lit(', "entries": [\n'))
+    rows, order, part = files.document(full, ["manual_id"], "entry_idx", head, entry, "\n]}\n")
+    files.save(rows, F.col("manual_id"), order, part, path, suffix)
 
 
 def load_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of manifest documents: each file is one."""
     struct = f"struct<{_inner(ENTRY)}>"
-    docs = spark.read.text(path, wholetext=False).select(F.from_json("value", f"manual_id string, entries array<{struct}>").alias("m"))
+    docs = spark.read.text(path, wholetext=True).select(F.from_json("value", f"manual_id string, entries array<{struct}>", {"mode": "FAILFAST"}).alias("m"))
     return docs.select("m.manual_id", F.posexplode("m.entries").alias("entry_idx", "e")).select("manual_id", "entry_idx", "e.*")
 
 

@@ -1,11 +1,15 @@
 """Pages to chunks to report, and files."""
 
+import json
+from pathlib import Path
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import checks, chunks, index, structure
 from quire.plans.samples import MANUAL
-from quire.sources import tables
+from quire.sources import files, tables
 
 PAGES = [("m", 0, "lost\nGROUP 8 IGNITION\n8 COILS\nWARNING: HOT\n\n(1) Remove FIG. B-1\n(2) Refer to 9"), ("m", 1, ""), ("m", 2, "GROUP 9 FUEL\n9 PUMPS\nCJ-5 text\nGROUP 8W WIRES\nskipped")]
 
@@ -66,3 +70,33 @@ def test_running_totals_over_buckets(spark):
             assert got[g, i] == held.get(g, 0 if name == "v" else None)
             x = v if name == "v" else m
             held[g] = held.get(g, 0) + x if name == "v" else x if x is not None else held.get(g)
+
+
+def test_a_task_tried_again_leaves_no_second_copy(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write = lambda w, rows: w.write(iter([pa.RecordBatch.from_pylist([{"name": n, "part": p} for n, p in rows])]))
+    w = files.Writer(path, ".txt", True)
+    write(w, [("a", "half")])  # an attempt that is lost
+    done = [write(w, [("a", "1"), ("a", "2"), ("b/c", "3")]), write(w, [(None, "4"), ("", None)]), None]
+    write(w, [("a", "a late copy")])
+    w.commit(done)
+    read = lambda: {f.name: f.read_text() for f in (tmp_path / "out").iterdir()}
+    assert read() == {"a.txt": "12", "b%2Fc.txt": "3", "%null.txt": "4", "%empty.txt": ""}
+    w = files.Writer(path, ".txt", True)
+    write(w, [("z", "lost")])
+    w.abort([])
+    assert len(read()) == 4 and not any("_staging" in n for n in read())
+    w = files.Writer(path, ".txt", True)
+    w.commit([write(w, [("a", "new")])])
+    assert read() == {"a.txt": "new"}
+
+
+def test_a_file_for_each_manual(spark, tmp_path):
+    path = str(tmp_path / "c")
+    rows = [(m, i, f"{m}::{i}", None if i == 3 else f"text {i} é", (m, "x" if i % 2 else None)) for m in ("one", "two/2", None) for i in range(50)]
+    df = spark.createDataFrame(rows, "manual_id string, chunk_ord int, chunk_id string, text string, metadata struct<manual_id: string, level1_id: string>").repartition(7)
+    tables.save_chunks(df, path)
+    assert sorted(f.name for f in Path(path).iterdir() if f.suffix == ".jsonl") == ["%null.jsonl", "one.jsonl", "two%2F2.jsonl"]
+    assert [json.loads(x)["chunk_id"] for x in Path(path, "one.jsonl").read_text().splitlines()] == [f"one::{i}" for i in range(50)]
+    again = tables.load_chunks(spark, path).orderBy("chunk_ord")
+    assert sorted(map(str, again.select("manual_id", "chunk_id", "text", "metadata.level1_id").collect())) == sorted(map(str, df.select("manual_id", "chunk_id", "text", "metadata.level1_id").collect()))
