@@ -7,7 +7,7 @@ import logging
 import sys
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.text import cleaned_pages
@@ -84,7 +84,10 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
         log.info("%d chunks", made.count())
         return 0
     rows = structure.page_lines(pages)
-    bounds = written(structure.filtered(structure.detect(rows, p), rows, p), "bounds")
+    counts: dict[str, Observation] = {}
+    bounds = written(structure.filtered(structure.detect(rows, p), rows, p, counts), "bounds")
+    for name, seen in counts.items():
+        log.info("boundaries after %s: %d", name, seen.get["n"])
     for row in structure.warnings(bounds, p).toLocalIterator():
         log.warning("%s", row["message"])
     if args.diagnostics:

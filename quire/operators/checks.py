@@ -147,7 +147,7 @@ def broken_references(chunks: DataFrame, p: Profile) -> DataFrame:
     heads = heads.join(sought, "last", "left_semi").distinct()
     found = refs.select("chunk_id", "last").distinct().join(heads, "last").where(F.col("chunk_id") != F.col("other")).select("chunk_id", "last").distinct()
     refs = refs.join(found, ["chunk_id", "last"], "left_anti")
-    skipped = reduce(lambda a, s: a | F.coalesce(F.startswith(F.col("ref"), F.concat("manual_id", F.lit(f"::{s}"))), F.lit(False)), p.skip_sections, F.lit(False))
+    skipped = reduce(lambda a, s: a | F.startswith(F.col("ref"), F.concat(F.coalesce("manual_id", F.lit("")), F.lit(f"::{s}"))), p.skip_sections, F.lit(False))
     severity = F.when(skipped, "warning").otherwise(p.unresolved_severity or "error")
     message = F.concat(F.format_string("Nothing answers to the reference '%s'", "ref"), F.when(skipped, " (skipped section)").otherwise(""))
     return issues(refs, "cross_ref_validity", severity, message, target=F.col("ref"), skipped=skipped)

@@ -47,12 +47,12 @@ def applicability(text: Column, p: Profile) -> dict[str, Column]:
 
 
 def references(text: Column, manual_id: Column, p: Profile) -> dict[str, Column]:
-    """Figures and cross-references of a text, sorted and distinct."""
+    """Figures and cross-references of a text, sorted and distinct; those of a null manual begin with ::, as its ids do."""
     none = F.array().cast("array<string>")
 
     sort = lambda c: F.array_sort(F.array_distinct(c))
     refs = F.flatten(F.array(*[find_all(text, x) for x in p.cross_reference_patterns])) if p.cross_reference_patterns else none
-    refs = F.transform(refs, lambda r: F.when(manual_id.isNotNull(), F.concat(manual_id, F.lit("::"), r)).otherwise(r))
+    refs = F.transform(refs, lambda r: F.concat(F.coalesce(manual_id, F.lit("")), F.lit("::"), r))
     return {
         "figure_references": sort(find_all(text, p.figure_pattern)) if p.figure_pattern else none,
         "cross_references": sort(refs),

@@ -37,39 +37,86 @@ def hashed(texts: list[str], size: int = SIZE) -> list[list[float]]:
     return (out / np.where(norms == 0, 1, norms)).tolist()
 
 
-def service(url: str, model: str, timeout: float = 30, attempts: int = 3) -> Callable[[list[str]], list[list[float]]]:
-    """An embedder that asks an HTTP service; server errors and lost connections are tried again."""
+Embedder = Callable[[list[str]], list[list[float]]]
 
-    def embed(texts: list[str]) -> list[list[float]]:
+
+def service(url: str, model: str, timeout: float = 30, attempts: int = 3, at_once: int = 8, wait: float = 1) -> Embedder:
+    """An embedder that asks an HTTP service, at_once texts at a time; server errors, timeouts and lost connections are tried again, after
+    wait, then twice that, and so on. Another error ends the batch, as does an answer without an embedding."""
+
+    def ask(text: str) -> list[float]:
+        import http.client
         import json
         import time
         import urllib.error
         import urllib.request
 
-        out = []
-        for text in texts:
-            body = json.dumps({"model": model, "prompt": text}).encode()
-            for k in range(attempts):
-                try:
-                    ask = urllib.request.Request(f"{url}/api/embeddings", body, {"Content-Type": "application/json"})
-                    with urllib.request.urlopen(ask, timeout=timeout) as answer:
-                        out.append(json.load(answer)["embedding"])
-                    break
-                except urllib.error.HTTPError as e:
-                    if e.code < 500:
-                        raise
-                    error = e
-                except (urllib.error.URLError, TimeoutError) as e:
-                    error = e
-                if k + 1 == attempts:
-                    raise RuntimeError(f"no embedding after {attempts} attempts") from error
-                time.sleep(2**k)
-        return out
+        body = json.dumps({"model": model, "prompt": text}).encode()
+        for k in range(attempts):
+            try:
+                request = urllib.request.Request(f"{url}/api/embeddings", body, {"Content-Type": "application/json"})
+                with urllib.request.urlopen(request, timeout=timeout) as answer:
+                    return json.load(answer)["embedding"]
+            except urllib.error.HTTPError as e:
+                if e.code < 500:
+                    raise RuntimeError(f"the service refuses a text: {e.code} {e.reason}") from None
+                error = e
+            except (OSError, http.client.HTTPException) as e:  # no connection, one that is lost, or no answer in time
+                error = e
+            if k + 1 < attempts:
+                time.sleep(wait * 2**k)
+        raise RuntimeError(f"no embedding after {attempts} attempts: {error}") from None
+
+    def embed(texts: list[str]) -> list[list[float]]:
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max(1, min(at_once, len(texts)))) as pool:
+            asked = [pool.submit(ask, t) for t in texts]
+            try:
+                return [a.result() for a in asked]
+            except BaseException:
+                pool.shutdown(cancel_futures=True)
+                raise
 
     return embed
 
 
-def vectors(chunks: DataFrame, embed: Callable[[list[str]], list[list[float]]] = hashed) -> DataFrame:
+def resumed(embed: Embedder, folder: str, size: int = 64) -> Embedder:
+    """embed in batches of size texts, each kept in a folder that all executors see: what tries a task again asks for those only that were
+    not finished. A batch is known by its texts; folder belongs to one embedder."""
+
+    def run(texts: list[str]) -> list[list[float]]:
+        import hashlib
+        import io
+        import json
+        import uuid
+
+        from quire.sources.files import file_system
+
+        system, at = file_system(folder)
+        system.create_dir(at, recursive=True)
+        out: list[list[float]] = []
+        for i in range(0, len(texts), size):
+            part = texts[i : i + size]
+            name = f"{at}/{hashlib.sha256(json.dumps(part).encode()).hexdigest()}.npy"
+            if system.get_file_info(name).is_file:
+                with system.open_input_file(name) as f:
+                    made = np.load(io.BytesIO(f.read()), allow_pickle=False)
+            else:
+                made = np.asarray(embed(part), np.float32)
+                held = io.BytesIO()
+                np.save(held, made)
+                mine = f"{name}.{uuid.uuid4().hex}"
+                with system.open_output_stream(mine) as f:
+                    f.write(held.getvalue())
+                system.move(mine, name)
+            out += made.tolist()
+        return out
+
+    return run
+
+
+def vectors(chunks: DataFrame, embed: Embedder = hashed) -> DataFrame:
     """(point_id, vector, payload): of chunks with one id the last is kept, as an upsert would."""
 
     @F.pandas_udf("array<float>")
@@ -101,7 +148,7 @@ LOOKUPS = ("procedure_lookup", "vehicle_model_lookup", "figure_lookup", "cross_r
 BUCKETS = 64
 
 
-def build(chunks: DataFrame, path: str, embed: Callable[[list[str]], list[list[float]]] = hashed, size: int = SIZE, buckets: int = BUCKETS) -> int:
+def build(chunks: DataFrame, path: str, embed: Embedder = hashed, size: int = SIZE, buckets: int = BUCKETS) -> int:
     """Adds chunks to the index in a folder: their vectors, where one with the same id is replaced, and their rows in the lookup
     tables. Gives the number of chunks. Vectors lie in buckets of their ids, of which those with new points are written anew beside the
     old ones; a snapshot then names all tables' new folders at once, so a build that stops before leaves the old index as it was."""

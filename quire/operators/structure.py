@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quire.functions.text import count_tokens, lines, strip
@@ -74,6 +76,7 @@ def after_blank(bounds: DataFrame, rows: DataFrame, profile: Profile) -> DataFra
     if not gated:
         return bounds
     blank = rows.where(strip(F.col("text")) == "").select("manual_id", (F.col("line_number") + 1).alias("line_number"))
+    bounds = written(bounds, "bounds")  # it is read twice
     free, held = bounds.where(~F.col("level").isin(gated)), bounds.where(F.col("level").isin(gated))
     return free.unionByName(matched(held, blank, ["manual_id", "line_number"], "left_semi"))
 
@@ -112,9 +115,24 @@ def enough_words(bounds: DataFrame, rows: DataFrame, profile: Profile) -> DataFr
     return with_words(bounds, rows).where(~short).select(*bounds.columns)
 
 
-def filtered(bounds: DataFrame, rows: DataFrame, profile: Profile) -> DataFrame:
-    """The four filters in their order, each on what the one before kept."""
-    return enough_words(far_enough(after_blank(known_only(bounds, profile), rows, profile), profile), rows, profile)
+PASSES = ("detected", "known ids", "blank line before", "least gap", "least words")
+
+
+def filtered(bounds: DataFrame, rows: DataFrame, profile: Profile, counts: dict[str, Observation] | None = None) -> DataFrame:
+    """The four filters in their order, each on what the one before kept. counts takes an observation for each of PASSES, of how many boundaries (n)
+    it left; they are there when the result has been computed, which counts them on the way."""
+
+    def told(df: DataFrame, name: str) -> DataFrame:
+        if counts is None:
+            return df
+        counts[name] = Observation(f"boundaries, {name}, {uuid.uuid4().hex}")
+        return df.observe(counts[name], F.count(F.lit(1)).alias("n"))
+
+    df = told(bounds, PASSES[0])
+    df = told(known_only(df, profile), PASSES[1])
+    df = told(after_blank(df, rows, profile), PASSES[2])
+    df = told(far_enough(df, profile), PASSES[3])
+    return told(enough_words(df, rows, profile), PASSES[4])
 
 
 def warnings(bounds: DataFrame, profile: Profile) -> DataFrame:

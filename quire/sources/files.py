@@ -28,6 +28,12 @@ def file_name(name: str | None) -> str:
     return "%null" if name is None else quote(name, safe=" ()+,=@~") or "%empty"
 
 
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    system, at = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    return system, at.rstrip("/")
+
+
 @dataclass
 class Written(WriterCommitMessage):
     folder: str
@@ -37,12 +43,12 @@ class Written(WriterCommitMessage):
 class Writer(DataSourceArrowWriter):
     def __init__(self, path: str, suffix: str, overwrite: bool) -> None:
         self.path, self.suffix, self.overwrite = path, suffix, overwrite
-        self.staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+        self.staging = f"_staging-{uuid.uuid4().hex}"
 
     def place(self) -> tuple[fs.FileSystem, str, str]:
         """The file system, the folder and the staging folder as it names them."""
-        system, at = fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (fs.LocalFileSystem(), self.path)
-        return system, at.rstrip("/"), f"{at.rstrip('/')}/{self.staging.rsplit('/', 1)[-1]}"
+        system, at = file_system(self.path)
+        return system, at, f"{at}/{self.staging}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         """Rows (name, part), those of a name one after another."""

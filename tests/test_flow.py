@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from quire.operators import checks, chunks, index, structure
 from quire.plans.samples import MANUAL
 from quire.sources import files, tables
+from quire.sources.profile import from_mapping
+from quire.sources.storage import written
 
 PAGES = [("m", 0, "lost\nGROUP 8 IGNITION\n8 COILS\nWARNING: HOT\n\n(1) Remove FIG. B-1\n(2) Refer to 9"), ("m", 1, ""), ("m", 2, "GROUP 9 FUEL\n9 PUMPS\nCJ-5 text\nGROUP 8W WIRES\nskipped")]
 
@@ -100,3 +102,16 @@ def test_a_file_for_each_manual(spark, tmp_path):
     assert [json.loads(x)["chunk_id"] for x in Path(path, "one.jsonl").read_text().splitlines()] == [f"one::{i}" for i in range(50)]
     again = tables.load_chunks(spark, path).orderBy("chunk_ord")
     assert sorted(map(str, again.select("manual_id", "chunk_id", "text", "metadata.level1_id").collect())) == sorted(map(str, df.select("manual_id", "chunk_id", "text", "metadata.level1_id").collect()))
+
+
+def test_filters_count_what_they_leave(spark):
+    hierarchy = [{"level": 1, "name": "a", "id_pattern": r"^A(\d+)", "known_ids": [{"id": str(i), "title": "x"} for i in range(1, 9)], "require_known_id": True, "min_gap_lines": 3}, {"level": 2, "name": "b", "id_pattern": r"^B(\d+)", "require_blank_before": True, "min_content_words": 3}]
+    p = from_mapping({"structure": {"hierarchy": hierarchy}})
+    text = "A1\nA2\nx\ny\nA99\nA3\n\nB1 one two three\nB2 four five six\n\nB3\n\nA4"
+    rows = written(structure.page_lines(spark.createDataFrame([("m", 0, text)], "manual_id string, page_number int, text string")), "lines")
+    counts: dict = {}
+    kept = written(structure.filtered(structure.detect(rows, p), rows, p, counts), "kept")
+    assert tuple(counts) == structure.PASSES and [o.get["n"] for o in counts.values()] == [8, 7, 6, 5, 4]
+    assert sorted(r["id"] for r in kept.collect()) == ["1", "1", "3", "4"]
+    plain = structure.filtered(structure.detect(rows, p), rows, p)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, kept.collect()))
