@@ -30,7 +30,7 @@ from quire.llm.common import documents, text_of
 
 RUN_BYTES = 4_000_000
 #: The most pre-tokens in each of two tables of those seen, and the most characters of one. A full young table takes the old one's place.
-SEEN, SEEN_CHARS = 300_000, 64
+SEEN, SEEN_CHARS = 200_000, 64
 #: Characters whose pre-tokens are looked up and merged at once, about.
 UNIT = 2_000_000
 #: A byte that UTF-8 never has.
@@ -260,15 +260,15 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-def _mapped(df: DataFrame, column: str, name: str, path: str | None, pattern: str | None, method: str) -> DataFrame:
-    """df's other columns with name, made of column by a method of ``Ranks``."""
+def _mapped(df: DataFrame, column: str, names: list[str], path: str | None, pattern: str | None, act: Callable[[Ranks, list], list[list[bytes]]]) -> DataFrame:
+    """df's other columns with those of names, which act makes of a batch of column."""
     if pattern is None:
         from public_tokenizers import PATTERN as pattern
     path = path or default_path()
     rest = [f for f in df.schema if f.name != column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        act = getattr(ranks_of(path, pattern), method)
+        of = ranks_of(path, pattern)
         for batch in batches:
             others, values = batch.select([f.name for f in rest]), batch.column(column)
             start, held, size = 0, [], 0
@@ -276,26 +276,42 @@ def _mapped(df: DataFrame, column: str, name: str, path: str | None, pattern: st
                 held.append(value.as_py())
                 size += len(held[-1])
                 if size >= RUN_BYTES or i + 1 == len(values):
-                    yield pa.RecordBatch.from_arrays([*others.slice(start, len(held)).columns, pa.array(act(held), pa.binary())], [*(f.name for f in rest), name])
+                    made = [pa.array(x, pa.binary()) for x in act(of, held)]
+                    yield pa.RecordBatch.from_arrays([*others.slice(start, len(held)).columns, *made], [*(f.name for f in rest), *names])
                     start, held, size = i + 1, [], 0
 
-    schema = df.select(*[f.name for f in rest]).schema.add(name, "binary")
+    schema = df.select(*[f.name for f in rest]).schema
+    for name in names:
+        schema = schema.add(name, "binary")
     return df.mapInArrow(run, schema)
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("t"))
+
+
 def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """A row per document: doc_id, ids (binary, see above)."""
-    rows = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("t"))
-    return _mapped(rows, "t", "ids", path, pattern, "encode")
+    return _mapped(_texts(docs), "t", ["ids"], path, pattern, lambda of, texts: [of.encode(texts)])
 
 
 def decoded(rows: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """rows (doc_id, ids) with ids turned into the bytes they stand for, as column bytes; the ids stay."""
     rows = rows.select("doc_id", "ids", F.coalesce("ids", F.lit(b"")).alias("t"))
-    return _mapped(rows, "t", "bytes", path, pattern, "decode")
+    return _mapped(rows, "t", ["bytes"], path, pattern, lambda of, ids: [of.decode(ids)])
+
+
+def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """``decoded`` of ``encoded``, by one worker a task."""
+
+    def act(of: Ranks, texts: list[str]) -> list[list[bytes]]:
+        ids = of.encode(texts)
+        return [ids, of.decode(ids)]
+
+    return _mapped(_texts(docs), "t", ["ids", "bytes"], path, pattern, act)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decoded(encoded(documents(spark, sf_dir)))
+    rows = round_trip(documents(spark, sf_dir))
     count = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return rows.select("doc_id", count, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))

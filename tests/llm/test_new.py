@@ -85,6 +85,7 @@ def test_encoded_tables(spark, library):
     made = rank_queue.decoded(rank_queue.encoded(df))
     got = sorted(((r["doc_id"], bytes(r["ids"]), bytes(r["bytes"])) for r in made.collect()), key=str)
     assert got == sorted(((i, np.array(theirs.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in rows), key=str)
+    assert sorted(map(str, rank_queue.round_trip(df).collect())) == sorted(map(str, made.collect()))
     assert rank_queue.encoded(df.limit(0)).count() == 0
     assert [r["bytes"] for r in rank_queue.decoded(spark.createDataFrame([(1, None)], "doc_id long, ids binary")).collect()] == [b""]
 
