@@ -120,23 +120,27 @@ def nearest_approximately(queries: DataFrame, points: DataFrame, k: int, keys: l
     scanned is how many codes the query read."""
     keys = keys or []
     of = of or fitted(points)
-    empty = queries.sparkSession.createDataFrame([], queries.select("query_id").schema).join(points.select("point").limit(0), how="cross")
     if of is None:
-        return empty.select("query_id", "point", *[F.lit(None).cast(t).alias(c) for c, t in (("score", "double"), ("rank", "int"), ("scanned", "long"))])
+        plain = (T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType()), T.StructField("scanned", T.LongType()))
+        return queries.sparkSession.createDataFrame([], T.StructType([*queries.select("query_id").schema, *points.select("point").schema, *plain]))
     codes = encoded(points, of, keys)
     probes = max(1, round(probed * len(of.centres)))
     keep = ["query_id", *keys, "q"]
 
+    shards = np.zeros(len(of.centres), np.int64)
+    for r in codes.select("cell", "shards").distinct().collect():  # a row for each of at most CELLS cells
+        shards[r["cell"]] = r["shards"]
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, rows = unit(batch.column("q"), of.size)
-            near = np.argsort(-(x @ of.centres.T), axis=1, kind="stable")[:, :probes].ravel()
-            others = batch.select(keep).take(pa.array(np.repeat(rows, probes)))
-            yield pa.RecordBatch.from_arrays([*others.columns, pa.array(near.astype(np.int32))], [*keep, "cell"])
+            cell = np.argsort(-(x @ of.centres.T), axis=1, kind="stable")[:, :probes].ravel()
+            many = shards[cell]
+            others = batch.select(keep).take(pa.array(np.repeat(np.repeat(rows, probes), many)))
+            shard = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            yield pa.RecordBatch.from_arrays([*others.columns, pa.array(np.repeat(cell, many).astype(np.int32)), pa.array(shard.astype(np.int32))], [*keep, "cell", "shard"])
 
-    asked = queries.select(*keep).mapInArrow(probe, T.StructType([*queries.select(*keep).schema, T.StructField("cell", T.IntegerType())]))
-    sizes = codes.select("cell", "shards").distinct()
-    asked = asked.join(F.broadcast(sizes), "cell").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards").cast("int") - 1)))
+    asked = queries.select(*keep).mapInArrow(probe, T.StructType([*queries.select(*keep).schema, T.StructField("cell", T.IntegerType()), T.StructField("shard", T.IntegerType())]))
     best = k * wider
 
     def score(found: pa.Table, by: pa.Table) -> pa.Table:
@@ -162,6 +166,7 @@ def nearest_approximately(queries: DataFrame, points: DataFrame, k: int, keys: l
 
     shape = T.StructType([*queries.select("query_id").schema, T.StructField("point", points.schema["point"].dataType), T.StructField("near", T.DoubleType()), T.StructField("read", T.LongType())])
     on = [*keys, "cell", "shard"]
+    codes = codes.select("point", *on, "code")
     found = written(codes.groupBy(*on).cogroup(asked.groupBy(*on)).applyInArrow(score, shape), "candidates")
     scanned = found.where("read is not null").groupBy("query_id").agg(F.sum("read").alias("scanned"))
     order = Window.partitionBy("query_id").orderBy(F.desc("near"), "point")
