@@ -213,7 +213,8 @@ def _named(spans: str) -> str:
 
 
 def found(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans, personal (whether there is a span)."""
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans, personal (whether there is a span), and of
+    the spans beyond the base ones how many are seeds and how many were found by patterns."""
     rows = written(extracted(docs), "pii-rows")
     values = checked_broadcast(written(discovered(rows, **options), "pii-values"))
     more = rows.select("row", F.explode("others").alias("x")).select("row", F.col("x.v").alias("v"), F.col("x.s").alias("s"), F.col("x.e").alias("e")).join(values, "v")
@@ -226,6 +227,7 @@ def found(docs: DataFrame, **options) -> DataFrame:
         "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.sha2(F.encode(F.expr(_named("base")), "UTF-8"), 256).alias("base_sha256"),
         F.expr(_named("every")).alias("spans"), F.size("every").cast("long").alias("n_spans"), (F.size("every") > 0).alias("personal"),
+        F.size("secret").cast("long").alias("n_seed_secrets"), F.size(F.coalesce("more", F.array().cast("array<struct<k: int, s: int, e: int>>"))).cast("long").alias("n_found"),
     )
 
 

@@ -51,6 +51,7 @@ def test_base_spans_are_those_of_plain_python(spark):
         assert [r[f"n_{k}"] for k in BASE] == [sum(x.startswith(k) for x in expected) for k in BASE]
         found = r["spans"].split(",") if r["spans"] else []
         assert set(expected) <= set(found) and r["n_spans"] == len(found) and r["personal"] == bool(found)
+        assert len(expected) + r["n_seed_secrets"] + r["n_found"] == len(found)
         assert [x for x in found if x.split(":")[0] in BASE and x in expected] == expected
 
 
