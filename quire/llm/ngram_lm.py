@@ -26,6 +26,7 @@ Defined results. Null text counts as empty: one token, the end. A null doc_id co
 remainder, so the document trains. With no training documents all counts are 0, N = V = 0. Repeated rows count each. A
 text of any length is read in stretches of PIECE bytes that end at white space, which keep two tokens of
 context. An empty table gives no rows; extra columns are ignored. More than 2**32 distinct words are refused.
+Words are told apart by their XXH64; two of one hash would be one word.
 """
 
 from __future__ import annotations

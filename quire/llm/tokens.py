@@ -1,6 +1,6 @@
 """Token counts: batch encoding in Arrow functions that return lengths only.
 
-Texts are gathered into batches of about RUN_BYTES, whatever rows and Arrow batches they come in, so that a batch of long texts is no larger
+Texts of an Arrow batch are gathered into batches of about RUN_BYTES, whatever rows they come in, so that a batch of long texts is no larger
 than one of short texts, and each is given to the library as a whole; long texts are split where no token
 reaches across (see ``bpe.parts``, and ``SPACED`` for sentencepiece). Kinds of files: ``.json`` for tokenizers, ``.model`` for sentencepiece.
 
