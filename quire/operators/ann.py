@@ -1,9 +1,9 @@
 """Approximate nearest neighbours by cosine: an inverted file with product-quantised codes.
 
 Centres of cells and code books are fitted on a bounded sample of the vectors, on the driver; every vector is then given its cell and a code
-of a byte for each part. A query looks into the cells nearest to it, met by an equi-join on cells, and scores their codes from a table of its
-products with the code books. Its best candidates are scored exactly from their vectors. Cells of many vectors are cut into shards of
-about SHARD, so that copies of one vector fill no single task. ``index.nearest`` is the exact search.
+of a byte for each part. Codes are dealt out evenly over tasks of about SHARD, and queries go to them in blocks. A query looks into the cells
+nearest to it and scores their codes, cell by cell, as products with what the codes stand for; a task keeps its best candidates only, whatever
+number of cells they are from. A query's best candidates of all tasks are scored exactly from their vectors. ``index.nearest`` is the exact search.
 
 Defined results. Vectors that are null, empty, of another length than the sample's most frequent, of length zero, or hold nulls or
 non-finite entries are in no cell, and queries like them find nothing. Ties go by point. No points or no queries: no rows. Each point is
@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from quire.operators.flat import PAIRS, Best, grouped, rows_of
 from quire.operators.index import cosine
 from quire.sources.storage import written
 
-#: Vectors that centres and code books are fitted on, at most; cells at most; entries of a code book; vectors of a shard, about.
+#: Vectors that centres and code books are fitted on, at most; cells at most; entries of a code book; vectors of a task, about.
 SAMPLE, CELLS, BOOK, SHARD = 20_000, 1024, 256, 65_536
+#: The most queries that go to the tasks at once.
+BLOCK = 4096
 #: Dimensions of a part, about; share of cells that a query looks into; candidates scored exactly, for each result wanted.
 PART, PROBED, WIDER = 4, 0.65, 20
 
@@ -51,6 +54,11 @@ class Quantizer:
         rest = self.parts(x - self.centres[cell])
         return cell, np.stack([nearest(rest[:, j], book) for j, book in enumerate(self.books)], axis=1).astype(np.uint8)
 
+    def decoded(self, cell: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The vectors that codes stand for."""
+        rest = np.concatenate([book[code[:, j]] for j, book in enumerate(self.books)], axis=1)
+        return (self.centres[cell] + rest[:, : self.size]).astype(np.float32)
+
 
 def nearest(x: np.ndarray, centres: np.ndarray, block: int = 8192) -> np.ndarray:
     half = (centres**2).sum(axis=1) / 2
@@ -71,15 +79,13 @@ def means(x: np.ndarray, k: int, rounds: int = 12, seed: int = 0) -> np.ndarray:
 
 def unit(column: pa.Array, size: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Usable vectors at length 1, and their rows. size: of a vector; none: the most frequent one."""
-    rows = [(i, v) for i, v in enumerate(column.to_pylist()) if v and None not in v]
+    found = {n: r for n, r in rows_of(column).items() if n}
     if size is None:
-        sizes, n = np.unique([len(v) for _, v in rows], return_counts=True)
-        size = int(sizes[n.argmax()]) if len(sizes) else 0
-    rows = [(i, v) for i, v in rows if len(v) == size]
-    x = np.array([v for _, v in rows], np.float64).reshape(len(rows), size)
+        size = max(found, key=lambda n: (len(found[n][0]), -n), default=0)
+    rows, x = found.get(size, (np.zeros(0, np.int64), np.zeros((0, size))))
     norm = np.sqrt((x**2).sum(axis=1))
     ok = np.isfinite(norm) & (norm > 0)
-    return (x[ok] / norm[ok, None]).astype(np.float32), np.array([i for i, _ in rows], np.int64)[ok]
+    return (x[ok] / norm[ok, None]).astype(np.float32), rows[ok]
 
 
 def fitted(points: DataFrame, cells: int | None = None, sample: int = SAMPLE) -> Quantizer | None:
@@ -98,7 +104,7 @@ def fitted(points: DataFrame, cells: int | None = None, sample: int = SAMPLE) ->
 
 
 def encoded(points: DataFrame, of: Quantizer, keys: list[str] | None = None) -> DataFrame:
-    """points (point, v, keys) -> a written table (point, keys, cell, shard, code)."""
+    """points (point, v, keys) -> a written table (point, keys, cell, code)."""
     keep = ["point", *(keys or [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,10 +115,7 @@ def encoded(points: DataFrame, of: Quantizer, keys: list[str] | None = None) ->
             yield pa.RecordBatch.from_arrays([*others.columns, pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary())], [*keep, "cell", "code"])
 
     schema = T.StructType([*points.select(*keep).schema, T.StructField("cell", T.IntegerType()), T.StructField("code", T.BinaryType())])
-    rows = written(points.select(*keep, "v").mapInArrow(run, schema), "codes")
-    shards = F.ceil(F.count(F.lit(1)) / SHARD)
-    sizes = rows.groupBy("cell").agg(shards.alias("shards"))  # a row for each of at most CELLS cells
-    return rows.join(F.broadcast(sizes), "cell").withColumn("shard", F.pmod(F.xxhash64("point"), F.col("shards")).cast("int"))
+    return written(points.select(*keep, "v").mapInArrow(run, schema), "codes")
 
 
 def nearest_approximately(queries: DataFrame, points: DataFrame, k: int, keys: list[str] | None = None, probed: float = PROBED, wider: int = WIDER, of: Quantizer | None = None) -> DataFrame:
@@ -124,53 +127,64 @@ def nearest_approximately(queries: DataFrame, points: DataFrame, k: int, keys: l
         plain = (T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType()), T.StructField("scanned", T.LongType()))
         return queries.sparkSession.createDataFrame([], T.StructType([*queries.select("query_id").schema, *points.select("point").schema, *plain]))
     codes = encoded(points, of, keys)
-    probes = max(1, round(probed * len(of.centres)))
-    keep = ["query_id", *keys, "q"]
-
-    shards = np.zeros(len(of.centres), np.int64)
-    for r in codes.select("cell", "shards").distinct().collect():  # a row for each of at most CELLS cells
-        shards[r["cell"]] = r["shards"]
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, rows = unit(batch.column("q"), of.size)
-            cell = np.argsort(-(x @ of.centres.T), axis=1, kind="stable")[:, :probes].ravel()
-            many = shards[cell]
-            others = batch.select(keep).take(pa.array(np.repeat(np.repeat(rows, probes), many)))
-            shard = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            yield pa.RecordBatch.from_arrays([*others.columns, pa.array(np.repeat(cell, many).astype(np.int32)), pa.array(shard.astype(np.int32))], [*keep, "cell", "shard"])
-
-    asked = queries.select(*keep).mapInArrow(probe, T.StructType([*queries.select(*keep).schema, T.StructField("cell", T.IntegerType()), T.StructField("shard", T.IntegerType())]))
-    best = k * wider
-
-    def score(found: pa.Table, by: pa.Table) -> pa.Table:
-        """The best candidates among a shard's codes of each query that looks into it, and a row without a point for how many it read."""
-        point, ask = found.column("point").combine_chunks(), by.column("query_id").combine_chunks()
-        if not len(point) or not len(ask):
-            return pa.Table.from_arrays([ask[:0], point[:0], pa.array([], pa.float64()), pa.array([], pa.int64())], ["query_id", "point", "near", "read"])
-        code = np.frombuffer(b"".join(found.column("code").to_pylist()), np.uint8).reshape(len(point), -1)
-        q, rows = unit(by.column("q").combine_chunks(), of.size)
-        top, block, out = min(best, len(point)), max(1, (1 << 22) // len(point)), []
-        for at in range(0, len(q), block):
-            some = q[at : at + block]
-            products = np.einsum("qmd,med->qme", of.parts(some), of.books)
-            near = np.repeat((some @ of.centres[found.column("cell")[0].as_py()])[:, None], len(point), axis=1)
-            for j in range(code.shape[1]):
-                near += products[:, j, code[:, j]]
-            pick = np.argpartition(-near, top - 1, axis=1)[:, :top]
-            out.append((np.repeat(rows[at : at + block], top), pick.ravel(), np.take_along_axis(near, pick, axis=1).ravel()))
-        row, pick, near = (np.concatenate(x) for x in zip(*out, strict=True))
-        hits = pa.Table.from_arrays([ask.take(pa.array(row)), point.take(pa.array(pick)), pa.array(near.astype(np.float64)), pa.nulls(len(row), pa.int64())], ["query_id", "point", "near", "read"])
-        read = pa.Table.from_arrays([ask.take(pa.array(rows)), pa.nulls(len(rows), point.type), pa.nulls(len(rows), pa.float64()), pa.array(np.full(len(rows), len(point)))], hits.schema.names)
-        return pa.concat_tables([hits, read])
-
-    shape = T.StructType([*queries.select("query_id").schema, T.StructField("point", points.schema["point"].dataType), T.StructField("near", T.DoubleType()), T.StructField("read", T.LongType())])
-    on = [*keys, "cell", "shard"]
-    codes = codes.select("point", *on, "code")
-    found = written(codes.groupBy(*on).cogroup(asked.groupBy(*on)).applyInArrow(score, shape), "candidates")
+    probes, best = max(1, round(probed * len(of.centres))), k * wider
+    n = codes.count()
+    parts = max(-(-n // SHARD), min(queries.sparkSession.sparkContext.defaultParallelism, -(-16 * n // SHARD)), 1)
+    queries = written(queries.select("query_id", *keys, "q"), "queries")
+    blocks = max(1, -(-queries.count() // BLOCK))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    found = None
+    for i in range(blocks):
+        some = written(_candidates(queries.where(block == i), codes.select("point", *keys, "cell", "code").repartition(parts), best, probes, keys, of), "candidates")
+        found = some if found is None else found.unionByName(some)
     scanned = found.where("read is not null").groupBy("query_id").agg(F.sum("read").alias("scanned"))
     order = Window.partitionBy("query_id").orderBy(F.desc("near"), "point")
     near = found.where("read is null").withColumn("r", F.row_number().over(order)).where(F.col("r") <= best).select("query_id", "point")
     exact = near.join(points.select("point", "v"), "point").join(queries.select("query_id", "q"), "query_id").select("query_id", "point", cosine(F.col("q"), F.col("v")).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "point")).cast("int")
     return exact.withColumn("rank", rank).where(F.col("rank") <= k).join(scanned, "query_id")
+
+
+def _candidates(queries: DataFrame, codes: DataFrame, k: int, probes: int, keys: list[str], of: Quantizer) -> DataFrame:
+    """(query_id, point, near, read): a task's best k candidates of each query, and a row without a point for how many codes the query read."""
+    asked = queries.toArrow()
+    ids, column = asked.column("query_id").combine_chunks(), asked.column("q").combine_chunks()
+    shape = T.StructType([queries.schema["query_id"], codes.schema["point"], T.StructField("near", T.DoubleType()), T.StructField("read", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)  # about SHARD codes
+        held = pa.Table.from_batches(batches).combine_chunks() if batches else None
+        q, rows = unit(column, of.size)
+        if held is None or not len(held) or not len(q):
+            return
+        near = np.concatenate([np.argpartition(-(q[a : a + 256] @ of.centres.T), probes - 1, axis=1)[:, :probes] for a in range(0, len(q), 256)])
+        looks = np.zeros((len(q), len(of.centres)), bool)
+        np.put_along_axis(looks, near, True, axis=1)
+        code = np.frombuffer(b"".join(held.column("code").to_pylist()), np.uint8).reshape(len(held), -1)
+        cell, points = held.column("cell").to_numpy(), held.column("point").combine_chunks()
+        kept, read = Best(len(q), k, points.type), np.zeros(len(q), np.int64)
+        by_key = grouped(asked.take(pa.array(rows)), keys)
+        for key, own in grouped(held, keys).items():
+            if key not in by_key:
+                continue
+            own = own[np.argsort(cell[own], kind="stable")]
+            for some in np.split(own, np.flatnonzero(np.diff(cell[own])) + 1):
+                there = by_key[key][looks[by_key[key], cell[some[0]]]]
+                read[there] += len(some)
+                step = max(1, PAIRS // max(len(there), 1))
+                for a in range(0, len(some) if len(there) else 0, step):
+                    part = some[a : a + step]
+                    score = q[there] @ of.decoded(cell[part], code[part]).T
+                    floor = np.nextafter(kept.floor[there], np.inf)  # of codes as near as the last that is kept, none has to be
+                    if len(part) > k and (kept.floor[there] == -np.inf).any():
+                        floor = np.maximum(floor, np.partition(score, len(part) - k, axis=1)[:, len(part) - k])
+                    i, j = np.nonzero(score >= floor[:, None])
+                    kept.add(there[i], score[i, j].astype(np.float64), np.ones(len(i), bool), points, part[j])
+        kept.settle()
+        names, seen = [f.name for f in shape], np.flatnonzero(read)
+        hits = kept.rows
+        hits = pa.table([ids.take(pa.array(rows[hits.column("query").to_numpy()])), hits.column("point"), pa.array(-hits.column("minus").to_numpy()), pa.nulls(len(hits), pa.int64())], names)
+        counts = pa.table([ids.take(pa.array(rows[seen])), pa.nulls(len(seen), points.type), pa.nulls(len(seen), pa.float64()), pa.array(read[seen])], names)
+        yield from pa.concat_tables([hits, counts]).to_batches(10_000)
+
+    return codes.mapInArrow(run, shape)

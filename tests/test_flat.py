@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.operators import flat, index
+from quire.operators import ann, flat, index
 
 
 def by_pairs(queries, points, k, keys):
@@ -52,3 +52,33 @@ def test_scores_few_pairs_one_by_one(spark, monkeypatch):
         best.settle()
     assert sum(scored) < 200_000 and len(best.rows) == 2000
     assert best.rows.filter(pa.compute.equal(best.rows.column("query"), 0)).column("point").to_pylist() == list(range(10))
+
+
+def test_tasks_keep_the_best_candidates_of_all_cells(spark, monkeypatch):
+    """What is written of a query doesn't grow with the cells that it looks into, and queries in blocks find the same."""
+    counts = []
+    kept = ann.written
+
+    def counted(df, name):
+        out = kept(df, name)
+        if name == "candidates":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(ann, "written", counted)
+    v = np.random.default_rng(2).normal(size=(2000, 8))
+    points = spark.createDataFrame([(i, x.tolist(), i % 2) for i, x in enumerate(v)], "point long, v array<double>, label int")
+    ask = points.where("point % 100 = 0").select(F.col("point").alias("query_id"), F.col("v").alias("q"), "label")
+    for keys in (None, ["label"]):
+        asked = ask if keys else ask.drop("label")
+        found = [(r["query_id"], r["rank"], r["point"], r["score"], r["scanned"]) for r in ann.nearest_approximately(asked, points, 5, keys, probed=1.0).collect()]
+        assert len(found) == 100 and sum(counts) <= 20 * (100 + 1) * 4  # queries, candidates and a count of what was read, tasks
+        assert {r[4] for r in found} == {1000 if keys else 2000}
+        exact = [(r["query_id"], r["rank"], r["point"], r["score"]) for r in index.nearest(asked, points, 5, keys).collect()]
+        assert len({r[:4] for r in found} & set(exact)) >= 90
+        counts.clear()
+        with monkeypatch.context() as m:
+            m.setattr(ann, "BLOCK", 7, raising=False)
+            again = [(r["query_id"], r["rank"], r["point"], r["score"], r["scanned"]) for r in ann.nearest_approximately(asked, points, 5, keys, probed=1.0).collect()]
+        assert sorted(again) == sorted(found)
+        counts.clear()
