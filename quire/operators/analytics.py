@@ -80,9 +80,10 @@ def size_histogram(chunks: DataFrame, width: int = 200, last: int = 9) -> DataFr
 
 def size_ladder(chunks: DataFrame, steps: tuple[int, ...] = HISTOGRAM) -> DataFrame:
     """Chunks by the first of the irregular thresholds that they are under."""
-    n = count_tokens(F.col("text"))
+    n = F.col("n")
     under = F.coalesce(*[F.when(n < s, F.lit(s)) for s in steps], F.lit(1 << 30))
-    return chunks.groupBy(under.alias("under")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = chunks.select(count_tokens(F.col("text")).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("of"))  # each text is counted once
+    return sizes.groupBy(under.alias("under")).agg(F.sum("of").alias("n"))
 
 
 def metadata_coverage(chunks: DataFrame) -> DataFrame:
