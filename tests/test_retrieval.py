@@ -158,3 +158,15 @@ def test_approximate_neighbours(spark):
         assert found >= 0.9 and all(r["scanned"] < 3000 for r in near.values())
         assert sum(1 for k in near if k[0] == 50) == 10
     assert ann.nearest_approximately(ask, points.limit(0), 3).count() == 0 and ann.nearest_approximately(ask.limit(0).drop("label"), points, 3).count() == 0
+
+
+def test_a_target_that_very_many_cite(spark):
+    shape = "query_id int, ord int, chunk_id string, score double, parent_chunk_id string, sibling_chunk_ids array<string>, cross_references array<string>"
+    primary = spark.createDataFrame([(q, o, f"c{q + o:04}", 0.9 - o / 10, f"c{q:04}", [f"c{o:04}", "s"], ["m::hot", f"m::{o}"]) for q in range(20) for o in range(2)], shape)
+    cited = [(f"c{i:04}", r) for i in range(3000) for r in ("m::hot", "m::hot", f"m::{i % 50}")]
+    look = {"cross_ref_lookup": spark.createDataFrame(cited, "chunk_id string, cross_reference string")}
+    row = lambda r: (r["query_id"], r["rank"], r["chunk_id"], r["source"], r["score"])
+    for top in (1, 5, 12):
+        some, every = retrieval.enriched(primary, look, top), retrieval.enriched(primary, look)
+        assert sorted(map(row, retrieval.reranked(some, top).collect())) == sorted(map(row, retrieval.reranked(every, top).collect()))
+        assert some.count() < 20 * 4 * (top + 7)
