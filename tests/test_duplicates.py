@@ -64,3 +64,22 @@ def test_words_are_pythons(spark):
     assert np.concatenate([p.column("t").to_pylist() for p in text.slices(pa.RecordBatch.from_arrays([pa.array(texts)], ["t"]), "t")]).tolist() == texts
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.word_counts(F.col("t")).alias("n")).where("n > 0 or n = 0 or n is null").collect()
     assert all(r["n"] == (None if r["t"] is None else len(r["t"].split())) for r in rows)
+
+
+def test_pairs_with_few_first_tokens_in_common_are_not_compared(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"c{i}" for i in range(400)]
+    rows = [("m", i, f"c{i}", " ".join([f"rare{i // 2}", *(f"u{i}_{j}" for j in range(10)), *rng.sample(base, 340)])) for i in range(40)]
+    rows += [("m", 40 + i, f"c{40 + i}", " ".join([*rows[i][3].split()[:-(i + 1)], *(f"x{j}" for j in range(i + 1))])) for i in range(15)]
+    compared, write = [], checks.written
+
+    def told(df, name, *rest):
+        out = write(df, name, *rest)
+        if name == "set-pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(checks, "written", told)
+    got = {(r["oa"], r["ob"]): r["sim"] for r in checks.duplicate_pairs(spark.createDataFrame(rows, SHAPE)).collect()}
+    assert got == pytest.approx(expected(rows)) and len(got) >= 9
+    assert len(got) <= compared[0] <= 2 * len(got)
