@@ -83,3 +83,20 @@ def test_pairs_with_few_first_tokens_in_common_are_not_compared(spark, monkeypat
     got = {(r["oa"], r["ob"]): r["sim"] for r in checks.duplicate_pairs(spark.createDataFrame(rows, SHAPE)).collect()}
     assert got == pytest.approx(expected(rows)) and len(got) >= 9
     assert len(got) <= compared[0] <= 2 * len(got)
+
+
+@pytest.mark.parametrize("counters", [1, 8, 1 << 21])
+def test_counters_are_dealt_out_packed(spark, monkeypatch, counters):
+    monkeypatch.setattr(checks, "COUNTERS", counters)
+    sets = checks.token_sets(spark.createDataFrame(made(60), SHAPE).repartition(3))
+    counts, seen, write = checks.token_counts(sets), [], checks.written
+    rows = sets.select(F.xxhash64("manual_id").alias("seed"), "set").collect()
+    want = np.zeros(counters, np.int64)
+    np.add.at(want, [(w ^ r["seed"]) & (counters - 1) for r in rows for w in r["set"]], 1)
+    assert counts.dtype == np.int64 and (counts == want).all() and counts.sum() == sum(len(r["set"]) for r in rows)
+    monkeypatch.setattr(checks, "written", lambda df, name, *rest: (seen.append(name), write(df, name, *rest))[1])
+    checks.token_counts(sets)
+    assert seen == ["token-counts"]  # no shuffle files stay
+    packed = checks.packed_counts(sets)
+    assert packed.count() <= packed.rdd.getNumPartitions() * checks.STRETCHES
+    assert (checks.token_counts(sets.limit(0)) == 0).all()
